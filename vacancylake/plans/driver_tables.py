@@ -53,7 +53,7 @@ DERIVED = {
                     WHEN 2 THEN '{{"easy_apply": "Yes"}}'
                     WHEN 3 THEN '{{"easy_apply": 1, "salary": "$260,000"}}'
                     ELSE '{{"easy_apply": false}}' END AS raw_data,
-               CAST(o_orderkey % 3 AS INT) AS missing_count,
+               CAST(o_orderkey % 3 AS BIGINT) AS missing_count,
                CAST(o_orderdate AS TIMESTAMP) AS first_seen_at,
                CAST(o_orderdate AS TIMESTAMP) AS last_seen_at,
                CAST(o_orderdate AS TIMESTAMP) AS created_at,
@@ -81,12 +81,12 @@ DERIVED = {
                    AS finished_at,
                CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'partial'
                     ELSE 'success' END AS status,
-               CAST(floor(value) AS INT) AS jobs_found,
-               CAST(floor(value) AS INT) % 5 AS records_rejected,
-               CAST(floor(value) AS INT) % 7 AS new_jobs,
-               CAST(event_id % 3 AS INT) AS closed_jobs, CAST(event_id % 2 AS INT) AS missing_count,
-               CAST(event_id % 4 AS INT) + 1 AS pages_fetched,
-               CAST(event_id % 4 AS INT) + 2 AS requests_made,
+               CAST(floor(value) AS BIGINT) AS jobs_found,
+               CAST(floor(value) AS BIGINT) % 5 AS records_rejected,
+               CAST(floor(value) AS BIGINT) % 7 AS new_jobs,
+               CAST(event_id % 3 AS BIGINT) AS closed_jobs, CAST(event_id % 2 AS BIGINT) AS missing_count,
+               CAST(event_id % 4 AS BIGINT) + 1 AS pages_fetched,
+               CAST(event_id % 4 AS BIGINT) + 2 AS requests_made,
                event_type <> 'view' AS complete, user_id % 5 <> 0 AS authoritative_snapshot,
                CASE WHEN event_type = 'error' THEN
                     CASE WHEN event_id % 2 = 0 THEN 'timeout' ELSE 'http' END END AS error_type,
@@ -128,16 +128,16 @@ DERIVED = {
         SELECT 'src-' || CAST(user_id AS STRING) || '-' || CAST(day(CAST(ts AS TIMESTAMP)) % 4 AS STRING)
                    AS source,
                CASE user_id % 3 WHEN 0 THEN 'api' WHEN 1 THEN 'html' ELSE 'browser' END AS family,
-               CAST(day(CAST(ts AS TIMESTAMP)) AS INT) AS page_no, CAST(event_id AS INT) AS attempt,
+               CAST(day(CAST(ts AS TIMESTAMP)) AS BIGINT) AS page_no, CAST(event_id AS BIGINT) AS attempt,
                CAST(ts AS TIMESTAMP) AS started_at,
                CAST(ts AS TIMESTAMP) + INTERVAL '2' SECOND AS finished_at,
-               CASE WHEN event_id % 23 = 0 THEN 429 WHEN event_id % 29 = 0 THEN 403
+               CASE WHEN event_id % 23 = 0 THEN CAST(429 AS BIGINT) WHEN event_id % 29 = 0 THEN 403
                     WHEN event_id % 31 = 0 THEN 500 ELSE 200 END AS status_code,
                CASE WHEN event_id % 19 = 0 THEN 'application/json' ELSE 'text/html; charset=utf-8' END
                    AS content_type,
                CASE WHEN event_id % 37 = 0 THEN 'timeout'
                     WHEN event_id % 41 = 0 THEN 'challenge:title' END AS error_type,
-               CAST(floor(value / 20) AS INT) AS n_jobs
+               CAST(floor(value / 20) AS BIGINT) AS n_jobs
         FROM {events}""",
     "records": """
         SELECT l_suppkey % 20 + 1 AS company_id,
@@ -168,7 +168,7 @@ DERIVED = {
         FROM {orders}""",
     "html_source": """
         SELECT 'site-' || CAST(page_id % 10 AS STRING) AS source,
-               CAST(floor(page_id / 10) AS INT) + 1 AS page_no, page_id, url,
+               CAST(floor(page_id / 10) AS BIGINT) + 1 AS page_no, page_id, url,
                CASE WHEN page_id % 97 = 96 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END
                    AS content_type,
                html AS body

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +23,30 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="vacancylake-"), "vacancylake.zip")
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    bundle.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def local_session(name: str = "vacancylake", cores: str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
@@ -31,11 +54,12 @@ def local_session(name: str = "vacancylake", cores: str = "*", partitions: int =
         .appName(name)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in SESSION_SETTINGS.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

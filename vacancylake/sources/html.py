@@ -1,6 +1,6 @@
 """Listings, links and page facts from fetched HTML.
 
-One ``mapInPandas`` pass parses each page once; everything an expression can
+One ``mapInArrow`` pass parses each page once; everything an expression can
 tell from the text alone stays native.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +44,20 @@ CHALLENGE_KEYWORDS = [
     "ddos protection",
 ]
 
-_EXTRACT_SCHEMA = (
-    "source string, page_no int, kind string, pos int, title string, url string, "
-    "location string, date_text string, id_text string, warning string, next_page string"
-)
+_EXTRACT_FIELDS = {
+    "source": "string",
+    "page_no": "int",
+    "kind": "string",
+    "pos": "int",
+    "title": "string",
+    "url": "string",
+    "location": "string",
+    "date_text": "string",
+    "id_text": "string",
+    "warning": "string",
+    "next_page": "string",
+}
+_ARROW = {"string": pa.string(), "int": pa.int32()}
 
 
 def _absolute(href: str, base: str | None) -> str:
@@ -63,46 +73,47 @@ def _text(node: markup.Node | None) -> str:
     return node.text() if node is not None else ""
 
 
-def _listing(card: markup.Node, rule) -> dict[str, str]:
+def _listing(card: markup.Node, rule: dict) -> dict:
     """Fields of one container under one rule."""
-    title = markup.select_one(card, rule.title)
-    place = markup.select_one(card, rule.location)
-    if rule.family == "browser":
+    title = markup.select_one(card, rule["title"])
+    place = markup.select_one(card, rule["location"])
+    base = rule["base_url"]
+    if rule["family"] == "browser":
         # Rendered cards: the title element is itself the link.
         own = title.attrs.get("href", "") if title is not None else ""
-        url = own if not own or own.startswith("http") else f"{rule.base_url}{own}"
+        url = own if not own or own.startswith("http") else f"{base}{own}"
         found = {
             "title": title.text("") if title is not None and url else "",
             "url": url,
-            "location": place.text("") if place is not None else rule.default_location,
+            "location": place.text("") if place is not None else rule["default_location"],
             "silent": not url,
         }
     else:
-        link = markup.select_one(card, rule.link)
-        if rule.url_attribute == "href":
-            url = _absolute(markup.link_of(link), rule.base_url)
+        link = markup.select_one(card, rule["link"])
+        if rule["url_attribute"] == "href":
+            url = _absolute(markup.link_of(link), base)
         else:
-            url = link.attrs.get(rule.url_attribute, "") if link is not None else ""
+            url = link.attrs.get(rule["url_attribute"], "") if link is not None else ""
         found = {
             "title": _text(title),
             "url": url,
-            "location": _text(place) or rule.default_location,
+            "location": _text(place) or rule["default_location"],
             "silent": False,
         }
-    found["date_text"] = _text(markup.select_one(card, rule.date))
-    found["id_text"] = card.attrs.get(rule.id_attribute) if rule.id_attribute else None
+    found["date_text"] = _text(markup.select_one(card, rule["date"]))
+    found["id_text"] = card.attrs.get(rule["id_attribute"]) if rule["id_attribute"] else None
     return found
 
 
-def _page_rows(page, need_url: bool, noun: str) -> Iterator[dict]:
-    root = markup.parse(page.html)
-    base = {"source": page.source, "page_no": page.page_no}
-    cards = markup.select(root, page.container)
+def _page_rows(page: dict, need_url: bool, noun: str) -> Iterator[dict]:
+    root = markup.parse(page["html"])
+    base = {"source": page["source"], "page_no": page["page_no"]}
+    cards = markup.select(root, page["container"])
     kept = 0
-    if not cards and need_url and page.family != "browser":
+    if not cards and need_url and page["family"] != "browser":
         yield base | {
             "kind": "warning",
-            "warning": f"Container selector '{page.container}' matched no elements",
+            "warning": f"Container selector '{page['container']}' matched no elements",
         }
     for pos, card in enumerate(cards):
         found = _listing(card, page)
@@ -112,27 +123,24 @@ def _page_rows(page, need_url: bool, noun: str) -> Iterator[dict]:
             yield base | found | {"kind": "job", "pos": pos}
         elif not found["title"] and not silent:
             yield base | {"kind": "warning", "pos": pos, "warning": f"Skipping {noun} without title"}
-    following = markup.link_of(markup.select_one(root, page.next_page)) or None
+    following = markup.link_of(markup.select_one(root, page["next_page"])) or None
     yield base | {"kind": "page", "pos": kept, "next_page": following}
 
 
 def _extract(pages: DataFrame, need_url: bool, noun: str) -> DataFrame:
-    names = _EXTRACT_SCHEMA.replace(",", "").split()[::2]
+    schema = pa.schema([(name, _ARROW[kind]) for name, kind in _EXTRACT_FIELDS.items()])
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.astype(object).where(batch.notna(), None)
-            rows = [r for page in batch.itertuples() for r in _page_rows(page, need_url, noun)]
-            out = pd.DataFrame(rows, columns=names)
-            for name in ("page_no", "pos"):
-                out[name] = out[name].astype("Int32")
-            yield out
+            rows = [r for page in batch.to_pylist() for r in _page_rows(page, need_url, noun)]
+            yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     columns = [
         "source", "page_no", "html", "family", "container", "title", "link", "location", "date",
         "url_attribute", "base_url", "default_location", "id_attribute", "next_page",
     ]
-    return pages.select(*columns).mapInPandas(parse, _EXTRACT_SCHEMA)
+    returned = ", ".join(f"{name} {kind}" for name, kind in _EXTRACT_FIELDS.items())
+    return pages.select(*columns).mapInArrow(parse, returned)
 
 
 def extract_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -208,15 +216,18 @@ def next_page_url(pages: DataFrame, selector: str = DEFAULT_CARD_RULE.next_page)
 def with_match_counts(pages: DataFrame, selectors: list[str], key: list[str]) -> DataFrame:
     """``key`` columns of each page and a map of selector to match count."""
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in pages.select(*key).schema.fields]
+    counts = pa.map_(pa.string(), pa.int32())
 
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            roots = [markup.parse(html) for html in batch["html"]]
-            out = batch[key].copy()
-            out["match_counts"] = [[(s, markup.count(r, s)) for s in selectors] for r in roots]
-            yield out
-
-    return pages.select(*key, "html").mapInPandas(
+            roots = [markup.parse(html) for html in batch.column("html").to_pylist()]
+            found = [[(s, markup.count(root, s)) for s in selectors] for root in roots]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(name) for name in key] + [pa.array(found, counts)],
+                names=[*key, "match_counts"],
+            )
+
+    return pages.select(*key, "html").mapInArrow(
         tally, ", ".join(fields) + ", match_counts map<string,int>"
     )
 

@@ -87,9 +87,8 @@ def stream_zero_jobs(counts: DataFrame, window: int = 10, min_expected: int = 1)
             if anomaly:
                 found.append((key[0], row.ts, row.id, row.job_count, *anomaly))
         state.update((history,))
-        yield pd.DataFrame(
-            found, columns=["source", "ts", "id", "current_count", "type", "average_count"]
-        )
+        names = ["source", "ts", "id", "current_count", "type", "average_count"]
+        yield pd.DataFrame(found, columns=names, dtype=object)
 
     return counts.groupBy("source").applyInPandasWithState(
         update,
@@ -140,9 +139,8 @@ def stream_selector_drift(
             for kind, severity in drift_checks(kept, min_expected, drift_threshold, zero_threshold):
                 found.append((key[0], row.ts, row.id, row.match_count, kind, severity))
         state.update((kept,))
-        yield pd.DataFrame(
-            found, columns=["selector", "ts", "id", "actual_count", "kind", "severity"]
-        )
+        names = ["selector", "ts", "id", "actual_count", "kind", "severity"]
+        yield pd.DataFrame(found, columns=names, dtype=object)
 
     return snapshots.groupBy("selector").applyInPandasWithState(
         update,
@@ -171,7 +169,7 @@ def stream_circuit_state(
             for row, at in zip(rows.itertuples(), micros)
         ]
         state.update((breaker.state, breaker.failures, breaker.trials, breaker.opened_at))
-        yield pd.DataFrame(views, columns=names)
+        yield pd.DataFrame(views, columns=names, dtype=object)
 
     return outcomes.groupBy("source").applyInPandasWithState(
         update,
