@@ -272,7 +272,7 @@ def cte(*names: str) -> str:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Column types both engines agree on: long integers, zoneless times, 4 decimals."""
+    """Column types both engines agree on: long integers, zoneless times, 6 decimals."""
     columns = []
     for name, kind in df.dtypes:
         col = F.col(f"`{name}`")
@@ -281,6 +281,6 @@ def tidy(df: DataFrame) -> DataFrame:
         elif kind == "timestamp":
             col = col.cast("timestamp_ntz")
         elif kind == "double":
-            col = F.round(col, 4)
+            col = F.round(col, 6)
         columns.append(col.alias(name))
     return df.select(*columns)

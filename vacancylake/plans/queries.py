@@ -334,7 +334,7 @@ def redact_map(t: Tables) -> DataFrame:
 
 
 @register(cte("attempts") + """
-    SELECT id, round(CAST(epoch_us(finished_at) - epoch_us(started_at) AS DOUBLE) / 1000000, 4) AS seconds,
+    SELECT id, round(CAST(epoch_us(finished_at) - epoch_us(started_at) AS DOUBLE) / 1000000, 6) AS seconds,
            (epoch_us(finished_at) - epoch_us(started_at)) // 1000 AS millis FROM attempts""")
 def durations(t: Tables) -> DataFrame:
     span = (F.col("started_at"), F.col("finished_at"))
@@ -993,7 +993,7 @@ def jobs_with_company_outer(t: Tables) -> DataFrame:
 
 _ATTEMPT_NAMES = """
     SELECT a.id, a.started_at, coalesce(c.name, 'Unknown') AS company_name, a.status,
-           round((epoch_us(a.finished_at) - epoch_us(a.started_at)) / 1000000.0, 4) AS duration_seconds
+           round((epoch_us(a.finished_at) - epoch_us(a.started_at)) / 1000000.0, 6) AS duration_seconds
     FROM attempts a LEFT JOIN companies c ON c.id = a.company_id"""
 
 
@@ -1108,7 +1108,7 @@ def dashboard_stats(t: Tables) -> DataFrame:
 _SHORT_ATTEMPTS = "few AS (SELECT * FROM attempts WHERE run_id % 5 <> 0)"
 _TOTALS = """
     SELECT r.id, r.status,
-           round((epoch_us(r.finished_at) - epoch_us(r.started_at)) / 1000000.0, 4) AS duration_seconds,
+           round((epoch_us(r.finished_at) - epoch_us(r.started_at)) / 1000000.0, 6) AS duration_seconds,
            coalesce(CAST(sum(a.jobs_found) AS BIGINT), 0) AS jobs_found,
            coalesce(CAST(sum(a.new_jobs) AS BIGINT), 0) AS new_jobs,
            coalesce(CAST(sum(a.closed_jobs) AS BIGINT), 0) AS closed_jobs,
@@ -1184,7 +1184,7 @@ def overall_status(t: Tables) -> DataFrame:
 @register(cte("attempts") + """
     SELECT count(*) AS total_runs, CAST(sum(f) AS BIGINT) AS total_jobs_found,
            CAST(floor(sum(d) / count(*)) AS BIGINT) AS avg_duration_ms,
-           round(avg(s / n * 100), 4) AS avg_success_rate
+           round(avg(s / n * 100), 6) AS avg_success_rate
     FROM (SELECT run_id, sum(jobs_found) AS f, count(*) AS n, count(*) FILTER (status = 'success') AS s,
                  sum((epoch_us(finished_at) - epoch_us(started_at)) // 1000) AS d
           FROM attempts GROUP BY run_id)""")
@@ -1199,10 +1199,10 @@ def metrics_summary(t: Tables) -> DataFrame:
 
 
 @register(cte("snapshots") + """
-    SELECT selector, count(*) AS total_snapshots, round(avg(match_count), 4) AS avg_match_count,
+    SELECT selector, count(*) AS total_snapshots, round(avg(match_count), 6) AS avg_match_count,
            min(match_count) AS min_match_count, max(match_count) AS max_match_count,
            round(CASE WHEN avg(match_count) > 0
-                THEN least(1.0, stddev_pop(match_count) / greatest(avg(match_count), 1.0)) ELSE 0.0 END, 4)
+                THEN least(1.0, stddev_pop(match_count) / greatest(avg(match_count), 1.0)) ELSE 0.0 END, 6)
                 AS drift_score,
            min(match_count) >= 1 AS is_healthy
     FROM (SELECT * FROM snapshots QUALIFY
@@ -1358,7 +1358,7 @@ _FALLING = "(a > b AND b > job_count AND job_count < average * 0.5)"
 
 
 @register(_COUNT_HISTORY + f"""
-    SELECT source, ts AS detected_at, job_count AS current_count, round(average, 4) AS average_count,
+    SELECT source, ts AS detected_at, job_count AS current_count, round(average, 6) AS average_count,
            CASE WHEN a > b AND b > job_count THEN 'decreasing' WHEN a < b AND b < job_count THEN 'increasing'
                 ELSE 'stable' END AS trend
     FROM w WHERE job_count = 0 AND average > 1""")
@@ -1369,7 +1369,7 @@ def detect_zero_jobs(t: Tables) -> DataFrame:
 
 
 @register(_COUNT_HISTORY + f"""
-    SELECT source, ts AS detected_at, job_count AS current_count, round(average, 4) AS average_count
+    SELECT source, ts AS detected_at, job_count AS current_count, round(average, 6) AS average_count
     FROM w WHERE NOT (job_count = 0 AND average > 1) AND {_FALLING}""")
 def detect_suspicious_drop(t: Tables) -> DataFrame:
     return detectors.detect_suspicious_drop(t.counts).select(
@@ -1438,7 +1438,7 @@ def drift_sudden_drop(t: Tables) -> DataFrame:
 
 # One step per outcome: the breaker's state is carried along each source.
 _CIRCUIT = "WITH RECURSIVE " + cte("outcomes")[5:] + """,
-    numbered AS (SELECT *, epoch_us(ts) AS at, row_number() OVER (PARTITION BY source ORDER BY ts, id) AS rn
+    numbered AS (SELECT *, epoch_us(ts) AS micros, row_number() OVER (PARTITION BY source ORDER BY ts, id) AS rn
                  FROM outcomes),
     step AS (
         SELECT source, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS id, 'closed' AS state_before,
@@ -1451,9 +1451,9 @@ _CIRCUIT = "WITH RECURSIVE " + cte("outcomes")[5:] + """,
                CASE WHEN now_state = 'open' THEN failures WHEN ok THEN 0
                     WHEN now_state = 'closed' THEN failures + 1 ELSE failures END,
                CASE WHEN now_state <> 'open' AND NOT ok AND (now_state = 'half_open' OR failures + 1 >= 3)
-                    THEN at ELSE opened_at END
-        FROM (SELECT n.source, n.rn, n.id, n.ok, n.at, s.failures, s.opened_at,
-                     CASE WHEN s.state = 'open' AND n.at - s.opened_at >= 7200000000 THEN 'half_open'
+                    THEN micros ELSE opened_at END
+        FROM (SELECT n.source, n.rn, n.id, n.ok, n.micros, s.failures, s.opened_at,
+                     CASE WHEN s.state = 'open' AND n.micros - s.opened_at >= 7200000000 THEN 'half_open'
                           ELSE s.state END AS now_state
               FROM step s JOIN numbered n ON n.source = s.source AND n.rn = s.rn + 1))
     SELECT source, id, state_before, state_before <> 'open' AS allowed, state AS state_after, failures
@@ -1472,7 +1472,7 @@ def source_circuit_state(t: Tables) -> DataFrame:
                               RANGE BETWEEN 86399999999 PRECEDING AND CURRENT ROW) AS n24,
                CASE family WHEN 'api' THEN 0.5 WHEN 'html' THEN 2.0 ELSE 3.0 END AS floor_s
         FROM requests)
-    SELECT origin, id, n24 AS requests_24h, round(CAST(gap AS DOUBLE), 4) AS gap_seconds,
+    SELECT origin, id, n24 AS requests_24h, round(CAST(gap AS DOUBLE), 6) AS gap_seconds,
            coalesce(gap < floor_s, false) AS too_fast,
            family = 'browser' AND coalesce(gap < 5, false) AS breaks_browser_gap,
            family = 'browser' AND n24 > 100 AS over_quota FROM w""")
@@ -1535,8 +1535,8 @@ def drift_text(t: Tables) -> DataFrame:
                (epoch_us(r.finished_at) - epoch_us(r.started_at)) / 1000000.0 AS secs
         FROM runs r LEFT JOIN (SELECT run_id, count(*) FILTER (status = 'failed') / count(*) AS share
                                FROM attempts GROUP BY 1) a ON a.run_id = r.id)
-    SELECT id AS run_id, 'high_error_rate' AS rule, round(share, 4) AS failed_share FROM j WHERE share > 0.2
-    UNION ALL SELECT id, 'slow_run', round(share, 4) FROM j WHERE secs > 86000""")
+    SELECT id AS run_id, 'high_error_rate' AS rule, round(share, 6) AS failed_share FROM j WHERE share > 0.2
+    UNION ALL SELECT id, 'slow_run', round(share, 6) FROM j WHERE secs > 86000""")
 def run_alert_rules(t: Tables) -> DataFrame:
     fired = detectors.run_alert_rules(t.runs, t.attempts, max_failed_share=0.2, max_duration_s=86_000)
     return fired.select("run_id", "rule", "failed_share")
@@ -1714,7 +1714,7 @@ def stream_upsert(t: Tables) -> DataFrame:
 
 
 @register(_COUNT_HISTORY + f"""
-    SELECT source, id, job_count AS current_count, round(average, 4) AS average_count,
+    SELECT source, id, job_count AS current_count, round(average, 6) AS average_count,
            CASE WHEN job_count = 0 AND average > 1 THEN 'zero_jobs' ELSE 'suspicious_count' END AS type
     FROM w WHERE (job_count = 0 AND average > 1) OR {_FALLING}""")
 def stream_zero_jobs(t: Tables) -> DataFrame:

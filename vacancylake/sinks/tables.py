@@ -22,11 +22,16 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def _read_pointer(spark: SparkSession, path: str) -> list[str]:
-    context, package, conf = _hadoop(spark, path)
+    context, package, _ = _hadoop(spark, path)
     pointer = package.Path(path, _POINTER)
     if not context.util().exists(pointer):
         return []
-    return [row.value for row in spark.read.text(f"{path}/{_POINTER}").collect()]
+    java = spark._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(context.open(pointer), "UTF-8"))
+    try:
+        return list(iter(reader.readLine, None))
+    finally:
+        reader.close()
 
 
 def current_snapshot(spark: SparkSession, path: str) -> str | None:
