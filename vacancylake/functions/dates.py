@@ -39,6 +39,8 @@ _ISO_SPELLING = [
     (r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"),
     (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(\d{2})(\d{2})(?!\d)", "$1:$2:$3"),
     (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(\d{2})(?!\d)", "$1:$2"),
+    (r"^(\S{10}[T ]\d{2})(?=$|Z|[+-])", "$1:00"),
+    (r"^(\S{10}[T ]\d{2}:\d{2})(?=$|Z|[+-])", "$1:00"),
     (r"(\d),(\d)", "$1.$2"),
     (r"([T ].*[+-]\d{2})(\d{2})$", "$1:$2"),
     (r"([T ].*[+-]\d{2})$", "$1:00"),

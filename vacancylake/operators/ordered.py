@@ -22,24 +22,29 @@ MAX_GROUP_ROWS = 5_000_000
 Compute = Callable[[DataFrame, WindowSpec], DataFrame]
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the biggest key (a map-side combined count)."""
-    if not keys:
-        return df.count()
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the biggest key and rows in all (a map-side combined count)."""
+    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return row[0] or 0, row[1] or 0
 
 
-def ordered_chunks(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def ordered_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int) -> DataFrame:
     """Rows with the number of the range partition they fall in, as ``_chunk``.
 
     Written to the checkpoint folder because range bounds come from sampling:
     every later reader must see the same chunks.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*[F.col(name).asc_nulls_first() for name in [*keys, *order]])
+    bounds = [F.col(name).asc_nulls_first() for name in [*keys, *order]]
+    ranged = df.repartitionByRange(chunks, *bounds)
     return ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint()
 
 
+def _chunk_count(total: int, max_group_rows: int) -> int:
+    """Chunks that hold about half the rows one task is trusted with."""
+    return max(2, -(-2 * total // max_group_rows))
+
+
 def lookback(
     df: DataFrame,
     keys: list[str],
@@ -49,10 +54,11 @@ def lookback(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Run ``compute`` where each row needs at most ``depth`` rows before it."""
-    if largest_group(df, keys) <= max_group_rows:
+    largest, total = group_sizes(df, keys)
+    if largest <= max_group_rows:
         return compute(df, Window.partitionBy(*keys).orderBy(*order))
 
-    chunked = ordered_chunks(df, keys, order)
+    chunked = ordered_chunks(df, keys, order, _chunk_count(total, max_group_rows))
     chunk_keys = [*keys, "_chunk"]
     newest_first = Window.partitionBy(*chunk_keys).orderBy(*[F.desc(name) for name in order])
     # At most ``depth`` rows per (key, chunk) leave each task: the ranking filter
@@ -88,12 +94,13 @@ def running_sum(
 ) -> DataFrame:
     """Cumulative sum per key; rows with equal ``order`` all see each other."""
     rows = df.withColumn("_value", value)
-    if largest_group(rows, keys) <= max_group_rows:
+    largest, total = group_sizes(rows, keys)
+    if largest <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(order)
         return rows.withColumn(name, F.sum("_value").over(window)).drop("_value")
 
     # Equal order values share a range partition, so no tie crosses a chunk.
-    chunked = ordered_chunks(rows, keys, [order])
+    chunked = ordered_chunks(rows, keys, [order], _chunk_count(total, max_group_rows))
     chunk_keys = [*keys, "_chunk"]
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     subtotals = (

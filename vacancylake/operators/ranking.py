@@ -106,7 +106,8 @@ def paginate(
     if start + limit <= top_k_limit:
         rows = df.orderBy(*order).offset(start).limit(limit)
     else:
-        rows = _page_by_position(df, start, limit, order)
+        chunks = max(2, -(-total // top_k_limit))
+        rows = _page_by_position(df, start, limit, order, chunks)
     return rows.select(
         "*",
         F.lit(page).alias("page"),
@@ -116,11 +117,12 @@ def paginate(
     )
 
 
-def _page_by_position(df: DataFrame, start: int, limit: int, order: list[Column]) -> DataFrame:
+def _page_by_position(
+    df: DataFrame, start: int, limit: int, order: list[Column], chunks: int
+) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    chunked = (
-        df.repartitionByRange(*order).withColumn("_chunk", F.spark_partition_id()).checkpoint()
-    )
+    ranged = df.repartitionByRange(chunks, *order)
+    chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint()
     sizes = chunked.groupBy("_chunk").count().withColumn(
         "_before",
         F.coalesce(
