@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vacancylake.functions.binding import let
 from vacancylake.functions.text import blank_to_null, strip
 
 # Relative-date units, tried in this order, in seconds.
@@ -15,14 +16,15 @@ RELATIVE_UNITS = [
     ("month", 2_592_000),
 ]
 
-# Absolute layouts a listing page may use, tried in order.
+# Absolute layouts a listing page may use, tried in order, each
+# with the shape a text must have to be worth parsing.
 LOOSE_LAYOUTS = [
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "d-M-yyyy",
-    "d/M/yyyy",
-    "MMMM d, yyyy",
-    "MMM d, yyyy",
+    ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+    ("d-M-yyyy", r"^\d{1,2}-\d{1,2}-\d{4}$"),
+    ("d/M/yyyy", r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    ("MMMM d, yyyy", r"^[A-Za-z]{4,} \d{1,2}, \d{4}$"),
+    ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
 ]
 
 _OFFSET = r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)?"
@@ -48,15 +50,24 @@ _ISO_SPELLING = [
 
 
 def _iso_instant(text: Column) -> Column:
-    for pattern, spelled in _ISO_SPELLING:
-        text = F.regexp_replace(text, pattern, spelled)
-    return F.when(text.rlike(f"^({_ISO_SHAPES})$"), text.try_cast("timestamp"))
+    def spelled_out(value: Column) -> Column:
+        for pattern, spelling in _ISO_SPELLING:
+            value = F.regexp_replace(value, pattern, spelling)
+        return value
+
+    # Most feeds use the extended form, which needs no spelling out.
+    usual = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?$"
+    return F.when(text.rlike(usual), text.try_cast("timestamp")).otherwise(
+        let(
+            spelled_out(text),
+            lambda full: F.when(full.rlike(f"^({_ISO_SHAPES})$"), full.try_cast("timestamp")),
+        )
+    )
 
 
 def parse_posted_at(col: Column) -> Column:
     """ISO-8601 text to a UTC instant; null when blank or unreadable."""
-    text = F.upper(blank_to_null(col))
-    return _iso_instant(text)
+    return let(F.upper(blank_to_null(col)), _iso_instant)
 
 
 def posted_at_rejected(col: Column) -> Column:
@@ -66,22 +77,36 @@ def posted_at_rejected(col: Column) -> Column:
 
 def parse_loose_date(col: Column, now: Column) -> Column:
     """Relative or absolute date as shown on a listing page; null if neither."""
-    text = F.regexp_replace(strip(col), r"\s+", " ")
-    lowered = F.lower(text)
-    relative = F.when(lowered.contains("today"), now).when(
-        lowered.contains("yesterday"), now - F.expr("INTERVAL 1 DAY")
-    )
-    for unit, seconds in RELATIVE_UNITS:
-        amount = F.regexp_extract(lowered, rf"(\d+)\s+{unit}", 1).try_cast("bigint")
-        relative = relative.when(
-            amount.isNotNull(), F.timestamp_micros(F.unix_micros(now) - amount * (seconds * 1_000_000))
+
+    def relative(lowered: Column) -> Column:
+        rule = F.when(lowered.contains("today"), now).when(
+            lowered.contains("yesterday"), now - F.expr("INTERVAL 1 DAY")
+        )
+        for unit, seconds in RELATIVE_UNITS:
+            pattern = rf"(\d+)\s+{unit}"
+            amount = F.regexp_extract(lowered, pattern, 1).try_cast("bigint")
+            back = F.timestamp_micros(F.unix_micros(now) - amount * (seconds * 1_000_000))
+            rule = rule.when(lowered.rlike(pattern), back)
+        return rule
+
+    def absolute(text: Column) -> Column:
+        # Parsing is tried only on a fitting shape: a failed parse costs an
+        # exception inside the engine.
+        rule = F.when(
+            text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?[Zz]?$"),
+            F.upper(text).try_cast("timestamp"),
         )
-    stamped = F.when(
-        text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[Tt]\d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,6})?[Zz]?$"),
-        F.upper(text).try_cast("timestamp"),
+        for layout, shape in LOOSE_LAYOUTS:
+            rule = rule.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(layout)))
+        return rule
+
+    squeezed = F.regexp_replace(strip(col), r"\s+", " ")
+    return let(
+        squeezed,
+        lambda text: F.when(
+            text != "", F.coalesce(let(F.lower(text), relative), absolute(text))
+        ),
     )
-    absolute = [F.try_to_timestamp(text, F.lit(layout)) for layout in LOOSE_LAYOUTS]
-    return F.when(text != "", F.coalesce(relative, *absolute, stamped))
 
 
 def iso_text(instant: Column) -> Column:
@@ -98,7 +123,7 @@ def iso_text(instant: Column) -> Column:
 def iso_or_original(col: Column, now: Column) -> Column:
     """ISO text of a loose date, the text itself if unreadable, null if empty."""
     present = F.when(col != "", col)
-    return F.coalesce(iso_text(parse_loose_date(present, now)), present)
+    return F.coalesce(let(parse_loose_date(present, now), iso_text), present)
 
 
 def duration_seconds(started: Column, finished: Column) -> Column:

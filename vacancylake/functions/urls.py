@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vacancylake.functions.binding import let
 from vacancylake.functions.text import strip
 
 # Query parameters that never take part in a listing's identity.
@@ -39,7 +40,10 @@ _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
 def clean_url(url: Column) -> Column:
     """Trim a URL and drop the line breaks and tabs a parser ignores."""
-    return F.regexp_replace(F.regexp_replace(strip(url), r"[\t\r\n]", ""), r"^[\x00-\x20]+", "")
+    return let(
+        F.translate(strip(url), "\t\r\n", ""),
+        lambda text: F.when(text < "!", F.regexp_replace(text, r"^[\x00-\x20]+", "")).otherwise(text),
+    )
 
 
 def is_absolute(url: Column) -> Column:
@@ -106,30 +110,56 @@ def canonical_query(query: Column) -> Column:
     )
 
 
-def canonicalize_url(url: Column) -> Column:
-    """Canonical form of a listing URL; null when it has no scheme or host."""
-    text = clean_url(url)
-    scheme = F.lower(F.regexp_extract(text, _URL, 1))
-    host = F.lower(F.regexp_extract(text, _URL, 2))
-    path = F.regexp_extract(text, _URL, 3)
-    query = F.regexp_extract(text, _URL, 4)
+def _split(text: Column) -> Column:
+    """Scheme, host, path and query of a cleaned URL; blank where it has none."""
+    return F.struct(
+        F.lower(F.regexp_extract(text, _URL, 1)).alias("scheme"),
+        F.lower(F.regexp_extract(text, _URL, 2)).alias("host"),
+        F.regexp_extract(text, _URL, 3).alias("path"),
+        F.regexp_extract(text, _URL, 4).alias("query"),
+    )
 
+
+def _bare_host(scheme: Column, host: Column) -> Column:
+    """The host without the port its scheme implies."""
+    rule = host
     for name, port in DEFAULT_PORTS.items():
-        host = F.when(scheme == name, F.regexp_replace(host, f":{port}$", "")).otherwise(host)
-    path = F.when(
+        rule = F.when(
+            (scheme == name) & host.endswith(f":{port}"), F.regexp_replace(host, f":{port}$", "")
+        ).otherwise(rule)
+    return rule
+
+
+def _bare_path(scheme: Column, path: Column) -> Column:
+    """The path without dot segments and without its last segment's parameters."""
+    plain = F.when(
         path.contains(";") & scheme.isin(_PARAMETER_SCHEMES),
         F.regexp_replace(path, r";[^/]*$", ""),
     ).otherwise(path)
-    path = remove_dot_segments(path)
+    return F.when(path.contains("/."), let(plain, remove_dot_segments)).otherwise(plain)
+
+
+def _assemble(part: Column) -> Column:
+    scheme, host, query = part["scheme"], part["host"], part["query"]
+    base = F.concat(
+        scheme, F.lit("://"), _bare_host(scheme, host), _bare_path(scheme, part["path"])
+    )
     kept = F.when(query != "", canonical_query(query)).otherwise(F.lit(""))
-    base = F.concat(scheme, F.lit("://"), host, path)
-    whole = F.when(kept != "", F.concat(base, F.lit("?"), kept)).otherwise(
-        F.regexp_replace(base, "/+$", "")
+    whole = let(
+        F.struct(base.alias("base"), kept.alias("kept")),
+        lambda made: F.when(
+            made["kept"] != "", F.concat(made["base"], F.lit("?"), made["kept"])
+        ).otherwise(F.regexp_replace(made["base"], "/+$", "")),
     )
-    balanced = F.instr(host, "[").cast("boolean") == F.instr(host, "]").cast("boolean")
+    balanced = host.contains("[") == host.contains("]")
     return F.when((scheme != "") & (host != "") & balanced, whole)
 
 
+def canonicalize_url(url: Column) -> Column:
+    """Canonical form of a listing URL; null when it has no scheme or host."""
+    return let(clean_url(url), lambda text: let(_split(text), _assemble))
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Resolve a link against the page it was found on."""
     scheme = F.lower(F.regexp_extract(base, _URL, 1))

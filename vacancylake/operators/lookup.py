@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vacancylake.functions.dates import duration_seconds
 from vacancylake.functions.text import blank_to_null, title_fingerprint
 from vacancylake.operators.spread import attach
+from vacancylake.session import literal_frame
 
 
 def _company_names(companies: DataFrame) -> DataFrame:
@@ -91,9 +92,8 @@ def unmatched_sources(companies: DataFrame, specs: DataFrame) -> DataFrame:
 
 def companies_by_slugs(companies: DataFrame, slugs: list[str]) -> tuple[DataFrame, DataFrame]:
     """Requested companies in request order, and the slugs not found."""
-    wanted = companies.sparkSession.createDataFrame(
-        list(enumerate(slugs)), "request_pos int, slug string"
-    )
+    asked = [{"request_pos": pos, "slug": slug} for pos, slug in enumerate(slugs)]
+    wanted = literal_frame(companies.sparkSession, asked, "request_pos int, slug string")
     found = companies.join(F.broadcast(wanted), "slug").orderBy("request_pos")
     missing = wanted.join(companies.select("slug").filter(F.col("slug").isin(slugs)), "slug", "left_anti")
     return found, missing

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancylake.functions.dates import parse_posted_at, posted_at_rejected
+from vacancylake.functions.dates import parse_posted_at
 from vacancylake.functions.text import blank_to_null, default_location, strip
 from vacancylake.functions.urls import canonicalize_url, clean_url, is_absolute
 from vacancylake.operators.spread import attach
@@ -50,33 +50,45 @@ def to_records(rows: DataFrame) -> DataFrame:
 
     Expects ``company_id`` next to the raw columns.
     """
-    url = clean_url(F.col("url"))
-    records = rows.select(
+    def optional(name: str) -> Column:
+        return F.col(name) if name in rows.columns else F.lit(None).cast("string")
+
+    read = rows.select(
         "company_id",
         strip(F.col("title")).alias("title"),
-        (F.col("title_vi") if "title_vi" in rows.columns else F.lit(None).cast("string")).alias(
-            "title_vi"
-        ),
+        optional("title_vi").alias("title_vi"),
         default_location(F.col("location")).alias("location"),
-        url.alias("url"),
-        F.coalesce(canonicalize_url(F.col("url")), url).alias("canonical_url"),
+        clean_url(F.col("url")).alias("url"),
+        canonicalize_url(F.col("url")).alias("_canonical"),
+        blank_to_null(F.col("date_posted")).isNotNull().alias("_dated"),
         parse_posted_at(F.col("date_posted")).alias("date_posted"),
+        "source_job_id",
+        optional("salary_raw").alias("salary_raw"),
+        "raw_data",
+        "page_no",
+        "pos",
+    )
+    return read.select(
+        "company_id",
+        "title",
+        "title_vi",
+        "location",
+        "url",
+        F.coalesce("_canonical", "url").alias("canonical_url"),
+        "date_posted",
         F.lit("open").alias("status"),
         "source_job_id",
-        (F.col("salary_raw") if "salary_raw" in rows.columns else F.lit(None).cast("string")).alias(
-            "salary_raw"
-        ),
+        "salary_raw",
         "raw_data",
         "page_no",
         "pos",
         _reasons(
             ("bad company", F.coalesce(F.col("company_id") <= 0, F.lit(True))),
-            ("empty title", blank_to_null(F.col("title")).isNull()),
-            ("bad url", ~is_absolute(F.col("url"))),
-            ("unparseable date", posted_at_rejected(F.col("date_posted"))),
+            ("empty title", F.coalesce(F.col("title") == "", F.lit(True))),
+            ("bad url", F.col("_canonical").isNull() & ~is_absolute(F.col("url"))),
+            ("unparseable date", F.col("_dated") & F.col("date_posted").isNull()),
         ).alias("reject_reasons"),
     )
-    return records
 
 
 def _midnight(day: date | datetime | str) -> Column:

@@ -65,3 +65,17 @@ def first_rows(
     return df.groupBy(*keys).agg(best).select(*keys, "_row.*").select(
         *[name for name in df.columns if name in keys or name in columns]
     )
+
+
+def fill_cores(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Spread a small input over all cores before costly per-row work.
+
+    A scan larger than the cluster's cores times one file split already has
+    enough tasks and is left alone: moving it would cost more than it gains.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if planned_bytes(df) >= cores * split:
+        return df
+    return df.repartition(cores, *keys)

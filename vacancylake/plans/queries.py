@@ -145,7 +145,8 @@ def canonicalize_url(t: Tables) -> DataFrame:
         F.concat(F.lit("https://User@JOBS.example.com/x/y/../"), k, F.lit("?")),
     ]
     raw = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 10 + 1).cast("int"))
-    return t.sql(_MESSY).select("o_orderkey", urls.canonicalize_url(raw).alias("canonical_url"))
+    messy = t.sql(_MESSY).select("o_orderkey", raw.alias("raw"))
+    return messy.select("o_orderkey", urls.canonicalize_url(F.col("raw")).alias("canonical_url"))
 
 
 @register("""
@@ -188,10 +189,10 @@ def parse_posted_at(t: Tables) -> DataFrame:
         F.lit("2026-13-45"),
     ]
     raw = F.element_at(F.array(*shapes), (F.col("o_orderkey") % 9 + 1).cast("int"))
-    return t.orders.select(
+    return t.orders.select("o_orderkey", raw.alias("raw")).select(
         "o_orderkey",
-        dates.parse_posted_at(raw).alias("posted_at"),
-        dates.posted_at_rejected(raw).alias("rejected"),
+        dates.parse_posted_at(F.col("raw")).alias("posted_at"),
+        dates.posted_at_rejected(F.col("raw")).alias("rejected"),
     )
 
 

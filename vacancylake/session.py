@@ -6,7 +6,8 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on; cluster sizing stays with whoever submits it.
 SESSION_SETTINGS = {
@@ -79,3 +80,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="vacancylake-checkpoint-")
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
+
+
+def literal_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """A table written down in code, as a local relation whose size Catalyst knows."""
+    fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    columns = {name: pa.array([row.get(name) for row in rows], kinds[kind]) for name, kind in fields}
+    return spark.createDataFrame(pa.table(columns), schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vacancylake.operators.merge import upsert_companies
 from vacancylake.operators.quality import compliance_gate
+from vacancylake.session import literal_frame
 
 SEED_SCHEMA = (
     "name string, slug string, adapter_type string, base_url string, config string, "
@@ -51,8 +52,9 @@ SEED = [
 
 
 def seed_frame(spark: SparkSession) -> DataFrame:
-    rows = [(n, s, a, u, c, True, True, state) for n, s, a, u, c, state in SEED]
-    return spark.createDataFrame(rows, SEED_SCHEMA)
+    names = ["name", "slug", "adapter_type", "base_url", "config", "compliance_status"]
+    rows = [dict(zip(names, row), is_active=True, authoritative=True) for row in SEED]
+    return literal_frame(spark, rows, SEED_SCHEMA)
 
 
 def load_companies(

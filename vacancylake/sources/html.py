@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vacancylake.functions.text import source_job_id
 from vacancylake.functions.urls import resolve_url
-from vacancylake.operators.spread import attach
+from vacancylake.operators.spread import attach, fill_cores
 from vacancylake.sources import markup
 from vacancylake.sources.specs import DEFAULT_CARD_RULE, RULE_SCHEMA, PageRule
 
@@ -140,7 +140,8 @@ def _extract(pages: DataFrame, need_url: bool, noun: str) -> DataFrame:
         "url_attribute", "base_url", "default_location", "id_attribute", "next_page",
     ]
     returned = ", ".join(f"{name} {kind}" for name, kind in _EXTRACT_FIELDS.items())
-    return pages.select(*columns).mapInArrow(parse, returned)
+    spread = fill_cores(pages.select(*columns), ["source", "page_no"])
+    return spread.mapInArrow(parse, returned)
 
 
 def extract_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -227,7 +228,7 @@ def with_match_counts(pages: DataFrame, selectors: list[str], key: list[str]) ->
                 names=[*key, "match_counts"],
             )
 
-    return pages.select(*key, "html").mapInArrow(
+    return fill_cores(pages.select(*key, "html"), key).mapInArrow(
         tally, ", ".join(fields) + ", match_counts map<string,int>"
     )
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass, field, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vacancylake.session import literal_frame
+
 RULE_SCHEMA = (
     "source string, family string, container string, title string, link string, "
     "location string, date string, url_attribute string, base_url string, "
@@ -69,15 +71,11 @@ class SourceCatalog:
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """Specs as rows: slug, family, listing_url, paging and limits."""
-        rows = [
-            (s.slug, s.family, s.listing_url, s.paging, s.first_page_bare, s.max_pages, s.per_page)
-            for s in self.enabled()
-        ]
-        return spark.createDataFrame(
-            rows,
+        schema = (
             "slug string, family string, listing_url string, paging string, "
-            "first_page_bare boolean, max_pages int, per_page int",
+            "first_page_bare boolean, max_pages int, per_page int"
         )
+        return literal_frame(spark, [vars(s) for s in self.enabled()], schema)
 
     def rules(self, spark: SparkSession) -> DataFrame:
         """Rules of the HTML sources as rows."""
@@ -87,7 +85,7 @@ class SourceCatalog:
             for s in self.enabled()
             if s.rule is not None
         ]
-        return spark.createDataFrame(rows, RULE_SCHEMA)
+        return literal_frame(spark, rows, RULE_SCHEMA)
 
 
 # Listing pages, selectors and default locations of each source.
