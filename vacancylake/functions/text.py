@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vacancylake.functions.binding import let
+
 # Accepted spellings of each listing status.
 STATUS_ALIASES = {
     "open": ["open", "active", "live"],
@@ -109,15 +111,19 @@ def salary_bucket(col: Column) -> Column:
 
 def easy_apply(raw_data: Column) -> Column:
     """``Yes`` when the payload's easy_apply is JSON true or an affirming string."""
-    # VARIANT keeps the JSON type, so the number 1 and the string "1" differ.
+
+    def affirmed(value: Column) -> Column:
+        # VARIANT keeps the JSON type, so the number 1 and the string "1" differ.
+        kind = F.schema_of_variant(value)
+        word = F.lower(F.try_variant_get(value, "$", "string"))
+        yes = ((kind == "BOOLEAN") & (word == "true")) | (
+            (kind == "STRING") & word.isin("yes", "true", "1")
+        )
+        return F.when(yes, "Yes").otherwise("")
+
     value = F.try_variant_get(F.try_parse_json(raw_data), "$.easy_apply", "variant")
-    kind = F.schema_of_variant(value)
-    text = F.lower(F.try_variant_get(F.try_parse_json(raw_data), "$.easy_apply", "string"))
-    return F.when(
-        ((kind == "BOOLEAN") & (text == "true"))
-        | ((kind == "STRING") & text.isin("yes", "true", "1")),
-        "Yes",
-    ).otherwise("")
+    # most payloads do not mention it and need no parsing
+    return F.when(raw_data.contains("easy_apply"), let(value, affirmed)).otherwise("")
 
 
 def salary_text(salary_raw: Column, raw_data: Column, salary: Column | None = None) -> Column:

@@ -111,10 +111,12 @@ def filter_jobs(
     """
     rows = jobs
     if company:
-        match = companies.filter(F.col("slug") == company)
-        wanted = match.agg(F.max("id")).scalar()
-        keep = F.col("company_id") == wanted
-        rows = rows.filter(F.coalesce(keep, F.lit(False)) if strict else keep | wanted.isNull())
+        # Looked up first, so that the id is a literal the scan can prune by.
+        match = companies.filter(F.col("slug") == company).select("id").head()
+        if match is not None:
+            rows = rows.filter(F.col("company_id") == match["id"])
+        elif strict:
+            rows = rows.filter(F.lit(False))
     if status and (strict or status in ("open", "closed", "unknown")):
         rows = rows.filter(F.col("status") == status)
     if date_from:

@@ -18,6 +18,18 @@ def planned_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    """Whether a frame is small enough to send to every executor.
+
+    The planner's estimate settles most cases. It cannot see how far a grouping
+    or a filter shrinks its input, so above the limit the rows are counted.
+    """
+    if planned_bytes(df) <= limit:
+        return True
+    widths = [64 if isinstance(f.dataType, T.StringType) else 16 for f in df.schema.fields]
+    return df.count() * sum(widths) <= limit
+
+
 def row_salt(df: DataFrame, salts: int = SALTS, by: list[str] | None = None) -> Column:
     """A repeatable bucket for each row, drawn from the row's own values."""
     names = by or [
@@ -44,7 +56,7 @@ def attach(
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if planned_bytes(dimension) <= limit:
+    if fits_broadcast(dimension, limit):
         return facts.join(F.broadcast(dimension), on, how)
     salted = facts.withColumn("_salt", row_salt(facts, salts))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

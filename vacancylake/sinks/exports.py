@@ -80,7 +80,7 @@ def application_sheet(jobs: DataFrame, today: date | str, default_status: str =
         present = [F.nullif(F.col(n), blank) for n in names if n in jobs.columns]
         return F.coalesce(*present, blank)
 
-    salary = salary_text(F.col("salary_raw"), F.col("raw_data"))
+    salary = F.col("_salary")
     values = [
         first("company_name", "company_slug"),
         first("title"),
@@ -100,7 +100,8 @@ def application_sheet(jobs: DataFrame, today: date | str, default_status: str =
         easy_apply(F.col("raw_data")),
         salary_bucket(salary),
     ]
-    return jobs.select(*[v.alias(n) for n, v in zip(SHEET_COLUMNS, values)])
+    priced = jobs.withColumn("_salary", salary_text(F.col("salary_raw"), F.col("raw_data")))
+    return priced.select(*[v.alias(n) for n, v in zip(SHEET_COLUMNS, values)])
 
 
 def export_csv(rows: DataFrame, path: str, single_file: bool | None = None, bom: bool = False) -> None:
