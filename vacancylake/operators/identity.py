@@ -32,7 +32,8 @@ def duplicates(records: DataFrame, salts: int = SALTS) -> DataFrame:
     key, the salts that occur (at most ``salts``), so it is repeated only as
     often as needed and no task receives all rows of a hot key.
     """
-    counted = records.groupBy(*records.columns).agg(F.count("*").alias("_n"))
+    keyed = records.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
+    counted = keyed.groupBy(*records.columns).agg(F.count("*").alias("_n"))
     ordinal = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_input_order(records))])
     salted = counted.withColumn("_ordinal", ordinal).withColumn(
         "_salt", row_salt(records, salts, records.columns)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from vacancylake.session import ensure_checkpoint_dir
+from vacancylake.session import materialize
 
 #: Rows of one key that a single task is trusted to sort and scan.
 MAX_GROUP_ROWS = 5_000_000
@@ -31,13 +31,12 @@ def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
 def ordered_chunks(df: DataFrame, keys: list[str], order: list[str], chunks: int) -> DataFrame:
     """Rows with the number of the range partition they fall in, as ``_chunk``.
 
-    Written to the checkpoint folder because range bounds come from sampling:
+    Materialized, because range bounds come from sampling:
     every later reader must see the same chunks.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     bounds = [F.col(name).asc_nulls_first() for name in [*keys, *order]]
     ranged = df.repartitionByRange(chunks, *bounds)
-    return ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint()
+    return materialize(ranged.withColumn("_chunk", F.spark_partition_id()))
 
 
 def _chunk_count(total: int, max_group_rows: int) -> int:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancylake.session import ensure_checkpoint_dir
+from vacancylake.session import materialize
 
 # Rows per page of each list.
 PAGE_SIZES = {"jobs": 25, "companies": 20, "runs": 20}
@@ -120,9 +120,8 @@ def paginate(
 def _page_by_position(
     df: DataFrame, start: int, limit: int, order: list[Column], chunks: int
 ) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(chunks, *order)
-    chunked = ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint()
+    chunked = materialize(ranged.withColumn("_chunk", F.spark_partition_id()))
     sizes = chunked.groupBy("_chunk").count().withColumn(
         "_before",
         F.coalesce(

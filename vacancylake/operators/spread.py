@@ -37,7 +37,9 @@ def row_salt(df: DataFrame, salts: int = SALTS, by: list[str] | None = None) ->
         for field in df.schema.fields
         if not isinstance(field.dataType, (T.MapType, T.VariantType))
     ]
-    return F.pmod(F.xxhash64(*[F.col(name) for name in names]), F.lit(salts)).cast("int")
+    bucket = F.pmod(F.xxhash64(*[F.col(name) for name in names]), F.lit(salts))
+    # never null, which the planner cannot tell from a remainder alone
+    return F.coalesce(bucket, F.lit(0)).cast("int")
 
 
 def attach(

@@ -16,7 +16,7 @@ from vacancylake.operators.quality import split_by, to_records, validate_raw
 from vacancylake.operators.reconcile import reconcile
 from vacancylake.operators.rollups import attempt_rows, overall_status
 from vacancylake.operators.spread import attach
-from vacancylake.session import ensure_checkpoint_dir
+from vacancylake.session import materialize
 from vacancylake.sources.html import extract_pages, listings
 from vacancylake.sources.pages import html_pages
 from vacancylake.sources.specs import SourceCatalog
@@ -67,15 +67,14 @@ def run_snapshot(
 
     All companies go through one plan. A source that failed is known by its row
     in the extraction outcomes and leaves its listings untouched. The parsed
-    records are checkpointed, because five results are drawn from them.
+    records are materialized, because five results are drawn from them.
     """
     spark = pages.sparkSession
-    ensure_checkpoint_dir(spark)
     valid, skipped = split_by(validate_raw(raw_listings(pages, catalog)), "skip_reasons")
     ids = companies.filter("is_active").select(
         F.col("slug").alias("source"), F.col("id").alias("company_id")
     )
-    records = to_records(attach(valid, ids, ["source"], "inner")).checkpoint()
+    records = materialize(to_records(attach(valid, ids, ["source"], "inner")))
     good, rejected = split_by(records, "reject_reasons")
     unique, dropped = dedupe(good), duplicates(good)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 import pyarrow as pa
@@ -82,6 +83,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a frame to the checkpoint folder as Parquet and read it back.
+
+    Cuts the lineage like a checkpoint, computes the frame only once, and leaves
+    a columnar table later readers can prune and whose size the planner knows.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def literal_frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A table written down in code, as a local relation whose size Catalyst knows."""
     fields = [part.strip().rsplit(" ", 1) for part in schema.split(",")]
