@@ -45,6 +45,8 @@ HEADLINE = [
     "application_sheet",
     "stream_zero_jobs",
     "stream_upsert",
+    "extract_known_sources",
+    "snapshot_listings",
 ]
 
 

@@ -265,6 +265,49 @@ class Tables:
         )
 
 
+_CARD = {
+    "techcorp": (
+        '<div class="job-card"><h3 class="job-title">%s &amp; %s</h3><div class="job-meta">'
+        '<span class="location">%s</span></div><a class="job-link" href="/careers/%s">Go</a></div>'
+    ),
+    "startupxyz": (
+        '<tr class="job-row"><td class="job-title-cell"><a href="/jobs/%4$s">%1$s &amp; %2$s</a>'
+        '<td class="job-location-cell">%3$s<td class="job-date-cell">July'
+    ),
+    "caloptima": (
+        '<tr><td><a href="/1150/job/x%4$s?p=1">%1$s <b>&amp;</b> %2$s</a></td><td>%3$s</td></tr>'
+    ),
+    "tiktok": (
+        '<div data-job-id="%4$s"><a href="/position/%4$s">%1$s &amp; %2$s</a>'
+        '<span class="location">%3$s</span></div>'
+    ),
+}
+
+
+def listing_pages(orders: DataFrame) -> DataFrame:
+    """Orders as HTML listing pages of 100 in the layouts of four known sources."""
+    slugs = list(_CARD)
+    page = F.floor(F.col("o_orderkey") / 100).cast("int")
+    key = F.col("o_orderkey").cast("string")
+    city = F.when(
+        F.col("o_orderkey") % 3 != 0, F.concat(F.lit("City "), (F.col("o_custkey") % 20).cast("string"))
+    ).otherwise("")
+    values = (F.col("o_orderpriority"), F.col("o_orderstatus"), city, key)
+    card = F.lit(None).cast("string")
+    for at, slug in enumerate(slugs):
+        card = F.when(page % len(slugs) == at, F.format_string(_CARD[slug], *values)).otherwise(card)
+    body = F.array_join(F.transform(F.array_sort("cards"), lambda c: c["card"]), "\n")
+    return (
+        orders.groupBy(page.alias("_page"))
+        .agg(F.collect_list(F.struct("o_orderkey", card.alias("card"))).alias("cards"))
+        .select(
+            F.element_at(F.array(*[F.lit(s) for s in slugs]), F.col("_page") % len(slugs) + 1).alias("source"),
+            (F.col("_page") + 1).alias("page_no"),
+            F.concat(F.lit("<html><body><table><tbody>"), body, F.lit("</tbody></table>")).alias("html"),
+        )
+    )
+
+
 def cte(*names: str) -> str:
     """``WITH`` clause defining derived frames for the checking engine."""
     plain = {name: name for name in _BASE}

@@ -28,9 +28,11 @@ from vacancylake.operators import (
     reconcile,
     rollups,
 )
-from vacancylake.plans.driver_tables import DERIVED, Tables, cte, tidy
-from vacancylake.session import ensure_checkpoint_dir
+from vacancylake.plans.driver_tables import DERIVED, Tables, cte, listing_pages, tidy
+from vacancylake.plans.snapshot import run_snapshot
+from vacancylake.session import ensure_checkpoint_dir, materialize
 from vacancylake.sinks import exports
+from vacancylake.sinks import tables as sinks
 from vacancylake.sources import ats, companies, html, pages, specs, tables
 from vacancylake.streaming import jobs as streams
 
@@ -1751,3 +1753,139 @@ def stream_timeout_counts(t: Tables) -> DataFrame:
             _event_stream(t, "timeouts"), window_s=7200, slide_s=3600, watermark="1 hour"
         ),
     )
+
+
+# --------------------------------------------------------------------------
+# Known sources, whole runs and tables written and read back
+# --------------------------------------------------------------------------
+
+
+@register("""
+    SELECT source, page_no, row_number() OVER (PARTITION BY page_no ORDER BY o_orderkey) - 1 AS pos, title,
+           CASE WHEN o_orderkey % 3 <> 0 THEN 'City ' || CAST(o_custkey % 20 AS STRING)
+                WHEN source = 'caloptima' THEN 'Orange County, CA'
+                WHEN source = 'tiktok' THEN '' ELSE 'Remote' END AS location,
+           CASE source WHEN 'techcorp' THEN 'https://www.techcorp.example/careers/' || k
+                WHEN 'startupxyz' THEN 'https://startupxyz.example.com/jobs/' || k
+                WHEN 'caloptima' THEN 'https://careers.pageuppeople.com/1150/job/x' || k || '?p=1'
+                ELSE 'https://careers.tiktok.com/position/' || k END AS url,
+           CASE source WHEN 'caloptima' THEN 'x' || k ELSE k END AS source_job_id
+    FROM (SELECT *, CAST(o_orderkey AS STRING) AS k, o_orderpriority || ' & ' || o_orderstatus AS title,
+                 CAST(floor(o_orderkey / 100) AS BIGINT) + 1 AS page_no,
+                 CASE CAST(floor(o_orderkey / 100) AS BIGINT) % 4 WHEN 0 THEN 'techcorp' WHEN 1 THEN 'startupxyz'
+                      WHEN 2 THEN 'caloptima' ELSE 'tiktok' END AS source
+          FROM orders)""")
+def extract_known_sources(t: Tables) -> DataFrame:
+    rules = specs.default_catalog().rules(t.spark)
+    rows = html.extract_listings(listing_pages(t.orders), rules)
+    return rows.select("source", "page_no", "pos", "title", "location", "url", "source_job_id")
+
+
+def _snapshot_run(t: Tables):
+    """A run over one source whose pages hold every order."""
+    pages_read = t.ats_pages("greenhouse").withColumn("source", F.lit("opswat"))
+    pages_read = pages_read.withColumns(
+        {"url": F.lit("u"), "content_type": F.lit("application/json")}
+    )
+    pages_read = materialize(pages_read)
+    log = pages_read.select(
+        "source",
+        F.lit("api").alias("family"),
+        "page_no",
+        F.lit(1).alias("attempt"),
+        "status_code",
+        "content_type",
+        F.lit(None).cast("string").alias("error_type"),
+        F.json_array_length(F.get_json_object("body", "$.jobs")).alias("n_jobs"),
+    )
+    seed = companies.seed_frame(t.spark).filter("slug in ('opswat', 'vancity')")
+    known = seed.withColumn("id", F.when(F.col("slug") == "opswat", F.lit(1)).otherwise(2).cast("bigint"))
+    even = F.col("id") % 2 == 1
+    key = (F.col("id") - 1).cast("string")
+    stored = t.jobs.withColumns(
+        {
+            "company_id": F.lit(1).cast("bigint"),
+            "canonical_url": F.concat(
+                F.lit("https://jobs.example.com/"), F.when(even, "").otherwise("old-"), key
+            ),
+            "status": F.when(even, F.col("status")).otherwise("open"),
+        }
+    )
+    started = F.lit("2024-06-01 10:00:00").cast("timestamp")
+    return run_snapshot(pages_read, log, stored, known, specs.default_catalog(), 5, started, now())
+
+
+@register("""
+    SELECT 'https://jobs.example.com/' || CAST(o_orderkey AS STRING) AS canonical_url, 'open' AS status,
+           CAST(0 AS BIGINT) AS missing_count, CASE WHEN o_orderkey % 2 = 0 THEN 'updated' ELSE 'created' END AS op,
+           o_orderpriority AS title
+    FROM orders
+    UNION ALL
+    SELECT 'https://jobs.example.com/old-' || CAST(o_orderkey AS STRING),
+           CASE WHEN o_orderkey % 3 + 1 >= 2 THEN 'closed' ELSE 'open' END, o_orderkey % 3 + 1, 'kept',
+           o_orderpriority || ' role ' || CAST(o_orderkey % 50 AS STRING)
+    FROM orders WHERE o_orderkey % 2 = 1""")
+def snapshot_listings(t: Tables) -> DataFrame:
+    return _snapshot_run(t).jobs.select("canonical_url", "status", "missing_count", "op", "title")
+
+
+@register("""
+    SELECT CAST(1 AS BIGINT) AS company_id, 'success' AS status, true AS complete, count(*) AS jobs_found,
+           count(*) FILTER (o_orderkey % 2 = 1) AS new_jobs,
+           count(*) FILTER (o_orderkey % 2 = 1 AND o_orderkey % 3 >= 1) AS closed_jobs,
+           count(*) FILTER (o_orderkey % 2 = 0 AND o_orderstatus = 'F') AS reopened_jobs,
+           CAST(count(DISTINCT floor(o_orderkey / 100)) AS BIGINT) AS pages_fetched
+    FROM orders""")
+def snapshot_attempts(t: Tables) -> DataFrame:
+    return _snapshot_run(t).attempts.select(
+        "company_id", "status", "complete", "jobs_found", "new_jobs", "closed_jobs", "reopened_jobs",
+        "pages_fetched",
+    )
+
+
+def _work(t: Tables) -> str:
+    return f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
+
+
+@register(cte("jobs") + """
+    SELECT id, company_id, status, date_posted FROM jobs WHERE status = 'open' AND company_id < 20""")
+def published_table(t: Tables) -> DataFrame:
+    root = _work(t)
+    sinks.write_snapshot(t.jobs.filter("false"), f"{root}/jobs")
+    sinks.write_snapshot(t.jobs, f"{root}/jobs")
+    rows = tables.read_table(t.spark, root, "jobs")
+    return rows.filter("status = 'open' and company_id < 20").select("id", "company_id", "status", "date_posted")
+
+
+@register(cte("attempts") + " SELECT id, run_id, status FROM attempts")
+def appended_rows(t: Tables) -> DataFrame:
+    root = _work(t)
+    for part in (0, 1):
+        sinks.append_rows(t.attempts.filter(f"id % 2 = {part}"), f"{root}/attempts")
+    return tables.read_table(t.spark, root, "attempts").select("id", "run_id", "status")
+
+
+@register(cte("raw_rows") + """
+    SELECT page_no, 'validate' AS stage FROM raw_rows
+    WHERE trim(source) = '' OR trim(title) = '' OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')
+    UNION ALL SELECT page_no, 'transform' FROM raw_rows
+    WHERE company_id <= 0 OR trim(title) = '' OR date_posted = 'soon'
+       OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')""")
+def rejects_table(t: Tables) -> DataFrame:
+    root = _work(t)
+    _, skipped = quality.split_by(quality.validate_raw(t.raw_rows), "skip_reasons")
+    _, rejected = quality.split_by(quality.to_records(t.raw_rows), "reject_reasons")
+    sinks.write_rejects(skipped.select("page_no", F.col("skip_reasons").alias("reasons")), root, "validate")
+    sinks.write_rejects(rejected.select("page_no", F.col("reject_reasons").alias("reasons")), root, "transform")
+    read = t.spark.read.schema("page_no bigint, reasons array<string>, stage string").parquet(root)
+    return read.select("page_no", "stage")
+
+
+@register(SQL["export_rows"])
+def csv_export(t: Tables) -> DataFrame:
+    root = _work(t)
+    rows = exports.export_rows(quality.export_filter(lookup.jobs_with_company(t.jobs, t.companies)))
+    exports.export_csv(rows, root)
+    schema = ", ".join(f"{name} string" for name in exports.EXPORT_COLUMNS)
+    read = t.spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
+    return read.fillna("")

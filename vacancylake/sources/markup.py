@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from html.parser import HTMLParser
+from html import unescape
 
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 _HIDDEN = {"script", "style", "template"}
+_RAW = {"script", "style"}
 _BLOCK = set(
     "address article aside blockquote center dir div dl fieldset footer form h1 h2 h3 h4 h5 h6 "
     "header hr main menu nav ol p pre section table ul".split()
@@ -34,24 +35,25 @@ _CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    """An element; ``order`` lists a page's elements as they open, root first."""
+
+    __slots__ = ("tag", "attrs", "classes", "parent", "children", "order", "start", "end")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.classes = attrs["class"].split() if "class" in attrs else ()
         self.children: list[Node | str] = []
+        self.order: list[Node] = parent.order if parent is not None else []
+        self.start, self.end = len(self.order), 0
+        self.order.append(self)
         if parent is not None:
             parent.children.append(self)
 
-    def walk(self) -> Iterator[Node]:
-        """Descendants in document order."""
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    def descendants(self) -> list[Node]:
+        return self.order[self.start + 1 : self.end]
 
     def strings(self) -> Iterator[str]:
-        stack: list[Node | str] = list(reversed(self.children))
+        stack: list[Node | str] = self.children[::-1]
         while stack:
             item = stack.pop()
             if isinstance(item, str):
@@ -61,53 +63,78 @@ class Node:
 
     def text(self, joint: str = " ") -> str:
         """Stripped text pieces put together, white space collapsed."""
-        pieces = (piece.strip() for piece in self.strings())
-        return " ".join(joint.join(p for p in pieces if p).split())
+        return " ".join(joint.join(piece.strip() for piece in self.strings()).split())
 
     def nth(self) -> int:
-        siblings = [c for c in self.parent.children if isinstance(c, Node)] if self.parent else [self]
-        return siblings.index(self) + 1
-
-
-class _TreeBuilder(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("", {}, None)
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        closes, boundary = _CLOSES.get(tag, ((), ()))
-        node, last = self.here, None
-        while node.parent is not None and node.tag not in boundary:
-            if node.tag in closes:
-                last = node
-            node = node.parent
-        if last is not None:
-            self.here = last.parent
-        new = Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.here)
-        if tag not in _VOID:
-            self.here = new
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if self.here.tag == tag and tag not in _VOID:
-            self.here = self.here.parent
-
-    def handle_endtag(self, tag: str) -> None:
-        node = self.here
-        while node.parent is not None and node.tag != tag:
-            node = node.parent
-        if node.parent is not None:
-            self.here = node.parent
-
-    def handle_data(self, data: str) -> None:
-        self.here.children.append(data)
+        siblings = self.parent.children if self.parent is not None else [self]
+        return [s for s in siblings if not isinstance(s, str)].index(self) + 1
+
+
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>
+    |</(?P<close>[A-Za-z][^\s/>]*)[^>]*>
+    |<(?P<open>[A-Za-z][^\s/>]*)(?P<attrs>[^>"']*(?:(?:"[^"]*"|'[^']*')[^>"']*)*)>""",
+    re.VERBOSE | re.DOTALL,
+)
+_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+
+
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTR.findall(text):
+        value = double or single or bare
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+def _place_for(tag: str, here: Node) -> Node:
+    """The open element a new tag goes into, once it has closed what it must."""
+    if tag not in _CLOSES:
+        return here
+    closes, boundary = _CLOSES[tag]
+    node, place = here, here
+    while node.parent is not None and node.tag not in boundary:
+        if node.tag in closes:
+            place = node.parent
+        node = node.parent
+    return place
 
 
 def parse(html: str | None) -> Node:
-    builder = _TreeBuilder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+    """The element tree of a page; unclosed and stray tags are tolerated."""
+    html = html or ""
+    root = here = Node("", {}, None)
+    at = 0
+    while True:
+        token = _TOKEN.search(html, at)
+        text = html[at : token.start() if token else len(html)]
+        if text and not text.isspace():
+            here.children.append(unescape(text) if "&" in text else text)
+        if token is None:
+            break
+        at = token.end()
+        if token["open"]:
+            tag = token["open"].lower()
+            node = Node(tag, _attributes(token["attrs"]), _place_for(tag, here))
+            if tag in _VOID or token["attrs"].endswith("/"):
+                here = node.parent
+            else:
+                here = node
+            if tag in _RAW:
+                # everything up to the closing tag is text
+                close = re.compile(rf"</{tag}\b", re.IGNORECASE).search(html, at)
+                end = close.start() if close else len(html)
+                node.children.append(html[at:end])
+                at = end
+        elif token["close"]:
+            node, tag = here, token["close"].lower()
+            while node.parent is not None and node.tag != tag:
+                node = node.parent
+            here = node.parent or here
+    for node in reversed(root.order):
+        last = next((c for c in reversed(node.children) if not isinstance(c, str)), None)
+        node.end = last.end if last is not None else node.start + 1
+    return root
 
 
 _PART = re.compile(
@@ -145,37 +172,48 @@ def compile_selector(selector: str) -> tuple:
     return tuple(groups)
 
 
+def _test(part: re.Match) -> tuple:
+    if part["tag"]:
+        return "tag", part["tag"].lower(), None
+    if part["cls"]:
+        return "class", part["cls"], None
+    if part["id"]:
+        return "id", part["id"], None
+    if part["nth"]:
+        return "nth", None, int(part["nth"])
+    kind = {None: "has", "=": "equals", "*=": "contains"}[part["op"]]
+    return kind, part["attr"].lower(), part["val"]
+
+
 def _compound(text: str) -> tuple:
     tests, at = [], 0
     for part in _PART.finditer(text):
         if part.start() != at:
             break
-        tests.append({k: v for k, v in part.groupdict().items() if v is not None})
         at = part.end()
+        if part["tag"] != "*":
+            tests.append(_test(part))
     if at != len(text):
         raise ValueError(f"unsupported selector: {text!r}")
     return tuple(tests)
 
 
 def _passes(node: Node, tests: tuple) -> bool:
-    for test in tests:
-        if "tag" in test:
-            ok = test["tag"] == "*" or node.tag == test["tag"].lower()
-        elif "cls" in test:
-            ok = test["cls"] in node.attrs.get("class", "").split()
-        elif "id" in test:
-            ok = node.attrs.get("id") == test["id"]
-        elif "nth" in test:
-            ok = node.nth() == int(test["nth"])
+    for kind, name, value in tests:
+        if kind == "tag":
+            ok = node.tag == name
+        elif kind == "class":
+            ok = name in node.classes
+        elif kind == "id":
+            ok = node.attrs.get("id") == name
+        elif kind == "nth":
+            ok = node.nth() == value
+        elif kind == "has":
+            ok = name in node.attrs
+        elif kind == "equals":
+            ok = node.attrs.get(name) == value
         else:
-            value = node.attrs.get(test["attr"].lower())
-            wanted = test.get("val", "")
-            if value is None:
-                ok = False
-            elif test.get("op") == "*=":
-                ok = bool(wanted) and wanted in value
-            else:
-                ok = "op" not in test or value == wanted
+            ok = value != "" and value in node.attrs.get(name, "")
         if not ok:
             return False
     return True
@@ -193,16 +231,22 @@ def matches(node: Node, chain: tuple) -> bool:
     return rest < 0
 
 
-def select(root: Node, selector: str) -> list[Node]:
+def _hits(root: Node, selector: str) -> Iterator[Node]:
     groups = compile_selector(selector)
-    return [node for node in root.walk() if any(matches(node, chain) for chain in groups)]
+    if len(groups) == 1 and len(groups[0]) == 1:
+        tests = groups[0][0]
+        return (node for node in root.descendants() if _passes(node, tests))
+    return (
+        node for node in root.descendants() if any(matches(node, chain) for chain in groups)
+    )
+
+
+def select(root: Node, selector: str) -> list[Node]:
+    return list(_hits(root, selector))
 
 
 def select_one(root: Node, selector: str | None) -> Node | None:
-    if not selector:
-        return None
-    groups = compile_selector(selector)
-    return next((n for n in root.walk() if any(matches(n, chain) for chain in groups)), None)
+    return next(_hits(root, selector), None) if selector else None
 
 
 def count(root: Node, selector: str) -> int:
@@ -216,5 +260,5 @@ def count(root: Node, selector: str) -> int:
 def link_of(node: Node | None) -> str:
     """The href of an element or of the first anchor inside it."""
     if node is not None and node.tag != "a":
-        node = next((n for n in node.walk() if n.tag == "a"), None)
+        node = next((n for n in node.descendants() if n.tag == "a"), None)
     return node.attrs.get("href", "") if node is not None else ""
