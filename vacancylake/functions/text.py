@@ -66,8 +66,7 @@ def strip(col: Column) -> Column:
 
 def blank_to_null(col: Column) -> Column:
     """Null for text that is empty once trimmed."""
-    trimmed = strip(col)
-    return F.when(trimmed != "", trimmed)
+    return let(strip(col), lambda trimmed: F.when(trimmed != "", trimmed))
 
 
 def normalize_status(col: Column) -> Column:

@@ -157,7 +157,12 @@ def _assemble(part: Column) -> Column:
 
 def canonicalize_url(url: Column) -> Column:
     """Canonical form of a listing URL; null when it has no scheme or host."""
-    return let(clean_url(url), lambda text: let(_split(text), _assemble))
+    return let(clean_url(url), canonicalize_clean_url)
+
+
+def canonicalize_clean_url(text: Column) -> Column:
+    """The same for text that :func:`clean_url` has been applied to."""
+    return let(_split(text), _assemble)
 
 
 def resolve_url(base: Column, href: Column) -> Column:

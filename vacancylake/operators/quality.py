@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vacancylake.functions.dates import parse_posted_at
 from vacancylake.functions.text import blank_to_null, default_location, strip
-from vacancylake.functions.urls import canonicalize_url, clean_url, is_absolute
+from vacancylake.functions.urls import canonicalize_clean_url, clean_url, is_absolute
 from vacancylake.operators.spread import attach
 
 # Source states that may be loaded.
@@ -53,13 +53,14 @@ def to_records(rows: DataFrame) -> DataFrame:
     def optional(name: str) -> Column:
         return F.col(name) if name in rows.columns else F.lit(None).cast("string")
 
-    read = rows.select(
+    cleaned = rows.withColumn("url", clean_url(F.col("url")))
+    read = cleaned.select(
         "company_id",
         strip(F.col("title")).alias("title"),
         optional("title_vi").alias("title_vi"),
         default_location(F.col("location")).alias("location"),
-        clean_url(F.col("url")).alias("url"),
-        canonicalize_url(F.col("url")).alias("_canonical"),
+        "url",
+        canonicalize_clean_url(F.col("url")).alias("_canonical"),
         blank_to_null(F.col("date_posted")).isNotNull().alias("_dated"),
         parse_posted_at(F.col("date_posted")).alias("date_posted"),
         "source_job_id",
