@@ -174,23 +174,35 @@ def test_circuit_opens_recovers_and_reopens(spark):
     assert got[5].retry_after == 294.0
 
 
-@pytest.mark.parametrize("successes", [1, 2])
-def test_circuit_segments_equal_one_pass(spark, successes):
+@pytest.mark.parametrize(
+    "failures,successes,bad_share,max_group_rows",
+    [(3, 1, 0.0, 5_000_000), (3, 2, 0.0, 900), (4, 1, 0.1, 900), (1, 1, 0.02, 5_000_000), (2, 2, 0.2, 5_000_000)],
+)
+def test_circuit_segments_equal_one_pass(spark, failures, successes, bad_share, max_group_rows):
     """Cutting a source where its state is known changes no outcome."""
-    rng = random.Random(11)
+    rng = random.Random(failures * 10 + successes)
     at, rows = 0, []
     for i in range(3000):
         at += rng.choice([1, 3, 20, 200])
-        stormy = (at // 5000) % 2 == 0
-        rows.append((at, rng.random() > (0.7 if stormy else 0.0)))
+        stormy = (at // 5000) % 4 == 0
+        rows.append((at, rng.random() > (0.7 if stormy else bad_share)))
     df = outcomes_of(spark, rows)
-    segments = circuit.replay_segments(df, 300, successes).select("_segment").distinct().count()
-    assert segments > 10
-    got = circuit.source_circuit_state(df, 3, 300, successes).orderBy("id").collect()
-    breaker = circuit.Breaker(3, 300_000_000, successes)
+    cut = circuit.replay_segments(df, failures, 300, successes, max_group_rows)
+    assert cut.select("_segment").distinct().count() > 5
+    got = circuit.source_circuit_state(df, failures, 300, successes, max_group_rows).orderBy("id").collect()
+    breaker = circuit.Breaker(failures, 300_000_000, successes)
+    assert len(got) == len(rows)
     for r, (at, ok) in zip(got, rows):
         expected = breaker.step(at * 1_000_000, ok)
-        assert (r.state_before, r.allowed, r.retry_after, r.state_after) == expected[:4]
+        assert (r.state_before, r.allowed, r.retry_after, r.state_after, r.failures) == expected
+
+
+def test_busy_source_with_scattered_failures_is_cut_often(spark):
+    rng = random.Random(1)
+    rows = [(2 * i, rng.random() > 0.02) for i in range(6000)]
+    cut = circuit.replay_segments(outcomes_of(spark, rows), 5, 300, 1)
+    sizes = [r["count"] for r in cut.groupBy("_segment").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 600
 
 
 @pytest.mark.parametrize("top_k_limit", [ranking.TOP_K_LIMIT, 3])
