@@ -1745,7 +1745,13 @@ def stream_circuit_state(t: Tables) -> DataFrame:
     return found.select("source", "id", "state_before", "allowed", "state_after", "failures")
 
 
-@register()
+# windows are emitted once the watermark, an hour behind the last event, has passed them
+@register(cte("timeouts") + """, w AS (
+        SELECT source, (epoch_us(ts) // 3600000000 - k) * 3600 AS s FROM timeouts, (VALUES (0), (1)) v(k))
+    SELECT make_timestamp(s * 1000000) AS window_start, make_timestamp((s + 7200) * 1000000) AS window_end,
+           count(*) AS timeout_count, array_to_string(list_sort(list(DISTINCT source)), ', ') AS source
+    FROM w GROUP BY s
+    HAVING count(*) >= 3 AND (s + 7200) * 1000000 <= (SELECT max(epoch_us(ts)) FROM timeouts) - 3600000000""")
 def stream_timeout_counts(t: Tables) -> DataFrame:
     return _drain(
         t,

@@ -41,12 +41,11 @@ SEED = [
         "https://jobs.jobvite.com/absolute/jobs", "{}", "needs-review",
     ),
     (
-        "TikTok", "tiktok", "browser", "https://careers.tiktok.com",
-        '{"adr": "0008-chrome-anti-bot"}', "needs-review",
+        "TikTok", "tiktok", "browser", "https://careers.tiktok.com", "{}", "needs-review",
     ),
     (
-        "Northrop Grumman", "northrop", "browser", "https://www.northropgrumman.com/careers",
-        '{"adr": "0008-chrome-anti-bot"}', "needs-review",
+        "Northrop Grumman", "northrop", "browser", "https://www.northropgrumman.com/careers", "{}",
+        "needs-review",
     ),
 ]
 
