@@ -524,7 +524,6 @@ def find_company(t: Tables) -> DataFrame:
 # HTML pages
 # --------------------------------------------------------------------------
 
-_LI = r"<li><a href=\"([^\"]*)\">([^<]*)</a></li>"
 _NAV_ITEMS = r"""
     SELECT page_id, unnest(range(0, len(hrefs))) AS pos, unnest(hrefs) AS href, unnest(titles) AS title
     FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS hrefs,
@@ -668,7 +667,6 @@ def classify_challenge(t: Tables) -> DataFrame:
 # Validation and filters
 # --------------------------------------------------------------------------
 
-_RAW_URL = "trim(url)"
 _GOOD_URL = "regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')"
 
 
@@ -1662,7 +1660,9 @@ def _event_stream(t: Tables, derived: str) -> DataFrame:
     """A derived frame of the events table, read as a stream."""
     schema = t.events.schema
     source = t.spark.readStream.schema(schema).parquet(f"{t._folder}/events*.parquet")
-    return t.spark.sql(DERIVED[derived].replace("CAST(ts AS TIMESTAMP)", "ts").format(events="{events}"), events=source.withColumn("ts", F.col("ts").cast("timestamp")))
+    timed = source.withColumn("ts", F.col("ts").cast("timestamp"))
+    # already cast, so that the stream keeps the column it puts a watermark on
+    return t.spark.sql(DERIVED[derived].replace("CAST(ts AS TIMESTAMP)", "ts"), events=timed)
 
 
 def _drain(t: Tables, stream: DataFrame) -> DataFrame:
