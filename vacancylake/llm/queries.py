@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vacancylake.llm import bpe, html_text, licenses, token_files, toxicity, url_trust
+from vacancylake.llm import (
+    bpe,
+    cover_tree,
+    decontaminate,
+    html_text,
+    kneser_ney,
+    licenses,
+    ngram_join,
+    token_files,
+    toxicity,
+    url_trust,
+)
 from vacancylake.llm.shared import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register()
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register(url_trust.judge_sql())
 def op2_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_trust.judge(table(spark, sf_dir, "pages"))
@@ -39,6 +55,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@register(cover_tree.LINKS_SQL)
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.threshold_links(table(spark, sf_dir, "embeddings"))
+
+
 @register()
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -54,6 +75,16 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, token_files.write(table(spark, sf_dir, "documents")))
 
 
+@register()
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexity(table(spark, sf_dir, "documents"))
+
+
+@register(ngram_join.JOIN_SQL)
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 @register()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

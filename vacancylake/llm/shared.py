@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vacancylake.session import ensure_checkpoint_dir, materialize, ship_package
 
@@ -26,7 +27,7 @@ def shared_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
 
 
-def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """Apply ``run`` to every Arrow batch of ``df``, as the task reads it."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

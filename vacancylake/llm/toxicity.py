@@ -157,6 +157,23 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     return map_batches(documents.select("doc_id", "text"), run, "doc_id bigint, score double")
 
 
+def drop_toxic(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents``, all columns, that score below the threshold."""
+    prepare(documents.sparkSession)
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keep = []
+        for lo, hi in W.slabs(batch.column(at)):
+            s = featurize(batch.column(at).slice(lo, hi - lo))
+            mass = np.bincount(s.doc, clean_mass(logits(shared.value, s)), minlength=hi - lo)
+            keep += (-np.expm1(-mass) < threshold).tolist()
+        yield batch.filter(pa.array(keep))
+
+    return map_batches(documents, run, documents.schema)
+
+
 def offending_sentences(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Sentences that are toxic by themselves: (doc_id, start, end, score), in bytes of the text."""
     prepare(documents.sparkSession)
