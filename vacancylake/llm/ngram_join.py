@@ -38,7 +38,6 @@ MAX_SMALL = 12
 FREQUENT = 1000
 #: Postings a reducer holds before it lets frequent shingles pass.
 HELD = 6 << 20
-STAR_ROUNDS = 3
 _ID = 12  # bytes of a set's name
 _LOW = 5  # bytes of a shingle within its bucket
 
@@ -269,14 +268,18 @@ def choose_boundary(costs: dict[int, tuple[int, int]]) -> int:
     return min(range(MAX_SMALL + 1), key=lambda x: (total(x), x))
 
 
-_SIGNATURES = "key bigint, side int, want int, name binary, n int"
+_SIGNATURES = "key bigint, side int, want int, name binary, n int, after int"
 
 
 def _signatures(sets: DataFrame, boundary: int) -> DataFrame:
-    """Keys under which sets meet: subsets (side: own size, want: the partner's) or rare shingles (0, 0)."""
+    """Keys under which sets meet: subsets (side: own size, want: the partner's) or rare shingles (0, 0).
+
+    ``after`` counts the set's shingles from the one it meets by, in the order of
+    rarity: all that a partner met there first can share.
+    """
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out = [], [], [], [], []
+        out = [], [], [], [], [], []
         for name, n, blob in zip(*(batch.column(c).to_pylist() for c in ("name", "n", "tokens")), strict=True):
             tokens = np.frombuffer(blob, "<u8")
             found = []
@@ -289,21 +292,23 @@ def _signatures(sets: DataFrame, boundary: int) -> DataFrame:
                         key = np.full(len(picked), np.uint64(min(n, b) << 8 | max(n, b)))
                         for k in range(c):
                             key = W.mix(key * np.uint64(0xD6E8FEB86659FD93) + picked[:, k])
-                        found.append((key, n, b))
+                        found.append((key, n, b, np.full(len(key), n)))
             if partners(n)[-1] > boundary:
                 need = -(-NUMERATOR * n // DENOMINATOR)
-                found.append((tokens[: len(tokens) - need + 1], 0, 0))
-            for key, side, want in found:
+                rare = tokens[: len(tokens) - need + 1]
+                found.append((rare, 0, 0, len(tokens) - np.arange(len(rare))))
+            for key, side, want, after in found:
                 out[0].append(key)
                 out[1].append(np.full(len(key), side, np.int32))
                 out[2].append(np.full(len(key), want, np.int32))
                 out[3].extend([name] * len(key))
                 out[4].append(np.full(len(key), n, np.int32))
+                out[5].append(after.astype(np.int32))
         if out[0]:
-            key, side, want, n = (np.concatenate(out[k]) for k in (0, 1, 2, 4))
+            key, side, want, n, after = (np.concatenate(out[k]) for k in (0, 1, 2, 4, 5))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.astype("<u8").view(np.int64)), pa.array(side), pa.array(want), pa.array(out[3], pa.binary()),
-                 pa.array(n)], names=["key", "side", "want", "name", "n"])
+                 pa.array(n), pa.array(after)], names=["key", "side", "want", "name", "n", "after"])
 
     return map_batches(sets.select("name", "n", "tokens"), run, _SIGNATURES)
 
@@ -323,13 +328,21 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(joined, run, "u binary, v binary")
 
 
-_FITS = f"greatest(a.n, b.n) * {NUMERATOR} <= least(a.n, b.n) * {DENOMINATOR}"
+#: Sizes fit, and what both still have from the shingle on can make the least overlap.
+_FITS = (
+    f"greatest(a.n, b.n) * {NUMERATOR} <= least(a.n, b.n) * {DENOMINATOR} and "
+    f"least(a.after, b.after) * {NUMERATOR + DENOMINATOR} >= (a.n + b.n) * {NUMERATOR}"
+)
+
+
+#: Heads of a list in turn: first the set with fewest rarer shingles of its own, the most central one.
+_HEADS = ("max(struct(after - n, name, n, after))", "min(struct(name, n, after))")
 
 
 def _with_heads(rows: DataFrame, head: str) -> DataFrame:
-    """Each member of a list with the list's least (or greatest) set on the side it wants."""
-    heads = rows.groupBy("key", "side").agg(F.expr(f"{head}(struct(name, n))").alias("h"))
-    heads = heads.select("key", F.col("side").alias("want"), F.col("h.name").alias("name"), F.col("h.n").alias("n"))
+    """Each member of a list with one head of those on the side it wants."""
+    heads = rows.groupBy("key", "side").agg(F.expr(head).alias("h"))
+    heads = heads.select("key", F.col("side").alias("want"), "h.name", "h.n", "h.after")
     both = rows.alias("a").join(heads.alias("b"), ["key", "want"]).filter(F.expr(f"a.name <> b.name and {_FITS}"))
     return both.select(F.expr("greatest(a.name, b.name) u"), F.expr("least(a.name, b.name) v")).distinct()
 
@@ -356,17 +369,15 @@ def link_sets(documents: DataFrame, buckets: int | None = None) -> DataFrame:
     rows = _signatures(sets, boundary)
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("key")
     rows = materialize(rows.join(met, "key"))
-    edges = materialize(_verified(_with_heads(rows, "min"), sets))
+    edges = materialize(_verified(_with_heads(rows, _HEADS[0]), sets))
     roots = components(edges)
-    for turn in range(STAR_ROUNDS):
+    for head in (*_HEADS[1:], None):
         rows = materialize(_open_rows(rows, roots).drop("root"))
         if rows.isEmpty():
             return roots
-        if turn == STAR_ROUNDS - 1:
-            break
-        more = _verified(_with_heads(rows, "max" if turn % 2 == 0 else "min"), sets)
-        edges = edges.union(materialize(more))
-        roots = components(edges)
+        if head is not None:
+            edges = edges.union(materialize(_verified(_with_heads(rows, head), sets)))
+            roots = components(edges)
     rest = _open_rows(rows, roots)
     pairs = rest.alias("a").join(rest.alias("b"), F.expr("a.key = b.key and a.want = b.side and a.side = b.want"))
     pairs = pairs.filter(F.expr(f"a.name > b.name and a.root <> b.root and {_FITS}"))
