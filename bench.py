@@ -37,7 +37,6 @@ HEADLINE = [
     "detect_zero_jobs",
     "detect_timeout_pattern",
     "drift_zero_matches",
-    "source_circuit_state",
     "pacing_audit",
     "recent_attempts",
     "paginate",

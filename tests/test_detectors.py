@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from vacancylake.operators import alerts, circuit, detectors, drift, ordered, pacing, quality, ranking
+from vacancylake.operators import alerts, detectors, drift, ordered, pacing, quality, ranking
 from vacancylake.streaming import jobs as streams
 
 START = datetime(2026, 7, 1)
@@ -154,57 +154,6 @@ def test_pacing_against_brute_force(spark, max_group_rows):
         assert got[i].too_fast == (gap is not None and gap < floor)
 
 
-def outcomes_of(spark, rows):
-    data = [("a", START + timedelta(seconds=at), i, ok) for i, (at, ok) in enumerate(rows)]
-    return spark.createDataFrame(data, "source string, ts timestamp, id bigint, ok boolean")
-
-
-def test_circuit_opens_recovers_and_reopens(spark):
-    rows = [(i, False) for i in range(5)] + [(10, True), (304, False), (310, True), (700, True), (701, False)]
-    got = circuit.source_circuit_state(outcomes_of(spark, rows)).orderBy("id").collect()
-    assert [(r.state_before, r.allowed, r.state_after) for r in got] == [
-        *[("closed", True, "closed")] * 4,
-        ("closed", True, "open"),
-        ("open", False, "open"),
-        ("half_open", True, "open"),
-        ("open", False, "open"),
-        ("half_open", True, "closed"),
-        ("closed", True, "closed"),
-    ]
-    assert got[5].retry_after == 294.0
-
-
-@pytest.mark.parametrize(
-    "failures,successes,bad_share,max_group_rows",
-    [(3, 1, 0.0, 5_000_000), (3, 2, 0.0, 900), (4, 1, 0.1, 900), (1, 1, 0.02, 5_000_000), (2, 2, 0.2, 5_000_000)],
-)
-def test_circuit_segments_equal_one_pass(spark, failures, successes, bad_share, max_group_rows):
-    """Cutting a source where its state is known changes no outcome."""
-    rng = random.Random(failures * 10 + successes)
-    at, rows = 0, []
-    for i in range(3000):
-        at += rng.choice([1, 3, 20, 200])
-        stormy = (at // 5000) % 4 == 0
-        rows.append((at, rng.random() > (0.7 if stormy else bad_share)))
-    df = outcomes_of(spark, rows)
-    cut = circuit.replay_segments(df, failures, 300, successes, max_group_rows)
-    assert cut.select("_segment").distinct().count() > 5
-    got = circuit.source_circuit_state(df, failures, 300, successes, max_group_rows).orderBy("id").collect()
-    breaker = circuit.Breaker(failures, 300_000_000, successes)
-    assert len(got) == len(rows)
-    for r, (at, ok) in zip(got, rows):
-        expected = breaker.step(at * 1_000_000, ok)
-        assert (r.state_before, r.allowed, r.retry_after, r.state_after, r.failures) == expected
-
-
-def test_busy_source_with_scattered_failures_is_cut_often(spark):
-    rng = random.Random(1)
-    rows = [(2 * i, rng.random() > 0.02) for i in range(6000)]
-    cut = circuit.replay_segments(outcomes_of(spark, rows), 5, 300, 1)
-    sizes = [r["count"] for r in cut.groupBy("_segment").count().collect()]
-    assert len(sizes) > 30 and max(sizes) < 600
-
-
 @pytest.mark.parametrize("top_k_limit", [ranking.TOP_K_LIMIT, 3])
 @pytest.mark.parametrize("page,expected", [(1, 1), (4, 4), (10, 10), (99, 10), (0, 1)])
 def test_pages(spark, top_k_limit, page, expected):
@@ -256,3 +205,18 @@ def test_streaming_rules_match_sequences():
     assert streams.count_anomaly([0], 1) is None
     assert streams.count_anomaly([100, 50, 25, 5], 1)[0] == "suspicious_count"
     assert streams.drift_checks([5, 6, 5, 4, 5], 1, 0.5, 2) == []
+
+
+def test_timeout_without_source_counts_but_names_none(spark):
+    rows = [(i, START + timedelta(seconds=10 * i), "a" if i < 3 else None) for i in range(4)]
+    events = spark.createDataFrame(rows, "id bigint, ts timestamp, source string")
+    got = {r.event_id: r for r in detectors.detect_timeout_pattern(events).collect()}
+    assert {i: (r.timeout_count, r.n_sources, r.source) for i, r in got.items()} == {2: (3, 1, "a"), 3: (4, 1, "a")}
+
+
+@pytest.mark.parametrize("limit", [5_000_000, 2])
+def test_running_sum_keeps_null_keys_and_ties(spark, limit):
+    rows = [("a", 1, 1), ("a", 1, 2), ("a", 3, 4), (None, 1, 8), (None, None, 16), (None, 2, 32)]
+    df = spark.createDataFrame(rows, "k string, at bigint, v bigint")
+    got = ordered.running_sum(df, ["k"], "at", F.col("v"), "total", limit).collect()
+    assert sorted((r.v, r.total) for r in got) == [(1, 3), (2, 3), (4, 7), (8, 24), (16, 16), (32, 56)]

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from vacancylake.operators import circuit, detectors, drift, identity
+from vacancylake.operators import detectors, drift, identity
 from vacancylake.session import ensure_checkpoint_dir
 from vacancylake.sources import tables
 from vacancylake.streaming import jobs as streams
@@ -74,15 +74,6 @@ def test_selector_drift(feed, drain):
     )
 
 
-def test_circuit_state(feed, drain):
-    rows = [(k, ts, i, n > 0) for k, ts, i, n in series(seed=3)]
-    batch, stream = feed(rows, "source string, ts timestamp, id bigint, ok boolean")
-    same(
-        circuit.source_circuit_state(batch, 2, 120.0),
-        drain(streams.stream_circuit_state(stream, 2, 120.0)),
-    )
-
-
 def test_dedupe_keeps_one_row_per_key(feed, drain):
     rows = [(1, k, ts) for k, ts, _, _ in series(seed=4)]
     batch, stream = feed(rows, "company_id bigint, canonical_url string, ts timestamp")

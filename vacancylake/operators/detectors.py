@@ -156,15 +156,16 @@ def detect_timeout_pattern(
     )
     leaving = moved.select("_bucket", (F.col("_at") + span).alias("_at"), F.lit(-1).cast("bigint").alias("_step"))
     steps = (
-        home.withColumn("_step", F.lit(1).cast("bigint"))
+        home.withColumns({"_step": F.lit(1).cast("bigint"), "_event": F.lit(True)})
         .unionByName(opening, allowMissingColumns=True)
         .unionByName(leaving, allowMissingColumns=True)
     )
     flagged = running_sum(
         steps, ["_bucket"], "_at", F.col("_step"), "timeout_count", max_group_rows
-    ).filter((F.col("source").isNotNull()) & (F.col("timeout_count") >= max_timeouts))
+    ).filter(F.col("_event") & (F.col("timeout_count") >= max_timeouts))
 
-    per_source = home.groupBy("_bucket", "source").agg(
+    # a timeout without a source counts, but names none
+    per_source = home.filter("source is not null").groupBy("_bucket", "source").agg(
         F.min("_at").alias("first_at"), F.max("_at").alias("last_at")
     )
     roster = (
@@ -182,7 +183,7 @@ def detect_timeout_pattern(
         ),
     )
     names = F.array_sort(F.array_distinct(F.transform(present, lambda s: s["source"])))
-    found = attach(flagged, roster, ["_bucket"], "left").withColumn("sources", names)
+    found = attach(flagged, roster, ["_bucket"], "left").withColumn("sources", F.coalesce(names, F.array().cast("array<string>")))
     listed = F.array_join("sources", ", ")
     return found.select(
         F.lit("timeout_pattern").alias("type"),

@@ -30,6 +30,33 @@ def page_outcomes(fetch_log: DataFrame, keys: list[str]) -> DataFrame:
     return pages.select(*keys, "family", "page_no", "requests", "_last.*")
 
 
+def judged_pages(fetch_log: DataFrame, keys: list[str]) -> DataFrame:
+    """Page outcomes with ``failed``."""
+    pages = page_outcomes(fetch_log, keys)
+    non_html = (F.col("family") == "html") & ~F.coalesce(F.col("content_type").contains("text/html"), F.lit(False))
+    return pages.withColumn(
+        "failed",
+        F.col("error_type").isNotNull() | F.coalesce(F.col("status_code") >= 400, F.lit(False)) | non_html,
+    )
+
+
+def readable_pages(pages: DataFrame, fetch_log: DataFrame) -> DataFrame:
+    """The pages (source, page_no, ...) before their source's first failing page."""
+    failed = judged_pages(fetch_log, ["source"]).filter("failed")
+    stops = failed.groupBy("source").agg(F.min("page_no").alias("_stop_page"))
+    return (
+        attach(pages, stops, ["source"], "left")
+        .filter(F.col("_stop_page").isNull() | (F.col("page_no") < F.col("_stop_page")))
+        .drop("_stop_page")
+    )
+
+
+def stated_totals(pages: DataFrame) -> DataFrame:
+    """(source, stated_total): the number of listings a JSON source says it has."""
+    total = F.coalesce(*[F.get_json_object("body", path) for path in ("$.meta.total", "$.total")])
+    return pages.groupBy("source").agg(F.max(total.cast("bigint")).alias("stated_total"))
+
+
 def classify_extraction(fetch_log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Status, counters and warning of each source.
 
@@ -37,14 +64,8 @@ def classify_extraction(fetch_log: DataFrame, keys: list[str] | None = None) ->
     what an empty result means: see the status rule at the end.
     """
     keys = keys or ["source"]
-    pages = page_outcomes(fetch_log, keys)
+    pages = judged_pages(fetch_log, keys)
     code, fault = F.col("status_code"), F.col("error_type")
-    non_html = (F.col("family") == "html") & ~F.coalesce(
-        F.col("content_type").contains("text/html"), F.lit(False)
-    )
-    pages = pages.withColumn(
-        "failed", fault.isNotNull() | F.coalesce(code >= 400, F.lit(False)) | non_html
-    )
     on_page = F.concat(F.lit(" on page "), F.col("page_no").cast("string"))
     slow = F.lower(F.coalesce(fault, F.lit(""))).contains("timeout")
     challenge = F.coalesce(fault.startswith("challenge"), F.lit(False))

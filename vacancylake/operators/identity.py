@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancylake.operators.spread import SALTS, first_rows, row_salt
+from vacancylake.operators.spread import SALTS, first_rows, null_safe_join, row_salt
 
 KEY = ["company_id", "canonical_url"]
 
@@ -30,10 +30,10 @@ def duplicates(records: DataFrame, salts: int = SALTS) -> DataFrame:
     Exact copies are counted before anything moves. The distinct rows of a key
     are then divided by a salt drawn from the row; the grouped side lists, per
     key, the salts that occur (at most ``salts``), so it is repeated only as
-    often as needed and no task receives all rows of a hot key.
+    often as needed and no task receives all rows of a hot key. Null keys are
+    equal to each other, as they are to :func:`dedupe`.
     """
-    keyed = records.filter(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
-    counted = keyed.groupBy(*records.columns).agg(F.count("*").alias("_n"))
+    counted = records.groupBy(*records.columns).agg(F.count("*").alias("_n"))
     ordinal = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_input_order(records))])
     salted = counted.withColumn("_ordinal", ordinal).withColumn(
         "_salt", row_salt(records, salts, records.columns)
@@ -53,7 +53,7 @@ def duplicates(records: DataFrame, salts: int = SALTS) -> DataFrame:
         F.col("_n") - 1
     )
     return (
-        salted.join(repeated, [*KEY, "_salt"])
+        null_safe_join(salted, repeated, [*KEY, "_salt"])
         .withColumn("_spare", spare)
         .filter("_spare > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_spare"))))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from vacancylake.operators.spread import null_safe_join
 from vacancylake.session import materialize
 
 #: Rows of one key that a single task is trusted to sort and scan.
@@ -113,7 +114,7 @@ def running_sum(
     # Chunk numbers rise with the order, so subtotals join on (key, chunk): at
     # most one row per key plus one per partition.
     return (
-        local.join(subtotals, chunk_keys)
+        null_safe_join(local, subtotals, chunk_keys)
         .withColumn(name, F.col("_local") + F.col("_before"))
         .drop("_value", "_local", "_before", "_chunk")
     )

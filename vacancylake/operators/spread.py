@@ -22,12 +22,27 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     """Whether a frame is small enough to send to every executor.
 
     The planner's estimate settles most cases. It cannot see how far a grouping
-    or a filter shrinks its input, so above the limit the rows are counted.
+    or a filter shrinks its input, so above the limit the bytes are measured.
+    Frames with nested columns are not measured and never fit above the estimate.
     """
     if planned_bytes(df) <= limit:
         return True
-    widths = [64 if isinstance(f.dataType, T.StringType) else 16 for f in df.schema.fields]
-    return df.count() * sum(widths) <= limit
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema.fields):
+        return False
+    size = F.lit(16 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which null keys meet; keeps the left side's key columns."""
+    renamed = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
+    same = F.lit(True)
+    for name in on:
+        same = same & F.col(name).eqNullSafe(F.col(f"_right_{name}"))
+    return left.join(renamed, same).drop(*[f"_right_{name}" for name in on])
 
 
 def row_salt(df: DataFrame, salts: int = SALTS, by: list[str] | None = None) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from vacancylake.functions import dates, faults, text, urls
 from vacancylake.operators import (
     alerts,
-    circuit,
     detectors,
     drift,
     extraction,
@@ -1438,35 +1437,6 @@ def drift_sudden_drop(t: Tables) -> DataFrame:
 
 
 # One step per outcome: the breaker's state is carried along each source.
-_CIRCUIT = "WITH RECURSIVE " + cte("outcomes")[5:] + """,
-    numbered AS (SELECT *, epoch_us(ts) AS micros, row_number() OVER (PARTITION BY source ORDER BY ts, id) AS rn
-                 FROM outcomes),
-    step AS (
-        SELECT source, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS id, 'closed' AS state_before,
-               'closed' AS state, CAST(0 AS BIGINT) AS failures, CAST(0 AS BIGINT) AS opened_at
-        FROM (SELECT DISTINCT source FROM outcomes)
-        UNION ALL
-        SELECT source, rn, id, now_state,
-               CASE WHEN now_state = 'open' THEN 'open' WHEN ok THEN 'closed'
-                    WHEN now_state = 'half_open' OR failures + 1 >= 3 THEN 'open' ELSE 'closed' END,
-               CASE WHEN now_state = 'open' THEN failures WHEN ok THEN 0
-                    WHEN now_state = 'closed' THEN failures + 1 ELSE failures END,
-               CASE WHEN now_state <> 'open' AND NOT ok AND (now_state = 'half_open' OR failures + 1 >= 3)
-                    THEN micros ELSE opened_at END
-        FROM (SELECT n.source, n.rn, n.id, n.ok, n.micros, s.failures, s.opened_at,
-                     CASE WHEN s.state = 'open' AND n.micros - s.opened_at >= 7200000000 THEN 'half_open'
-                          ELSE s.state END AS now_state
-              FROM step s JOIN numbered n ON n.source = s.source AND n.rn = s.rn + 1))
-    SELECT source, id, state_before, state_before <> 'open' AS allowed, state AS state_after, failures
-    FROM step WHERE rn > 0"""
-
-
-@register(_CIRCUIT)
-def source_circuit_state(t: Tables) -> DataFrame:
-    found = circuit.source_circuit_state(t.outcomes, failures=3, recovery_s=7200.0)
-    return found.select("source", "id", "state_before", "allowed", "state_after", "failures")
-
-
 @register(cte("requests") + """, w AS (
         SELECT *, (epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY origin ORDER BY ts, id)) / 1000000.0 AS gap,
                count(*) OVER (PARTITION BY origin ORDER BY epoch_us(ts)
@@ -1737,35 +1707,6 @@ def stream_selector_drift(t: Tables) -> DataFrame:
     return found.select("selector", "id", "kind", "severity")
 
 
-@register(_CIRCUIT)
-def stream_circuit_state(t: Tables) -> DataFrame:
-    found = _drain(
-        t, streams.stream_circuit_state(_event_stream(t, "outcomes"), failures=3, recovery_s=7200.0)
-    )
-    return found.select("source", "id", "state_before", "allowed", "state_after", "failures")
-
-
-# windows are emitted once the watermark, an hour behind the last event, has passed them
-@register(cte("timeouts") + """, w AS (
-        SELECT source, (epoch_us(ts) // 3600000000 - k) * 3600 AS s FROM timeouts, (VALUES (0), (1)) v(k))
-    SELECT make_timestamp(s * 1000000) AS window_start, make_timestamp((s + 7200) * 1000000) AS window_end,
-           count(*) AS timeout_count, array_to_string(list_sort(list(DISTINCT source)), ', ') AS source
-    FROM w GROUP BY s
-    HAVING count(*) >= 3 AND (s + 7200) * 1000000 <= (SELECT max(epoch_us(ts)) FROM timeouts) - 3600000000""")
-def stream_timeout_counts(t: Tables) -> DataFrame:
-    return _drain(
-        t,
-        streams.stream_timeout_counts(
-            _event_stream(t, "timeouts"), window_s=7200, slide_s=3600, watermark="1 hour"
-        ),
-    )
-
-
-# --------------------------------------------------------------------------
-# Known sources, whole runs and tables written and read back
-# --------------------------------------------------------------------------
-
-
 @register("""
     SELECT source, page_no, row_number() OVER (PARTITION BY page_no ORDER BY o_orderkey) - 1 AS pos, title,
            CASE WHEN o_orderkey % 3 <> 0 THEN 'City ' || CAST(o_custkey % 20 AS STRING)

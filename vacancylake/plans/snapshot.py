@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancylake.operators.extraction import classify_extraction
+from vacancylake.operators.extraction import classify_extraction, readable_pages, stated_totals
 from vacancylake.operators.identity import KEY, dedupe, duplicates
 from vacancylake.operators.lookup import unmatched_sources
 from vacancylake.operators.merge import upsert_jobs
@@ -68,9 +68,15 @@ def run_snapshot(
     All companies go through one plan. A source that failed is known by its row
     in the extraction outcomes and leaves its listings untouched. The parsed
     records are materialized, because five results are drawn from them.
+
+    Listings come from the pages before a source's first failing page. A crawl is
+    complete only if it also ended by itself: where the source states its number
+    of listings, so many were found; else a page source stopped before the
+    catalog's page limit. An incomplete crawl closes nothing.
     """
     spark = pages.sparkSession
-    valid, skipped = split_by(validate_raw(raw_listings(pages, catalog)), "skip_reasons")
+    readable = readable_pages(pages, fetch_log)
+    valid, skipped = split_by(validate_raw(raw_listings(readable, catalog)), "skip_reasons")
     ids = companies.filter("is_active").select(
         F.col("slug").alias("source"), F.col("id").alias("company_id")
     )
@@ -78,8 +84,16 @@ def run_snapshot(
     good, rejected = split_by(records, "reject_reasons")
     unique, dropped = dedupe(good), duplicates(good)
 
+    limits = catalog.frame(spark).select(F.col("slug").alias("source"), "max_pages")
+    ended = F.coalesce(
+        F.col("jobs_found") >= F.col("stated_total"),
+        (F.col("family") == "api") | (F.col("pages_fetched") < F.col("max_pages")),
+        F.lit(True),
+    )
+    extracted = attach(classify_extraction(fetch_log), stated_totals(pages), ["source"], "left")
+    extracted = attach(extracted, limits, ["source"], "left").withColumn("complete", F.col("complete") & ended)
     outcomes = attach(
-        classify_extraction(fetch_log),
+        extracted.drop("stated_total", "max_pages"),
         companies.select(
             F.col("slug").alias("source"), F.col("id").alias("company_id"), "authoritative"
         ),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vacancylake import schemas
-from vacancylake.operators.circuit import REPLAY_COLUMNS, Breaker
 from vacancylake.operators.identity import KEY, dedupe
 from vacancylake.operators.merge import upsert_jobs
 from vacancylake.sinks.tables import current_snapshot, current_tag, write_snapshot
@@ -151,35 +150,6 @@ def stream_selector_drift(
     )
 
 
-def stream_circuit_state(
-    outcomes: DataFrame, failures: int = 5, recovery_s: float = 300.0, successes: int = 1
-) -> DataFrame:
-    """Breaker's view of a stream of outcomes (source, ts, id, ok), in event time."""
-    recovery = int(recovery_s * 1_000_000)
-    names = ["source", "ts", "id", "ok", "state_before", "allowed", "retry_after", "state_after", "failures"]
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        breaker = Breaker(failures, recovery, successes)
-        if state.exists:
-            breaker.state, breaker.failures, breaker.trials, breaker.opened_at = state.get
-        rows = _in_order(parts)
-        micros = rows["ts"].astype("datetime64[us]").astype("int64")
-        views = [
-            (key[0], row.ts, row.id, row.ok, *breaker.step(int(at), bool(row.ok)))
-            for row, at in zip(rows.itertuples(), micros)
-        ]
-        state.update((breaker.state, breaker.failures, breaker.trials, breaker.opened_at))
-        yield pd.DataFrame(views, columns=names, dtype=object)
-
-    return outcomes.groupBy("source").applyInPandasWithState(
-        update,
-        f"source string, ts timestamp, id bigint, ok boolean, {REPLAY_COLUMNS}",
-        "state string, failures int, trials int, opened_at bigint",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
 def stream_timeout_counts(
     timeouts: DataFrame,
     watermark: str = "10 minutes",
