@@ -27,8 +27,10 @@ SAMPLE_CHARS = 20_000
 TABLE_BITS = 19
 PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.5
+#: Longer sentences are judged in pieces of so many words.
+SENTENCE_WORDS = 32
 #: Standard errors by which a feature's log odds between labels must differ from 0.
-EVIDENCE = 3.0
+EVIDENCE = 3.5
 
 _NOT_LETTER = np.ones(256, dtype=bool)
 _NOT_LETTER[65:91] = _NOT_LETTER[97:123] = False
@@ -52,11 +54,13 @@ class Model(NamedTuple):
 
 
 def featurize(texts: pa.Array) -> Sentences:
-    """Sentences with at least one word, and the hashed features of their words."""
+    """Sentences, or pieces of long ones, with at least one word, and the hashed features of their words."""
     words = W.split(texts, _NOT_LETTER)
     doc = words.doc
     place = np.cumsum(_ENDS[words.data])[words.starts] + doc if len(doc) else doc
     first = np.flatnonzero(np.diff(place, prepend=-1))
+    within = np.arange(len(place)) - np.repeat(first, np.diff(np.append(first, len(place))))
+    first = np.flatnonzero(within % SENTENCE_WORDS == 0)
     last = np.append(first[1:], len(place)) - 1 if len(place) else first
     sentence = np.repeat(np.arange(len(first)), last - first + 1)
     parts, owners = [W.hashes(words)], [sentence]
@@ -90,6 +94,16 @@ def telling(s: Sentences, y: np.ndarray) -> np.ndarray:
     return names[np.abs(odds) >= EVIDENCE * np.sqrt(1 / a + 1 / b)]
 
 
+def document_mass(model: Model, s: Sentences, n: int) -> np.ndarray:
+    """-log of the probability that each of n documents is clean.
+
+    What a sentence without any evidence would add is left out, so that length
+    alone makes no document toxic.
+    """
+    beyond = np.maximum(0.0, clean_mass(logits(model, s)) - clean_mass(np.float64(model.bias)))
+    return np.bincount(s.doc, beyond, minlength=n)
+
+
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 200, rate: float = 0.05, decay: float = 1e-5) -> Model:
     """Weights and bias that minimise the documents' log loss, by Adam over all rows."""
     s = featurize(pa.array(texts, pa.string()))
@@ -149,7 +163,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for lo, hi in W.slabs(batch.column(1)):
             s = featurize(batch.column(1).slice(lo, hi - lo))
-            mass = np.bincount(s.doc, clean_mass(logits(shared.value, s)), minlength=hi - lo)
+            mass = document_mass(shared.value, s, hi - lo)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), pa.array(-np.expm1(-mass))], names=["doc_id", "score"]
             )
@@ -167,7 +181,7 @@ def drop_toxic(documents: DataFrame, model: Model, threshold: float = THRESHOLD)
         keep = []
         for lo, hi in W.slabs(batch.column(at)):
             s = featurize(batch.column(at).slice(lo, hi - lo))
-            mass = np.bincount(s.doc, clean_mass(logits(shared.value, s)), minlength=hi - lo)
+            mass = document_mass(shared.value, s, hi - lo)
             keep += (-np.expm1(-mass) < threshold).tolist()
         yield batch.filter(pa.array(keep))
 
