@@ -202,3 +202,27 @@ def test_point_lookup(spark):
     assert tables.find_by(company_frame(spark), id=99).count() == 0
     with pytest.raises(KeyError):
         tables.read_table(spark, "/nowhere", "no_such_table")
+
+
+def test_truncated_and_failed_crawls_close_nothing(spark):
+    """A crawl short of the stated total is incomplete; pages from the first failure on are not read."""
+    stored = snapshot(spark, spark.createDataFrame([], schemas.JOBS), 1, 1, [1, 2], [10, 11, 12]).jobs.drop("op")
+    short = json.dumps({"data": json.loads(workday(10))["data"], "total": 3, "offset": 0, "limit": 1})
+    pages = [
+        ("vancity", 1, "u", 200, "application/json", short, None),
+        ("techcorp", 1, "u", 200, "text/html", listing_page(1), None),
+        ("techcorp", 2, "u", 429, "text/html", "", None),
+        ("techcorp", 3, "u", 200, "text/html", listing_page(9), None),
+    ]
+    log = [
+        (s, "api" if s == "vancity" else "html", n, 1, code, kind, None, 1)
+        for s, n, _, code, kind, _, _ in pages
+    ]
+    schema = "source string, family string, page_no int, attempt int, status_code int, content_type string, error_type string, n_jobs int"
+    result = run_snapshot(
+        spark.createDataFrame(pages, schemas.PAGES), spark.createDataFrame(log, schema), stored, company_frame(spark),
+        specs.default_catalog(), 2, ts("2026-07-02 10:00:00"), ts("2026-07-02 11:00:00"), threshold=1,
+    )
+    assert statuses(result.jobs) == {k: "open" for k in ("1", "2", "10", "11", "12")}
+    attempts = {r.company_id: r for r in result.attempts.collect()}
+    assert not attempts[1].complete and not attempts[2].complete and attempts[2].closed_jobs == 0
