@@ -369,4 +369,4 @@ def test_toxic_sentences_are_learnt_from_document_labels(spark):
     right = [any(b in texts[x.doc_id][x.start : x.end].decode() for b in bad) for x in found]
     assert len(right) > 80 and np.mean(right) > 0.95
     assert toxicity.drop_toxic(df, model).count() == sum(x.predicted == 0 for x in got)
-    assert {x.score for x in toxicity.classify(df, table.limit(0)).collect()} <= {x.score for x in toxicity.score(df, toxicity.fit([], np.zeros(0))).collect()}
+    assert {x.score for x in toxicity.classify(df, table.limit(0)).collect()} <= {x.score for x in toxicity.score(df, toxicity.fit(pa.array([], pa.string()), np.zeros(0))).collect()}

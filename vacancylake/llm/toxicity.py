@@ -24,6 +24,8 @@ from vacancylake.llm.shared import map_batches, prepare, remainder
 SAMPLE_TOXIC = 2000
 SAMPLE_CLEAN = 4000
 SAMPLE_CHARS = 20_000
+#: Bytes of texts whose features the fit holds at a time.
+FIT_SLAB = 1 << 20
 TABLE_BITS = 19
 PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.5
@@ -82,14 +84,22 @@ def clean_mass(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0.0, z)
 
 
-def telling(s: Sentences, y: np.ndarray) -> np.ndarray:
+def _slabs(texts: pa.Array) -> Iterator[tuple[int, Sentences]]:
+    """(index of the first text, sentences) of about a megabyte of texts at a time."""
+    for lo, hi in W.slabs(texts, FIT_SLAB):
+        yield lo, featurize(texts.slice(lo, hi - lo))
+
+
+def telling(texts: pa.Array, y: np.ndarray) -> np.ndarray:
     """Features whose presence in a document speaks clearly for one label."""
-    pairs = np.unique(s.feature * len(y) + s.doc[s.of])
-    feature, doc = pairs // len(y), pairs % len(y)
-    names, column = np.unique(feature, return_inverse=True)
+    counts = np.zeros((2, 1 << TABLE_BITS), np.int64)
+    for lo, s in _slabs(texts):
+        feature, doc = np.divmod(np.unique(s.feature * len(y) + s.doc[s.of] + lo), max(1, len(y)))
+        for kind in (0, 1):
+            counts[kind] += np.bincount(feature[y[doc] == kind], minlength=1 << TABLE_BITS)
+    names = np.flatnonzero(counts.sum(axis=0))
+    b, a = counts[:, names] + 0.5
     n = np.array([(1 - y).sum(), y.sum()])
-    a = np.bincount(column, y[doc], minlength=len(names)) + 0.5
-    b = np.bincount(column, 1 - y[doc], minlength=len(names)) + 0.5
     odds = np.log(a / (n[1] - a + 1)) - np.log(b / (n[0] - b + 1))
     return names[np.abs(odds) >= EVIDENCE * np.sqrt(1 / a + 1 / b)]
 
@@ -104,24 +114,36 @@ def document_mass(model: Model, s: Sentences, n: int) -> np.ndarray:
     return np.bincount(s.doc, beyond, minlength=n)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 200, rate: float = 0.05, decay: float = 1e-5) -> Model:
-    """Weights and bias that minimise the documents' log loss, by Adam over all rows."""
-    s = featurize(pa.array(texts, pa.string()))
+def fit(texts: pa.Array, toxic: np.ndarray, rounds: int = 200, rate: float = 0.05, decay: float = 1e-5) -> Model:
+    """Weights and bias that minimise the documents' log loss, by Adam over all rows.
+
+    The texts are read twice in slabs: once for the features that tell, once to keep
+    only those, so that what stays in memory is their occurrences and the sentences.
+    """
     y = np.asarray(toxic, float)
-    sparse = telling(s, y)
-    column = np.minimum(np.searchsorted(sparse, s.feature), max(0, len(sparse) - 1))
-    kept = sparse[column] == s.feature if len(sparse) else np.zeros(len(column), bool)
-    column, owner = column[kept], s.of[kept]
+    sparse = telling(texts, y)
+    place = np.full(1 << TABLE_BITS, -1, np.int32)
+    place[sparse] = np.arange(len(sparse))
+    columns, owners, docs = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    sentences = 0
+    for lo, s in _slabs(texts):
+        column = place[s.feature]
+        kept = column >= 0
+        columns.append(column[kept])
+        owners.append((s.of[kept] + sentences).astype(np.int32))
+        docs.append((s.doc + lo).astype(np.int32))
+        sentences += len(s.doc)
+    column, owner, doc = (np.concatenate(parts) for parts in (columns, owners, docs))
     share = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y)
     share = np.sqrt(share)
     theta, bias = np.zeros(len(sparse)), -7.0
     m, v = np.zeros(len(sparse) + 1), np.zeros(len(sparse) + 1)
     for step in range(1, rounds + 1):
-        z = bias + np.bincount(owner, theta[column], minlength=len(s.doc))
-        mass = np.bincount(s.doc, clean_mass(z), minlength=len(y))
+        z = bias + np.bincount(owner, theta[column], minlength=len(doc))
+        mass = np.bincount(doc, clean_mass(z), minlength=len(y))
         # d loss / d mass: 1 for clean rows, -(1 - P) / P for toxic ones
         slope = share * np.where(y == 1, -1.0 / np.expm1(np.maximum(mass, 1e-9)), 1.0)
-        dz = slope[s.doc] / (1.0 + np.exp(-np.clip(z, -50, 50))) / max(1, len(y))
+        dz = slope[doc] / (1.0 + np.exp(-np.clip(z, -50, 50))) / max(1, len(y))
         grad = np.append(np.bincount(column, dz[owner], minlength=len(sparse)) + decay * theta, dz.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
@@ -151,8 +173,8 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
-    rows = training_rows(documents, labels).toPandas().sort_values("doc_id")
-    return fit(list(rows["text"]), rows["toxic"].to_numpy(int))
+    rows = training_rows(documents, labels).toArrow().sort_by("doc_id")
+    return fit(rows["text"].combine_chunks(), rows["toxic"].to_numpy())
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
