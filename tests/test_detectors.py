@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancylake.operators import alerts, detectors, drift, ordered, pacing, quality, ranking
-from vacancylake.streaming import jobs as streams
 
 START = datetime(2026, 7, 1)
 
@@ -200,13 +199,6 @@ def test_orphans(spark):
     assert got == {1: ("interrupted", True), 2: ("running", False), 3: ("success", False)}
 
 
-def test_streaming_rules_match_sequences():
-    assert streams.count_anomaly([10, 10, 0], 1)[0] == "zero_jobs"
-    assert streams.count_anomaly([0], 1) is None
-    assert streams.count_anomaly([100, 50, 25, 5], 1)[0] == "suspicious_count"
-    assert streams.drift_checks([5, 6, 5, 4, 5], 1, 0.5, 2) == []
-
-
 def test_timeout_without_source_counts_but_names_none(spark):
     rows = [(i, START + timedelta(seconds=10 * i), "a" if i < 3 else None) for i in range(4)]
     events = spark.createDataFrame(rows, "id bigint, ts timestamp, source string")

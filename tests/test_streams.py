@@ -47,6 +47,17 @@ def drain(spark, tmp_path):
     return run
 
 
+@pytest.fixture
+def detected(spark, tmp_path):
+    def run(start, stream, **options):
+        start(stream, str(tmp_path / "out"), str(tmp_path / "progress"), **options).awaitTermination()
+        found = streams.findings(spark, str(tmp_path / "out"))
+        assert found.select("batch").distinct().count() == 3
+        return found.drop("batch")
+
+    return run
+
+
 def series(n=240, keys=4, seed=1):
     rng = random.Random(seed)
     return [
@@ -59,18 +70,18 @@ def same(left, right):
     assert sorted(map(str, left.collect())) == sorted(map(str, right.select(*left.columns).collect()))
 
 
-def test_count_anomalies(feed, drain):
+def test_count_anomalies(feed, detected):
     batch, stream = feed(series(), "source string, ts timestamp, id bigint, job_count bigint")
     twin = detectors.detect_count_anomalies(batch).withColumnRenamed("detected_at", "ts")
-    same(twin.select("source", "ts", "type", "current_count"), drain(streams.stream_zero_jobs(stream)))
+    same(twin.select("source", "ts", "type", "current_count"), detected(streams.stream_zero_jobs, stream))
 
 
-def test_selector_drift(feed, drain):
+def test_selector_drift(feed, detected):
     batch, stream = feed(series(seed=2), "selector string, ts timestamp, id bigint, match_count bigint")
     twin = drift.drift_events(batch, history=5)
     same(
         twin.select("selector", "ts", "id", "kind", "severity"),
-        drain(streams.stream_selector_drift(stream, history=5)),
+        detected(streams.stream_selector_drift, stream, history=5),
     )
 
 
@@ -118,9 +129,26 @@ def test_upsert_is_idempotent_per_batch(spark, feed, tmp_path):
     assert table.count() == identity.seen_urls(batch).count()
     before = sorted(map(str, table.collect()))
     # the last batch delivered once more is recognised and skipped
-    streams.upsert_batches(spark, path, "seen_at")(full(batch), 2)
+    streams.upsert_batches(spark, path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
     again = tables.read_table(spark, str(tmp_path), "jobs")
     assert sorted(map(str, again.collect())) == before
+    # another stream may use the same batch numbers
+    other = full(batch).withColumn("canonical_url", F.lit("https://x/other"))
+    streams.upsert_batches(spark, path, "seen_at", "other")(other, 0)
+    streams.upsert_batches(spark, path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
+    assert tables.read_table(spark, str(tmp_path), "jobs").count() == len(before) + 1
+
+
+def test_a_replayed_batch_finds_the_same(spark, feed, tmp_path):
+    rows = series(60, seed=8) + [(None, START, 99, 5), (None, START + timedelta(days=1), 100, 0)]
+    batch, _ = feed(sorted(rows, key=lambda r: r[1:3]), "source string, ts timestamp, id bigint, job_count bigint")
+    path = str(tmp_path / "out")
+    detect = lambda df: detectors.anomalous_counts(df).select("source", "id", "type", "_new")
+    step = streams.detect_batches(path, "source", 9, detect)
+    cut = START + timedelta(seconds=1200)
+    for part, number in ((F.col("ts") < cut, 0), (F.col("ts") >= cut, 1), (F.col("ts") >= cut, 1)):
+        step(batch.filter(part), number)
+    same(detectors.anomalous_counts(batch).select("source", "id", "type"), streams.findings(spark, path).drop("batch"))
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -52,24 +52,32 @@ def count_history(
     )
 
 
-def detect_count_anomalies(
+def anomalous_counts(
     counts: DataFrame,
     window: int = 10,
     min_expected: int = 1,
     latest_only: bool = False,
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Zero-listing and sudden-drop anomalies, at most one per observation."""
+    """The rows of :func:`count_history` that show an anomaly, with its ``type``."""
     rows = count_history(counts, window, latest_only, max_group_rows)
     count, average = F.col("job_count"), F.col("average_count")
     zero = (count == 0) & (average > min_expected)
     drop = (F.col("trend") == "decreasing") & (count < average * 0.5)
     kind = F.when(zero, "zero_jobs").when(drop, "suspicious_count")
+    return rows.withColumn("type", kind).filter(F.col("type").isNotNull())
+
+
+def detect_count_anomalies(counts: DataFrame, **options) -> DataFrame:
+    """Zero-listing and sudden-drop anomalies, at most one per observation.
+
+    Options are those of :func:`anomalous_counts`.
+    """
+    rows = anomalous_counts(counts, **options)
+    count, average = F.col("job_count"), F.col("average_count")
     shown = F.format_string("%.1f", average)
     return (
-        rows.withColumn("type", kind)
-        .filter(F.col("type").isNotNull())
-        .select(
+        rows.select(
             "type",
             "source",
             F.when(F.col("type") == "zero_jobs", "error").otherwise("warning").alias("severity"),

@@ -1635,6 +1635,19 @@ def _event_stream(t: Tables, derived: str) -> DataFrame:
     return t.spark.sql(DERIVED[derived].replace("CAST(ts AS TIMESTAMP)", "ts"), events=timed)
 
 
+def _detected(t: Tables, derived: str, start) -> DataFrame:
+    """Findings of a detecting stream that reads all events in three batches, in time order."""
+    work = f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = t.events.agg(F.percentile_approx(at, [0.33, 0.67])).first()[0] or (0, 0)
+    for third in (at <= low, (at > low) & (at <= high), (at > high) | at.isNull()):
+        t.events.filter(third).coalesce(1).write.mode("append").parquet(f"{work}/events")
+    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
+    timed = source.withColumn("ts", F.col("ts").cast("timestamp"))
+    start(t.spark.sql(DERIVED[derived], events=timed), f"{work}/out", f"{work}/progress").awaitTermination()
+    return streams.findings(t.spark, f"{work}/out")
+
+
 def _drain(t: Tables, stream: DataFrame) -> DataFrame:
     """Run a stream over all that is there and read back what it wrote."""
     work = f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
@@ -1691,7 +1704,7 @@ def stream_upsert(t: Tables) -> DataFrame:
            CASE WHEN job_count = 0 AND average > 1 THEN 'zero_jobs' ELSE 'suspicious_count' END AS type
     FROM w WHERE (job_count = 0 AND average > 1) OR {_FALLING}""")
 def stream_zero_jobs(t: Tables) -> DataFrame:
-    found = _drain(t, streams.stream_zero_jobs(_event_stream(t, "counts")))
+    found = _detected(t, "counts", streams.stream_zero_jobs)
     return found.select("source", "id", "current_count", "average_count", "type")
 
 
@@ -1703,7 +1716,7 @@ def stream_zero_jobs(t: Tables) -> DataFrame:
     UNION ALL SELECT selector, id, 'sudden_drop', 'error' FROM v
     WHERE (previous - match_count) / greatest(previous, 1) > 0.8 AND match_count < 1 AND previous >= 1""")
 def stream_selector_drift(t: Tables) -> DataFrame:
-    found = _drain(t, streams.stream_selector_drift(_event_stream(t, "snapshots")))
+    found = _detected(t, "snapshots", streams.stream_selector_drift)
     return found.select("selector", "id", "kind", "severity")
 
 

@@ -1,19 +1,21 @@
 """Structured Streaming versions of the incremental jobs.
 
-Keyed state is kept per source or selector. Each function takes and returns a
-streaming DataFrame; the caller chooses sink, checkpoint and trigger.
+De-duplication and timeout windows take and return a streaming DataFrame. The
+others start a query that applies the batch operators to every micro-batch, with
+what earlier batches left in shared storage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import json
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vacancylake import schemas
+from vacancylake.operators.detectors import anomalous_counts
+from vacancylake.operators.drift import drift_events
 from vacancylake.operators.identity import KEY, dedupe
 from vacancylake.operators.merge import upsert_jobs
 from vacancylake.sinks.tables import current_snapshot, current_tag, write_snapshot
@@ -24,17 +26,20 @@ def stream_dedupe(records: DataFrame, event_time: str, watermark: str) -> DataFr
     return records.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(KEY)
 
 
-def upsert_batches(spark: SparkSession, path: str, seen_at: str) -> Callable[[DataFrame, int], None]:
+def upsert_batches(
+    spark: SparkSession, path: str, seen_at: str, stream: str
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function merging each batch into the table at ``path``.
 
-    The batch id is stored with the snapshot it produced; a batch replayed after
-    a failure is recognised and skipped. Times come from the batch's own
-    ``seen_at`` column.
+    With each snapshot goes the last batch of every stream merged so far; a batch
+    replayed after a failure is recognised and skipped, while other streams may
+    use the same numbers. ``stream`` names a stream for all its restarts. Times
+    come from the batch's own ``seen_at`` column.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = current_tag(spark, path)
-        if done and int(done) >= batch_id:
+        done = json.loads(current_tag(spark, path) or "{}")
+        if done.get(stream, -1) >= batch_id:
             return
         location = current_snapshot(spark, path)
         reader = spark.read.schema(schemas.JOBS)
@@ -43,111 +48,87 @@ def upsert_batches(spark: SparkSession, path: str, seen_at: str) -> Callable[[Da
         )
         now = batch.agg(F.max(seen_at)).scalar()
         merged = upsert_jobs(current, dedupe(batch), now).drop("op")
-        write_snapshot(merged, path, tag=str(batch_id))
+        write_snapshot(merged, path, tag=json.dumps({**done, stream: batch_id}))
 
     return merge
 
 
 def stream_upsert(records: DataFrame, path: str, checkpoint: str, seen_at: str = "seen_at"):
-    """Start merging a stream of records into a listings table."""
+    """Start merging a stream of records into a listings table; its checkpoint names the stream."""
+    merge = upsert_batches(records.sparkSession, path, seen_at, checkpoint)
+    return _start(records, merge, checkpoint)
+
+
+def _start(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str):
     return (
-        records.writeStream.foreachBatch(upsert_batches(records.sparkSession, path, seen_at))
+        stream.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _in_order(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """One key's rows of one micro-batch; its size is set by the source's trigger limits."""
-    return pd.concat(list(parts)).sort_values(["ts", "id"])
-
-
-def count_anomaly(history: list[int], min_expected: int) -> tuple[str, float] | None:
-    """Anomaly shown by a source's last counts, newest last, with their average."""
-    latest, average = history[-1], sum(history) / len(history)
-    if latest == 0 and average > min_expected:
-        return "zero_jobs", average
-    falling = len(history) >= 3 and history[-3] > history[-2] > latest
-    if falling and latest < average * 0.5:
-        return "suspicious_count", average
-    return None
-
-
-def stream_zero_jobs(counts: DataFrame, window: int = 10, min_expected: int = 1) -> DataFrame:
-    """Count anomalies of a stream (source, ts, id, job_count)."""
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        history = list(state.get[0]) if state.exists else []
-        found = []
-        for row in _in_order(parts).itertuples():
-            history = (history + [int(row.job_count)])[-window:]
-            anomaly = count_anomaly(history, min_expected)
-            if anomaly:
-                found.append((key[0], row.ts, row.id, row.job_count, *anomaly))
-        state.update((history,))
-        names = ["source", "ts", "id", "current_count", "type", "average_count"]
-        yield pd.DataFrame(found, columns=names, dtype=object)
-
-    return counts.groupBy("source").applyInPandasWithState(
-        update,
-        "source string, ts timestamp, id bigint, current_count bigint, type string, average_count double",
-        "history array<bigint>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+def detect_batches(
+    path: str, key: str, depth: int, detect: Callable[[DataFrame], DataFrame]
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function running a batch detector over a stream.
+
+    Each batch is judged together with the last ``depth`` rows of every key that
+    the batch before left under ``path/tails``; findings go to
+    ``path/found/batch=N``. A replayed batch reads the same tails and overwrites
+    its own output. ``detect`` must carry the column ``_new`` along. A late row is
+    judged among the rows still kept, and changes no earlier finding. ``path``
+    belongs to one checkpoint.
+    """
+    newest = Window.partitionBy(key).orderBy(F.desc("ts"), F.desc("id"))
 
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark, columns = batch.sparkSession, batch.columns
+        rows = batch.withColumn("_new", F.lit(True))
+        if batch_id:
+            kept = spark.read.schema(batch.schema).parquet(f"{path}/tails/{batch_id - 1}")
+            rows = rows.unionByName(kept.withColumn("_new", F.lit(False)))
+        found = detect(rows).filter("_new").drop("_new")
+        found.write.mode("overwrite").parquet(f"{path}/found/batch={batch_id}")
+        # the rank filter runs below the exchange: a hot key sends ``depth`` rows a task
+        tails = rows.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= depth)
+        tails.select(*columns).write.mode("overwrite").parquet(f"{path}/tails/{batch_id}")
 
-def drift_checks(
-    history: list[int], min_expected: int, threshold: float, zero_threshold: int
-) -> list[tuple[str, str]]:
-    """Drift kinds and severities shown by a selector's last counts, newest last."""
-    if len(history) < 2:
-        return []
-    latest, older, found = history[-1], history[:-1], []
-    if latest == 0:
-        hits = [i for i, n in enumerate(reversed(history)) if n != 0]
-        zeros = hits[0] if hits else len(history)
-        severity = "critical" if zeros >= zero_threshold else "error" if zeros >= 2 else "warning"
-        found.append(("zero_matches", severity))
-    average = sum(older) / len(older)
-    if len(history) >= 3 and average != 0 and latest < min_expected:
-        drift = abs(latest - average) / max(average, 1)
-        if drift >= threshold:
-            found.append(("average", "warning" if drift < 1.0 else "error"))
-    drop = (older[-1] - latest) / max(older[-1], 1)
-    if drop > 0.8 and latest < min_expected <= older[-1]:
-        found.append(("sudden_drop", "error"))
-    return found
+    return step
+
+
+def findings(spark: SparkSession, path: str) -> DataFrame:
+    """What the finished batches of a detecting stream found, with the batch."""
+    return spark.read.parquet(f"{path}/found")
+
+
+def stream_zero_jobs(
+    counts: DataFrame, path: str, checkpoint: str, window: int = 10, min_expected: int = 1
+):
+    """Start finding count anomalies in a stream (source, ts, id, job_count)."""
+
+    def detect(rows: DataFrame) -> DataFrame:
+        return anomalous_counts(rows, window, min_expected).select(
+            "source", "ts", "id", F.col("job_count").alias("current_count"), "type", "average_count", "_new"
+        )
+
+    return _start(counts, detect_batches(path, "source", window - 1, detect), checkpoint)
 
 
 def stream_selector_drift(
-    snapshots: DataFrame,
-    history: int = 10,
-    min_expected: int = 1,
-    drift_threshold: float = 0.5,
-    zero_threshold: int = 2,
-) -> DataFrame:
-    """Drift events of a stream (selector, ts, id, match_count)."""
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = list(state.get[0]) if state.exists else []
-        found = []
-        for row in _in_order(parts).itertuples():
-            kept = (kept + [int(row.match_count)])[-history:]
-            for kind, severity in drift_checks(kept, min_expected, drift_threshold, zero_threshold):
-                found.append((key[0], row.ts, row.id, row.match_count, kind, severity))
-        state.update((kept,))
-        names = ["selector", "ts", "id", "actual_count", "kind", "severity"]
-        yield pd.DataFrame(found, columns=names, dtype=object)
-
-    return snapshots.groupBy("selector").applyInPandasWithState(
-        update,
-        "selector string, ts timestamp, id bigint, actual_count bigint, kind string, severity string",
-        "history array<bigint>",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    snapshots: DataFrame, path: str, checkpoint: str, history: int = 10, **options
+):
+    """Start finding drift in a stream (selector, ts, id, match_count).
+
+    Further options are those of :func:`drift_events`.
+    """
+
+    def detect(rows: DataFrame) -> DataFrame:
+        return drift_events(rows, history, **options).select(
+            "selector", "ts", "id", "actual_count", "kind", "severity", "_new"
+        )
+
+    return _start(snapshots, detect_batches(path, "selector", history - 1, detect), checkpoint)
 
 
 def stream_timeout_counts(
