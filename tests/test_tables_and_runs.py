@@ -125,8 +125,10 @@ def test_append_and_rejects(spark, tmp_path):
         sinks.append_rows(spark.range(2).withColumn("day", F.lit(day)), str(tmp_path / "a"), ["day"])
     assert spark.read.parquet(str(tmp_path / "a")).count() == 4
     rejects = spark.createDataFrame([("t", ["bad url"])], "title string, reasons array<string>")
-    sinks.write_rejects(rejects, str(tmp_path / "r"), "validate")
-    assert spark.read.parquet(str(tmp_path / "r")).first().stage == "validate"
+    for run in (7, 8, 8):
+        sinks.write_rejects(rejects, str(tmp_path / "r"), "validate", run)
+    kept = spark.read.parquet(str(tmp_path / "r")).collect()
+    assert sorted((r.run_id, r.stage, r.title) for r in kept) == [(7, "validate", "t"), (8, "validate", "t")]
 
 
 def export_jobs(spark):

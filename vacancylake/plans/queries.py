@@ -1826,19 +1826,21 @@ def appended_rows(t: Tables) -> DataFrame:
 
 
 @register(cte("raw_rows") + """
-    SELECT page_no, 'validate' AS stage FROM raw_rows
-    WHERE trim(source) = '' OR trim(title) = '' OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')
-    UNION ALL SELECT page_no, 'transform' FROM raw_rows
-    WHERE company_id <= 0 OR trim(title) = '' OR date_posted = 'soon'
-       OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')""")
+    SELECT r AS run_id, page_no, stage FROM (VALUES (1), (2)) AS v(r), (
+        SELECT page_no, 'validate' AS stage FROM raw_rows
+        WHERE trim(source) = '' OR trim(title) = '' OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]')
+        UNION ALL SELECT page_no, 'transform' FROM raw_rows
+        WHERE company_id <= 0 OR trim(title) = '' OR date_posted = 'soon'
+           OR NOT regexp_matches(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]'))""")
 def rejects_table(t: Tables) -> DataFrame:
     root = _work(t)
     _, skipped = quality.split_by(quality.validate_raw(t.raw_rows), "skip_reasons")
     _, rejected = quality.split_by(quality.to_records(t.raw_rows), "reject_reasons")
-    sinks.write_rejects(skipped.select("page_no", F.col("skip_reasons").alias("reasons")), root, "validate")
-    sinks.write_rejects(rejected.select("page_no", F.col("reject_reasons").alias("reasons")), root, "transform")
-    read = t.spark.read.schema("page_no bigint, reasons array<string>, stage string").parquet(root)
-    return read.select("page_no", "stage")
+    for run in (1, 2):
+        sinks.write_rejects(skipped.select("page_no", F.col("skip_reasons").alias("reasons")), root, "validate", run)
+        sinks.write_rejects(rejected.select("page_no", F.col("reject_reasons").alias("reasons")), root, "transform", run)
+    read = t.spark.read.schema("page_no bigint, reasons array<string>, run_id int, stage string").parquet(root)
+    return read.select("run_id", "page_no", "stage")
 
 
 @register(SQL["export_rows"])

@@ -85,6 +85,9 @@ def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def write_rejects(df: DataFrame, path: str, stage: str) -> None:
-    """Keep rejected, skipped or duplicate rows with their reasons, by stage."""
-    df.write.mode("overwrite").parquet(f"{path}/stage={stage}")
+def write_rejects(df: DataFrame, path: str, stage: str, run_id: int) -> None:
+    """Keep rejected, skipped or duplicate rows with their reasons, by run and stage.
+
+    A run written again replaces its own rows; those of other runs stay.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run_id}/stage={stage}")
