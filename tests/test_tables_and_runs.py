@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from vacancylake import schemas
 from vacancylake.operators import lookup, quality
-from vacancylake.plans.snapshot import run_snapshot
+from vacancylake.plans.monitoring import monitor
+from vacancylake.plans.snapshot import run_snapshot, store_run
 from vacancylake.sinks import exports, tables as sinks
 from vacancylake.sources import specs, tables
 
@@ -165,8 +166,14 @@ def test_csv_is_ordered_quoted_and_reproducible(spark, tmp_path):
         ("A Co", "Ops\nlead", "a1"), ("A Co", "Ops\nlead", "a2"), ("B Co", 'Dev, "senior"', "b1"),
     ]
     assert table[1][5] == "2026-07-15T10:30:00+00:00" and table[3][5] == ""
-    exports.export_csv(rows, str(tmp_path / "z"), single_file=False, bom=True)
-    assert csv_bytes(tmp_path / "z").startswith(b"\xef\xbb\xbf")
+    for single in (False, True):  # the second replaces the first
+        exports.export_csv(rows.repartitionByRange(3, "canonical_url"), str(tmp_path / "z"), single_file=single, bom=True)
+        assert csv_bytes(tmp_path / "z").startswith(b"\xef\xbb\xbf") and csv_bytes(tmp_path / "z").count(b"\xef\xbb\xbf") == 1
+        assert csv_bytes(tmp_path / "z").count(b"company_name") == 1
+        assert len(list((tmp_path / "z").glob("part-*.csv"))) == (1 if single else 4)
+    assert not list(tmp_path.glob("z.*"))
+    back = exports.read_csv(spark, str(tmp_path / "x"), exports.EXPORT_COLUMNS)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
     assert exports.export_rows(export_jobs(spark), short=True).columns == exports.SHORT_EXPORT_COLUMNS
 
 
@@ -228,3 +235,54 @@ def test_truncated_and_failed_crawls_close_nothing(spark):
     assert statuses(result.jobs) == {k: "open" for k in ("1", "2", "10", "11", "12")}
     attempts = {r.company_id: r for r in result.attempts.collect()}
     assert not attempts[1].complete and not attempts[2].complete and attempts[2].closed_jobs == 0
+
+
+def test_a_stored_run_is_stored_once(spark, tmp_path):
+    root = str(tmp_path)
+    empty = spark.createDataFrame([], schemas.JOBS)
+    for run, ids in ((1, [1, 2, 2]), (2, [2, 3]), (2, [2, 3])):
+        known = empty if run == 1 else tables.read_table(spark, root, "jobs")
+        result = snapshot(spark, known, run, run, ids, [10])
+        store_run(result, root, run, ts("2026-07-01 10:00:00"), ts("2026-07-01 11:00:00"))
+    jobs = {r.canonical_url.rsplit("/", 1)[1]: r.missing_count for r in tables.read_table(spark, root, "jobs").collect()}
+    assert jobs == {"1": 1, "2": 0, "3": 0, "10": 0}
+    attempts = tables.read_table(spark, root, "attempts").groupBy("run_id").count().collect()
+    assert {(r.run_id, r["count"]) for r in attempts} == {(1, 3), (2, 3)}
+    assert {(r.id, r.status) for r in tables.read_table(spark, root, "runs").collect()} == {(1, "partial"), (2, "partial")}
+    kept = spark.read.option("mergeSchema", True).parquet(f"{root}/rejects")
+    assert {(r.run_id, r.stage, r.reasons[0]) for r in kept.collect()} == {(1, "dedupe", "duplicate")}
+
+
+def test_rows_of_unknown_sources_are_kept_as_skipped(spark):
+    pages = spark.createDataFrame(
+        [("vancity", 1, "u", 200, "application/json", workday(1), None)], schemas.PAGES
+    )
+    log = spark.createDataFrame(
+        [("vancity", "api", 1, 1, 200, "application/json", None, 1)],
+        "source string, family string, page_no int, attempt int, status_code int, content_type string, error_type string, n_jobs int",
+    )
+    others = company_frame(spark).filter("slug <> 'vancity'")
+    now = ts("2026-07-02 10:00:00")
+    result = run_snapshot(pages, log, spark.createDataFrame([], schemas.JOBS), others, specs.default_catalog(), 1, now, now)
+    assert [r.skip_reasons for r in result.skipped.collect()] == [["source is no active company"]]
+    assert result.jobs.count() == 0
+
+
+def test_monitoring(spark):
+    rows = [(i, 1, 1, i, "success", n, None) for i, n in enumerate((9, 9, 9, 0))]
+    rows += [(10 + i, 1, 2, i, "failed", 0, "timeout") for i in range(3)] + [(20, 1, None, 0, "partial", None, None)]
+    attempts = spark.createDataFrame(
+        rows, "id bigint, run_id bigint, company_id bigint, m int, status string, jobs_found bigint, error_type string"
+    ).withColumns({"started_at": F.timestamp_seconds(F.col("m") * 60), "error_message": F.lit(None).cast("string")})
+    runs = spark.createDataFrame([(1, 0, 10)], "id bigint, a int, b int").select(
+        "id", F.timestamp_seconds("a").alias("started_at"), F.timestamp_seconds("b").alias("finished_at")
+    )
+    seen = monitor(attempts, runs, 3, max_failed_share=0.3)
+    assert sorted((r.type, r.source) for r in seen.anomalies.collect()) == [("timeout_pattern", "2"), ("zero_jobs", "1")]
+    told = {(r.alert_type, r.source, r.severity, r.disable) for r in seen.alerts.collect()}
+    assert told == {
+        ("zero_jobs", "1", "critical", False), ("scrape_failure", "2", "error", True),
+        ("scrape_failure", None, "warning", False),
+    }
+    assert [r.company_id for r in seen.to_disable.collect()] == [2]
+    assert [r.rule for r in seen.run_rules.collect()] == ["high_error_rate"]

@@ -41,7 +41,7 @@ def count_history(
     last, middle, first = (F.try_element_at("history", F.lit(-i)) for i in (1, 2, 3))
     return (
         rows.withColumn("n_history", n)
-        .withColumn("average_count", total / n)
+        .withColumn("average_count", total / F.nullif(n, F.lit(0)))
         .withColumn(
             "trend",
             F.when(n < 3, "stable")

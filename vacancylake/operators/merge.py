@@ -15,7 +15,7 @@ def upsert_jobs(current: DataFrame, incoming: DataFrame, now: Column) -> DataFra
     Both sides hold one row per key, so the full outer join has no hot key.
     ``op`` is created, updated or kept. The id and creation time of a known
     listing never change; title_vi and salary_raw keep their value when the
-    incoming one is null.
+    incoming one is null. A ``change`` that reconciling noted stays beside ``op``.
     """
     old, new = current.alias("old"), incoming.alias("new")
     known, seen = F.col("old.id").isNotNull(), F.col("new.status").isNotNull()
@@ -50,6 +50,7 @@ def upsert_jobs(current: DataFrame, incoming: DataFrame, now: Column) -> DataFra
         F.coalesce(F.col("old.created_at"), now).alias("created_at"),
         F.when(seen, now).otherwise(F.col("old.updated_at")).alias("updated_at"),
         F.when(~known, "created").when(seen, "updated").otherwise("kept").alias("op"),
+        *[F.col(f"old.{name}") for name in ("change",) if name in current.columns],
     )
 
 

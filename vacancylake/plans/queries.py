@@ -28,7 +28,8 @@ from vacancylake.operators import (
     rollups,
 )
 from vacancylake.plans.driver_tables import DERIVED, Tables, cte, listing_pages, tidy
-from vacancylake.plans.snapshot import run_snapshot
+from vacancylake.plans.monitoring import monitor
+from vacancylake.plans.snapshot import SnapshotResult, run_snapshot, store_run
 from vacancylake.session import ensure_checkpoint_dir, materialize
 from vacancylake.sinks import exports
 from vacancylake.sinks import tables as sinks
@@ -544,14 +545,20 @@ def _one_rule(t: Tables, source: str, family: str, **rule) -> DataFrame:
 
 @register(r"""
     SELECT page_id AS page_no, selector, n AS match_count, n > 0 AS matched FROM (
-        SELECT page_id, unnest(['nav li', 'article h1', 'p', 'div.ad', 'a[href]', 'a[href*="/th"]', '>bad']) AS selector,
+        SELECT page_id, unnest(['nav li', 'article > h1', 'p', 'div.ad', 'a[href]', 'a[href*="/th"]', '>bad',
+                                'li > a[href^="/"]', 'article > h1:first-child']) AS selector,
                unnest([len(regexp_extract_all(html, '<li>')), len(regexp_extract_all(html, '<h1>')),
                        len(regexp_extract_all(html, '<p>')), len(regexp_extract_all(html, '<div class="ad">')),
                        len(regexp_extract_all(html, '<a href=')),
-                       len(regexp_extract_all(html, '<a href="[^"]*/th')), 0]) AS n
+                       len(regexp_extract_all(html, '<a href="[^"]*/th')), 0,
+                       len(regexp_extract_all(html, '<li><a href="/')),
+                       len(regexp_extract_all(html, '<article><h1>'))]) AS n
         FROM pages)""")
 def count_selector_matches(t: Tables) -> DataFrame:
-    selectors = ["nav li", "article h1", "p", "div.ad", "a[href]", 'a[href*="/th"]', ">bad"]
+    selectors = [
+        "nav li", "article > h1", "p", "div.ad", "a[href]", 'a[href*="/th"]', ">bad", 'li > a[href^="/"]',
+        "article > h1:first-child",
+    ]
     return html.count_selector_matches(_site_pages(t), selectors, ["page_no"])
 
 
@@ -596,7 +603,7 @@ def extract_cards(t: Tables) -> DataFrame:
         SELECT page_id, unnest(range(0, len(h))) AS pos, unnest(h) AS href
         FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages))""")
 def extract_links(t: Tables) -> DataFrame:
-    careers = t.pages.withColumn("html", F.replace("html", F.lit('href="/'), F.lit('href="/careers/')))
+    careers = t.pages.withColumn("html", F.replace("html", F.lit('href="/'), F.lit('href="&#47;careers&#x2F;')))
     return html.extract_links(careers, F.lit("https://x.example.com/list/all"), ["page_id"])
 
 
@@ -1741,9 +1748,22 @@ def extract_known_sources(t: Tables) -> DataFrame:
     return rows.select("source", "page_no", "pos", "title", "location", "url", "source_job_id")
 
 
-def _snapshot_run(t: Tables):
-    """A run over one source whose pages hold every order."""
+def _middle_page(t: Tables):
+    return t.orders.agg(F.floor(F.max(F.floor(F.col("o_orderkey") / 100)) / 2) + 1).scalar()
+
+
+def _snapshot_run(t: Tables, truncated: bool = False, failing: bool = False) -> SnapshotResult:
+    """A run over one source whose pages hold every order.
+
+    ``truncated``: the source states more listings than its pages hold;
+    ``failing``: its middle page was refused.
+    """
     pages_read = t.ats_pages("greenhouse").withColumn("source", F.lit("opswat"))
+    if truncated:
+        pages_read = pages_read.withColumn("body", F.regexp_replace("body", r'"total":(\d)', r'"total":1$1'))
+    if failing:
+        refused = F.col("page_no") == _middle_page(t)
+        pages_read = pages_read.withColumn("status_code", F.when(refused, 429).otherwise(F.col("status_code")))
     pages_read = pages_read.withColumns(
         {"url": F.lit("u"), "content_type": F.lit("application/json")}
     )
@@ -1803,6 +1823,126 @@ def snapshot_attempts(t: Tables) -> DataFrame:
     )
 
 
+_KEY = "'https://jobs.example.com/' || CAST(o_orderkey AS STRING)"
+_STORED_STATUS = "CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed' ELSE 'unknown' END"
+
+
+@register(f"""
+    SELECT {_KEY} AS canonical_url, 'open' AS status, o_orderkey % 3 AS missing_count,
+           'updated' AS op, false AS complete
+    FROM orders WHERE o_orderkey % 2 = 0
+    UNION ALL SELECT {_KEY}, 'open', 0, 'created', false FROM orders WHERE o_orderkey % 2 = 1
+    UNION ALL
+    SELECT 'https://jobs.example.com/old-' || CAST(o_orderkey AS STRING), 'open', o_orderkey % 3, 'kept', false
+    FROM orders WHERE o_orderkey % 2 = 1""")
+def snapshot_truncated(t: Tables) -> DataFrame:
+    """A crawl short of the stated total updates listings and closes none."""
+    run = _snapshot_run(t, truncated=True)
+    complete = run.attempts.filter("company_id = 1").select("company_id", "complete")
+    rows = run.jobs.join(F.broadcast(complete), "company_id")  # one row
+    return rows.select("canonical_url", "status", "missing_count", "op", "complete")
+
+
+@register(f"""
+    WITH o AS (SELECT *, floor(o_orderkey / 100) < (SELECT floor(max(floor(o_orderkey / 100)) / 2) FROM orders) AS read
+               FROM orders)
+    SELECT {_KEY} AS canonical_url, CASE WHEN read THEN 'open' ELSE {_STORED_STATUS} END AS status,
+           CASE WHEN read THEN 'updated' ELSE 'kept' END AS op
+    FROM o WHERE o_orderkey % 2 = 0
+    UNION ALL SELECT {_KEY}, 'open', 'created' FROM o WHERE o_orderkey % 2 = 1 AND read
+    UNION ALL SELECT 'https://jobs.example.com/old-' || CAST(o_orderkey AS STRING), 'open', 'kept'
+    FROM o WHERE o_orderkey % 2 = 1""")
+def snapshot_failed_page(t: Tables) -> DataFrame:
+    """Listings from the refused page on are neither read nor closed."""
+    return _snapshot_run(t, failing=True).jobs.select("canonical_url", "status", "op")
+
+
+def _stored_run(t: Tables) -> str:
+    root = _work(t)
+    started = F.lit("2024-06-01 10:00:00").cast("timestamp")
+    store_run(_snapshot_run(t), root, 5, started, now())
+    return root
+
+
+@register("""
+    SELECT 'https://jobs.example.com/' || CAST(o_orderkey AS STRING) AS canonical_url, 'open' AS status,
+           CAST(0 AS BIGINT) AS missing_count
+    FROM orders
+    UNION ALL
+    SELECT 'https://jobs.example.com/old-' || CAST(o_orderkey AS STRING),
+           CASE WHEN o_orderkey % 3 + 1 >= 2 THEN 'closed' ELSE 'open' END, o_orderkey % 3 + 1
+    FROM orders WHERE o_orderkey % 2 = 1""")
+def stored_run_jobs(t: Tables) -> DataFrame:
+    return tables.read_table(t.spark, _stored_run(t), "jobs").select("canonical_url", "status", "missing_count")
+
+
+@register("""
+    SELECT CAST(5 AS BIGINT) AS run_id, CAST(1 AS BIGINT) AS company_id, 'success' AS status, 'success' AS run_status,
+           count(*) AS jobs_found, count(*) FILTER (o_orderkey % 2 = 1) AS new_jobs,
+           count(*) FILTER (o_orderkey % 2 = 1 AND o_orderkey % 3 >= 1) AS closed_jobs
+    FROM orders""")
+def stored_run_attempts(t: Tables) -> DataFrame:
+    root = _stored_run(t)
+    runs = tables.read_table(t.spark, root, "runs").select(F.col("id").alias("run_id"), F.col("status").alias("run_status"))
+    rows = tables.read_table(t.spark, root, "attempts").join(runs, "run_id")
+    return rows.select("run_id", "company_id", "status", "run_status", "jobs_found", "new_jobs", "closed_jobs")
+
+
+@register(cte("attempts") + f""", counted AS (
+        SELECT company_id, started_at, jobs_found,
+               avg(jobs_found) OVER (PARTITION BY company_id ORDER BY started_at, id
+                                     ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS average
+        FROM attempts WHERE status <> 'failed'),
+    off AS (SELECT company_id FROM (SELECT * FROM attempts QUALIFY
+                row_number() OVER (PARTITION BY company_id ORDER BY started_at DESC, id DESC) <= 2)
+            GROUP BY company_id HAVING bool_and(status = 'failed') AND count(*) = 2)
+    SELECT alert_type, severity, CAST(company_id AS STRING) AS source, ts, company_id IN (FROM off) AS disable FROM (
+        SELECT 'zero_jobs' AS alert_type, 'critical' AS severity, company_id, started_at AS ts
+        FROM counted WHERE jobs_found = 0 AND average > 1
+        UNION ALL SELECT 'scrape_failure', CASE status WHEN 'partial' THEN 'warning' ELSE 'error' END, company_id,
+                         started_at FROM attempts WHERE status IN ('partial', 'failed'))""")
+def monitoring_alerts(t: Tables) -> DataFrame:
+    return monitor(t.attempts, t.runs, 2).alerts.select("alert_type", "severity", "source", "ts", "disable")
+
+
+_BODY_PAGES = """
+    SELECT 'site-' || CAST(page_id % 10 AS STRING) AS source, CAST(floor(page_id / 10) AS INT) + 1 AS page_no, url,
+           200 AS status_code, 'text/html' AS content_type, html AS body, CAST(NULL AS TIMESTAMP) AS fetched_at
+    FROM {pages}"""
+
+
+@register("""
+    SELECT layout, 'site-' || CAST(page_id % 10 AS STRING) AS source, CAST(floor(page_id / 10) AS BIGINT) + 1 AS page_no,
+           CAST(length(html) AS BIGINT) AS n_chars
+    FROM pages, (VALUES ('parquet'), ('json'), ('orc')) AS l(layout)""")
+def read_pages(t: Tables) -> DataFrame:
+    """All pages, written in each layout and read by the page readers."""
+    out = None
+    for layout, read in (("parquet", pages.read_html_pages), ("json", pages.read_api_pages), ("orc", pages.read_html_pages)):
+        root = _work(t)
+        t.sql(_BODY_PAGES).write.format(layout).save(root)
+        rows = read(t.spark, root, layout)
+        text_of = "body" if "body" in rows.columns else "html"
+        rows = rows.select(F.lit(layout).alias("layout"), "source", "page_no", F.length(text_of).alias("n_chars"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("""
+    SELECT 'p' || CAST(page_id AS STRING) AS source, CAST(page_id % 7 AS BIGINT) AS page_no,
+           CAST(length(html) AS BIGINT) + 1 AS n_chars  -- the writer ends each file with a line end
+    FROM pages WHERE length(html) > 0""")
+def read_page_files(t: Tables) -> DataFrame:
+    """All pages, one text file each, read by path."""
+    root = _work(t)
+    named = t.pages.select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("s"), (F.col("page_id") % 7).alias("n"), "html"
+    )
+    named.filter("length(html) > 0").write.partitionBy("s", "n").text(root)
+    read = pages.read_page_files(t.spark, root, r"/s=([^/]+)/n=(\d+)/")
+    return read.select("source", "page_no", F.length("body").alias("n_chars"))
+
+
 def _work(t: Tables) -> str:
     return f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
 
@@ -1847,7 +1987,5 @@ def rejects_table(t: Tables) -> DataFrame:
 def csv_export(t: Tables) -> DataFrame:
     root = _work(t)
     rows = exports.export_rows(quality.export_filter(lookup.jobs_with_company(t.jobs, t.companies)))
-    exports.export_csv(rows, root)
-    schema = ", ".join(f"{name} string" for name in exports.EXPORT_COLUMNS)
-    read = t.spark.read.schema(schema).option("header", True).option("escape", '"').csv(root)
-    return read.fillna("")
+    exports.export_csv(rows, f"{root}/export")
+    return exports.read_csv(t.spark, f"{root}/export", exports.EXPORT_COLUMNS)

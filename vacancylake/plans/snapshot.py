@@ -7,7 +7,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from vacancylake import schemas
 from vacancylake.operators.extraction import classify_extraction, readable_pages, stated_totals
 from vacancylake.operators.identity import KEY, dedupe, duplicates
 from vacancylake.operators.lookup import unmatched_sources
@@ -17,6 +19,7 @@ from vacancylake.operators.reconcile import reconcile
 from vacancylake.operators.rollups import attempt_rows, overall_status
 from vacancylake.operators.spread import attach
 from vacancylake.session import materialize
+from vacancylake.sinks import tables as sinks
 from vacancylake.sources.html import extract_pages, listings
 from vacancylake.sources.pages import html_pages
 from vacancylake.sources.specs import SourceCatalog
@@ -67,7 +70,8 @@ def run_snapshot(
 
     All companies go through one plan. A source that failed is known by its row
     in the extraction outcomes and leaves its listings untouched. The parsed
-    records are materialized, because five results are drawn from them.
+    records and the merged listings are materialized, because several results are
+    drawn from each; the counters come from the merged rows' ``op`` and ``change``.
 
     Listings come from the pages before a source's first failing page. A crawl is
     complete only if it also ended by itself: where the source states its number
@@ -80,7 +84,12 @@ def run_snapshot(
     ids = companies.filter("is_active").select(
         F.col("slug").alias("source"), F.col("id").alias("company_id")
     )
-    records = materialize(to_records(attach(valid, ids, ["source"], "inner")))
+    owned = attach(valid, ids, ["source"], "left")
+    stray = F.array(F.lit("source is no active company"))
+    skipped = skipped.unionByName(
+        owned.filter("company_id is null").drop("company_id").withColumn("skip_reasons", stray)
+    )
+    records = materialize(to_records(owned.filter("company_id is not null")))
     good, rejected = split_by(records, "reject_reasons")
     unique, dropped = dedupe(good), duplicates(good)
 
@@ -107,10 +116,10 @@ def run_snapshot(
         F.col("authoritative").alias("authoritative_snapshot"),
         started_at.alias("started_at"),
     )
-    reconciled = reconcile(jobs, unique.select(*KEY), judged, now, threshold, mode)
-    merged = upsert_jobs(reconciled.drop("change"), unique, now)
+    reconciled = reconcile(jobs.drop("op", "change"), unique.select(*KEY), judged, now, threshold, mode)
+    merged = materialize(upsert_jobs(reconciled, unique, now))
 
-    counters = attempt_rows(good, rejected, dropped, merged, reconciled)
+    counters = attempt_rows(good, rejected, dropped, merged, merged)
     missing = unmatched_sources(companies.filter("is_active"), catalog.frame(spark))
     attempts = (
         outcomes.drop("jobs_found", "warning", "n_warnings", "family")
@@ -141,3 +150,37 @@ def run_snapshot(
         )
     )
     return SnapshotResult(merged, attempts, overall_status(attempts), skipped, rejected, dropped)
+
+
+def store_run(
+    result: SnapshotResult, root: str, run_id: int, started_at: Column, now: Column, triggered_by: str = "cli"
+) -> None:
+    """Keep a run: its rejects, attempts and run row, and last the merged listings.
+
+    Everything but the listings lies in a folder of the run, so storing a run again
+    replaces its rows. The published listings carry the run's id; a run that has
+    published is not published again.
+    """
+    spark = result.jobs.sparkSession
+    reasons = {"validate": (result.skipped, "skip_reasons"), "transform": (result.rejected, "reject_reasons")}
+    rejects = {stage: rows.withColumnRenamed(column, "reasons") for stage, (rows, column) in reasons.items()}
+    rejects["dedupe"] = result.dropped.withColumn("reasons", F.array(F.lit("duplicate")))
+    for stage, rows in rejects.items():
+        dated = rows.withColumn("date_posted", F.col("date_posted").cast("string"))  # text before it is parsed
+        sinks.write_rejects(dated, f"{root}/rejects", stage, run_id)
+
+    def shaped(df: DataFrame, schema: StructType, key: str) -> DataFrame:
+        return df.select(*[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema if f.name != key
+        ])
+
+    attempts = shaped(result.attempts, schemas.ATTEMPTS, "run_id")
+    attempts.write.mode("overwrite").parquet(f"{root}/attempts/run_id={run_id}")
+    run = result.run_status.select(
+        started_at.alias("started_at"), now.alias("finished_at"), F.col("run_status").alias("status"),
+        F.lit(triggered_by).alias("triggered_by"),
+    )
+    shaped(run, schemas.RUNS, "id").write.mode("overwrite").parquet(f"{root}/runs/id={run_id}")
+    if sinks.current_tag(spark, f"{root}/jobs") != str(run_id):
+        sinks.write_snapshot(shaped(result.jobs, schemas.JOBS, ""), f"{root}/jobs", tag=str(run_id))

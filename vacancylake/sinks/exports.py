@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylake.functions.dates import iso_text
 from vacancylake.functions.text import easy_apply, salary_bucket, salary_text
 from vacancylake.operators.ranking import export_order
+from vacancylake.sinks.tables import replace_folder
 
 # Columns of the listing export, in order, and its short form.
 EXPORT_COLUMNS = [
@@ -55,9 +57,6 @@ SHEET_COLUMNS = [
 ]
 SHEET_STATUS = "Chưa apply"
 
-#: Rows that still go to one file; more are written as ordered parts.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def export_rows(jobs: DataFrame, short: bool = False) -> DataFrame:
     """Listings with company names as export text, in export order."""
@@ -104,29 +103,40 @@ def application_sheet(jobs: DataFrame, today: date | str, default_status: str =
     return priced.select(*[v.alias(n) for n, v in zip(SHEET_COLUMNS, values)])
 
 
-def export_csv(rows: DataFrame, path: str, single_file: bool | None = None, bom: bool = False) -> None:
-    """Write ordered rows as RFC 4180 CSV with a header.
+def export_csv(rows: DataFrame, path: str, single_file: bool = False, bom: bool = False) -> None:
+    """Write ordered rows as RFC 4180 CSV: a part with the header, then parts without.
 
-    ``rows`` must already be in a total order. By default the rows are counted:
-    up to :data:`SINGLE_FILE_ROWS` go to one file; more are written as numbered
-    parts whose concatenation is the ordered export, so no task sees it all.
-    Spark's committer moves files into place only when the job succeeds.
+    ``rows`` must already be in a total order; the parts, put together by name, are
+    the ordered export, whatever its size, and no task sees it all. With
+    ``single_file`` one task writes one file of the same bytes. The files are
+    written aside and then take the old export's place.
     """
-    if single_file is None:
-        single_file = rows.count() <= SINGLE_FILE_ROWS
-    header = rows.columns[0]
-    if bom:
-        rows = rows.withColumnRenamed(header, "\ufeff" + header)
-    out = rows.coalesce(1) if single_file else rows
+    names = rows.columns
+    shown = ["\ufeff" + names[0] if bom else names[0], *names[1:]]
+    header = rows.sparkSession.createDataFrame([tuple(shown)], ", ".join(f"`{n}` string" for n in names))
+    texts = rows.select(*[F.col(f"`{n}`").cast("string") for n in names])
+    if single_file:  # merging partitions may take them in any order, so their rows are numbered
+        numbered = texts.withColumn("_at", F.monotonically_increasing_id())
+        numbered = header.withColumn("_at", F.lit(-1).cast("bigint")).union(numbered)
+        out = numbered.repartition(1).sortWithinPartitions("_at").drop("_at")
+    else:
+        out = header.coalesce(1).union(texts)
+    aside = f"{path}.{uuid.uuid4().hex}"
     (
-        out.write.mode("overwrite")
-        .option("header", True)
+        out.write.option("header", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
         .option("lineSep", "\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("dateFormat", "yyyy-MM-dd")
-        .csv(path)
+        .csv(aside)
     )
+    replace_folder(rows.sparkSession, aside, path)
+
+
+def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """An export of several parts as text columns, without its header."""
+    schema = ", ".join(f"`{name}` string" for name in columns)
+    parts = spark.read.schema(schema).option("escape", '"').option("multiLine", True).csv(path)
+    return parts.filter(~F.col("_metadata.file_name").startswith("part-00000-")).fillna("")

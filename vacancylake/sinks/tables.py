@@ -77,6 +77,19 @@ def _overwrite(spark: SparkSession, package):
     return options
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Let a finished folder take the place of ``path``; the old one goes last."""
+    context, package, _ = _hadoop(spark, path)
+    old = package.Path(f"{path}.{uuid.uuid4().hex}")
+    plain = spark.sparkContext._gateway.new_array(package.Options.Rename, 0)
+    replaced = context.util().exists(package.Path(path))
+    if replaced:
+        context.rename(package.Path(path), old, plain)
+    context.rename(package.Path(new), package.Path(path), plain)
+    if replaced:
+        context.delete(old, True)
+
+
 def append_rows(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Add run or attempt rows to a table."""
     writer = df.write.mode("append")

@@ -7,6 +7,7 @@ tell from the text alone stays native.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import suppress
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -44,6 +45,9 @@ CHALLENGE_KEYWORDS = [
     "ddos protection",
 ]
 
+#: Pages whose text is held as Python objects at a time.
+PAGES_AT_ONCE = 32
+
 _EXTRACT_FIELDS = {
     "source": "string",
     "page_no": "int",
@@ -105,9 +109,24 @@ def _listing(card: markup.Node, rule: dict) -> dict:
     return found
 
 
+def _misread(rule: dict) -> str | None:
+    """What is wrong with a rule's selectors."""
+    for name in ("container", "title", "link", "location", "date", "next_page"):
+        try:
+            if rule[name]:
+                markup.compile_selector(rule[name])
+        except ValueError as problem:
+            return f"{name}: {problem}"
+    return None
+
+
 def _page_rows(page: dict, need_url: bool, noun: str) -> Iterator[dict]:
-    root = markup.parse(page["html"])
     base = {"source": page["source"], "page_no": page["page_no"]}
+    if problem := _misread(page):
+        yield base | {"kind": "warning", "warning": problem}
+        yield base | {"kind": "page", "pos": 0}
+        return
+    root = markup.parse(page["html"])
     cards = markup.select(root, page["container"])
     kept = 0
     if not cards and need_url and page["family"] != "browser":
@@ -127,11 +146,18 @@ def _page_rows(page: dict, need_url: bool, noun: str) -> Iterator[dict]:
     yield base | {"kind": "page", "pos": kept, "next_page": following}
 
 
+def _few_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same pages, few at a time, since each becomes a Python text."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+            yield batch.slice(at, PAGES_AT_ONCE)
+
+
 def _extract(pages: DataFrame, need_url: bool, noun: str) -> DataFrame:
     schema = pa.schema([(name, _ARROW[kind]) for name, kind in _EXTRACT_FIELDS.items()])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few_pages(batches):
             rows = [r for page in batch.to_pylist() for r in _page_rows(page, need_url, noun)]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -149,7 +175,8 @@ def extract_pages(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``kind`` is job, warning or page; a page row holds the number of listings
     kept in ``pos`` and the link to the next page. ``rules`` has one row per
-    source; pages of a source without a rule yield nothing.
+    source; pages of a source without a rule yield nothing, those of one whose rule
+    has a selector that cannot be read a warning and no listings.
     """
     ruled = attach(pages.select("source", "page_no", "html"), rules, ["source"], "inner")
     return _extract(ruled, need_url=True, noun="job")
@@ -215,13 +242,19 @@ def next_page_url(pages: DataFrame, selector: str = DEFAULT_CARD_RULE.next_page)
 
 
 def with_match_counts(pages: DataFrame, selectors: list[str], key: list[str]) -> DataFrame:
-    """``key`` columns of each page and a map of selector to match count."""
+    """``key`` columns of each page and a map of selector to match count.
+
+    A text that is no selector counts 0; an unsupported selector raises here.
+    """
+    for selector in selectors:
+        with suppress(markup.InvalidSelector):
+            markup.compile_selector(selector)
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in pages.select(*key).schema.fields]
     counts = pa.map_(pa.string(), pa.int32())
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            roots = [markup.parse(html) for html in batch.column("html").to_pylist()]
+        for batch in _few_pages(batches):
+            roots = map(markup.parse, batch.column("html").to_pylist())  # one at a time
             found = [[(s, markup.count(root, s)) for s in selectors] for root in roots]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(name) for name in key] + [pa.array(found, counts)],
@@ -254,9 +287,21 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(_without_hidden(html), r"<[^>]*>", "")
 
 
+def _referred(reference: Column) -> Column:
+    """The character a numeric reference stands for; an ampersand stays a reference."""
+    digits = F.regexp_extract(reference, "([0-9a-fA-F]+);", 1)
+    number = F.when(F.lower(reference).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+    sound = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    code = F.lpad(F.hex(F.when(sound, number).otherwise(0xFFFD)), 8, "0")
+    return F.when(number == 38, "&amp;").otherwise(F.decode(F.unhex(code), "UTF-32"))
+
+
 def unescape(text: Column) -> Column:
-    """The character references that occur in link attributes."""
-    for entity, char in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    """Text with numeric character references and those to markup signs decoded."""
+    numeric = F.array_distinct(F.regexp_extract_all(text, F.lit("&#(?:[xX][0-9a-fA-F]{1,8}|[0-9]{1,9});"), F.lit(0)))
+    decoded = F.aggregate(numeric, text, lambda done, r: F.replace(done, r, _referred(r)))
+    text = F.when(text.contains("&#"), decoded).otherwise(text)
+    for entity, char in (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 

@@ -1,8 +1,9 @@
 """A small HTML tree with the selector forms the page rules use.
 
-Runs inside pandas tasks, one page at a time. Selectors: tag, ``.class``,
-``#id``, ``[attr]``, ``[attr=v]``, ``[attr*=v]``, ``:nth-child(n)``, descendants
-and comma groups. Anything else raises ValueError.
+Runs inside Arrow tasks, one page at a time. Selectors: tag, ``.class``,
+``#id``, ``[attr]`` with ``=``, ``*=``, ``^=``, ``$=`` and ``~=``,
+``:nth-child(n)``, ``:first-child``, ``:last-child``, descendants, children and
+comma groups. Other selectors raise UnsupportedSelector, other texts InvalidSelector.
 """
 
 from __future__ import annotations
@@ -65,9 +66,11 @@ class Node:
         """Stripped text pieces put together, white space collapsed."""
         return " ".join(joint.join(piece.strip() for piece in self.strings()).split())
 
-    def nth(self) -> int:
-        siblings = self.parent.children if self.parent is not None else [self]
-        return [s for s in siblings if not isinstance(s, str)].index(self) + 1
+    def siblings(self) -> list[Node]:
+        """Elements of the same parent, this one among them."""
+        if self.parent is None:
+            return [self]
+        return [s for s in self.parent.children if not isinstance(s, str)]
 
 
 _TOKEN = re.compile(
@@ -137,38 +140,61 @@ def parse(html: str | None) -> Node:
     return root
 
 
+class InvalidSelector(ValueError):
+    """The text is no selector."""
+
+
+class UnsupportedSelector(ValueError):
+    """A selector whose form this module does not know."""
+
+
 _PART = re.compile(
     r"""(?P<tag>[A-Za-z][\w-]*|\*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)
-    |\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>\*?=)\s*(?P<q>["']?)(?P<val>.*?)(?P=q)\s*)?\]
-    |:nth-child\(\s*(?P<nth>\d+)\s*\)""",
+    |\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[*^$~]?=)\s*(?P<q>["']?)(?P<val>.*?)(?P=q)\s*)?\]
+    |:nth-child\(\s*(?P<nth>\d+)\s*\)|:(?P<edge>first|last)-child(?![\w-])""",
     re.VERBOSE,
 )
-_SPLIT = re.compile(r"""(\[[^\]]*\]|\([^)]*\))|(\s*,\s*)|(\s+)""")
+#: Compounds of the selector language as a whole.
+_ANY_COMPOUND = re.compile(
+    r"""(?:[A-Za-z][\w-]*|\*)?(?:[.\#][\w-]+|\[\s*[\w-]+\s*(?:[*^$~|]?=[^\]]+)?\]|::?[A-Za-z][\w-]*(?:\([^()]*\))?)*""",
+    re.VERBOSE,
+)
+_SPLIT = re.compile(r"(\[[^\]]*\]|\([^)]*\))|\s*([,>+~])\s*|\s+")
+_OPERATORS = {
+    None: lambda held, value: True,
+    "=": lambda held, value: held == value,
+    "*=": lambda held, value: value != "" and value in held,
+    "^=": lambda held, value: value != "" and held.startswith(value),
+    "$=": lambda held, value: value != "" and held.endswith(value),
+    "~=": lambda held, value: value in held.split(),
+}
 
 
 @lru_cache(maxsize=1024)
 def compile_selector(selector: str) -> tuple:
-    """Alternatives, each a list of compounds from outermost to innermost."""
+    """Alternatives, each compounds (is a child of the one before, tests), innermost last."""
     selector = selector.strip()
-    groups, start, compounds = [], 0, []
+    groups, compounds, start, joint, unknown = [], [], 0, "", ""
 
     def take(end: int) -> None:
-        piece = selector[start:end].strip()
-        if piece:
-            compounds.append(_compound(piece))
+        if not selector[start:end]:
+            raise InvalidSelector(f"not a selector: {selector!r}")
+        compounds.append((joint == ">", _compound(selector[start:end])))
 
     for found in _SPLIT.finditer(selector):
-        if found.group(1):
+        if found[1]:
             continue
         take(found.start())
-        start = found.end()
-        if found.group(2):
+        start, joint = found.end(), found[2] or " "
+        if joint == ",":
             groups.append(tuple(compounds))
             compounds.clear()
+        elif joint in "+~":
+            unknown = joint
     take(len(selector))
     groups.append(tuple(compounds))
-    if not all(groups):
-        raise ValueError(f"unsupported selector: {selector!r}")
+    if unknown or any(tests is None for group in groups for _, tests in group):
+        raise UnsupportedSelector(f"unsupported selector: {selector!r}")
     return tuple(groups)
 
 
@@ -180,12 +206,16 @@ def _test(part: re.Match) -> tuple:
     if part["id"]:
         return "id", part["id"], None
     if part["nth"]:
-        return "nth", None, int(part["nth"])
-    kind = {None: "has", "=": "equals", "*=": "contains"}[part["op"]]
-    return kind, part["attr"].lower(), part["val"]
+        return "nth", None, int(part["nth"]) - 1
+    if part["edge"]:
+        return "nth", None, 0 if part["edge"] == "first" else -1
+    return part["op"], part["attr"].lower(), part["val"]
 
 
-def _compound(text: str) -> tuple:
+def _compound(text: str) -> tuple | None:
+    """Tests of a compound; None if it has a form that is not known here."""
+    if not _ANY_COMPOUND.fullmatch(text):
+        raise InvalidSelector(f"not a selector: {text!r}")
     tests, at = [], 0
     for part in _PART.finditer(text):
         if part.start() != at:
@@ -193,9 +223,7 @@ def _compound(text: str) -> tuple:
         at = part.end()
         if part["tag"] != "*":
             tests.append(_test(part))
-    if at != len(text):
-        raise ValueError(f"unsupported selector: {text!r}")
-    return tuple(tests)
+    return tuple(tests) if at == len(text) else None
 
 
 def _passes(node: Node, tests: tuple) -> bool:
@@ -207,34 +235,34 @@ def _passes(node: Node, tests: tuple) -> bool:
         elif kind == "id":
             ok = node.attrs.get("id") == name
         elif kind == "nth":
-            ok = node.nth() == value
-        elif kind == "has":
-            ok = name in node.attrs
-        elif kind == "equals":
-            ok = node.attrs.get(name) == value
+            siblings = node.siblings()
+            ok = -1 <= value < len(siblings) and siblings[value] is node
         else:
-            ok = value != "" and value in node.attrs.get(name, "")
+            ok = name in node.attrs and _OPERATORS[kind](node.attrs[name], value)
         if not ok:
             return False
     return True
 
 
 def matches(node: Node, chain: tuple) -> bool:
-    """Whether a node ends a chain of compounds; ancestors may lie anywhere above."""
-    if not _passes(node, chain[-1]):
+    """Whether a node ends a chain of compounds, the earlier ones being its ancestors."""
+    child, tests = chain[-1]
+    if not _passes(node, tests):
         return False
-    above, rest = node.parent, len(chain) - 2
-    while rest >= 0 and above is not None:
-        if _passes(above, chain[rest]):
-            rest -= 1
-        above = above.parent
-    return rest < 0
+    if len(chain) == 1:
+        return True
+    above = node.parent
+    while above is not None and above.parent is not None:  # the root is no element
+        if matches(above, chain[:-1]):
+            return True
+        above = None if child else above.parent
+    return False
 
 
 def _hits(root: Node, selector: str) -> Iterator[Node]:
     groups = compile_selector(selector)
     if len(groups) == 1 and len(groups[0]) == 1:
-        tests = groups[0][0]
+        _, tests = groups[0][0]
         return (node for node in root.descendants() if _passes(node, tests))
     return (
         node for node in root.descendants() if any(matches(node, chain) for chain in groups)
@@ -250,10 +278,10 @@ def select_one(root: Node, selector: str | None) -> Node | None:
 
 
 def count(root: Node, selector: str) -> int:
-    """Matches of a selector; none when it is not a selector we know."""
+    """Matches of a selector; none if the text is no selector."""
     try:
         return len(select(root, selector))
-    except ValueError:
+    except InvalidSelector:
         return 0
 
 
