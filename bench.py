@@ -46,6 +46,10 @@ HEADLINE = [
     "stream_upsert",
     "extract_known_sources",
     "snapshot_listings",
+    "snapshot_attempts",
+    "monitoring_alerts",
+    "csv_export",
+    "stream_selector_drift",
 ]
 
 

@@ -63,16 +63,18 @@ DERIVED = {
         SELECT o_custkey % (SELECT count(*) FROM {supplier}) + 1 AS company_id,
                o_orderpriority || ' role updated' AS title, CAST(NULL AS STRING) AS title_vi,
                'Onsite' AS location,
-               'https://jobs.example.com/job/' || CASE WHEN o_orderkey % 5 = 0 THEN 'new-' ELSE '' END
+               'https://jobs.example.com/job/' || CASE WHEN o_orderkey % 4 = 0 THEN 'moved-'
+                        WHEN o_orderkey % 5 = 0 THEN 'new-' ELSE '' END
                    || CAST(o_orderkey AS STRING) AS url,
-               'https://jobs.example.com/job/' || CASE WHEN o_orderkey % 5 = 0 THEN 'new-' ELSE '' END
+               'https://jobs.example.com/job/' || CASE WHEN o_orderkey % 4 = 0 THEN 'moved-'
+                        WHEN o_orderkey % 5 = 0 THEN 'new-' ELSE '' END
                    || CAST(o_orderkey AS STRING) AS canonical_url,
                CAST(o_orderdate AS TIMESTAMP) AS date_posted, 'open' AS status,
                CAST(o_orderkey AS STRING) AS source_job_id,
                CASE WHEN o_orderkey % 2 = 0 THEN '$200K' END AS salary_raw,
                CAST(NULL AS STRING) AS raw_data,
                CAST(o_orderkey AS BIGINT) AS page_no, CAST(0 AS BIGINT) AS pos
-        FROM {orders} WHERE o_orderkey % 4 <> 0""",
+        FROM {orders}""",
     "attempts": """
         SELECT event_id + 1 AS id, CAST(day(CAST(ts AS TIMESTAMP)) AS BIGINT) AS run_id,
                user_id % (SELECT count(*) FROM {supplier}) + 1 AS company_id,

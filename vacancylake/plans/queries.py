@@ -978,13 +978,21 @@ def stale_candidates(t: Tables) -> DataFrame:
     return reconcile.stale_candidates(t.jobs)
 
 
-_FEW = "few AS (SELECT * FROM companies WHERE id % 3 <> 0)"
+#: Added to a key so that its partners are missing from the other table.
+_APART = 1_000_000_000
+_FEW = f"few AS (SELECT * REPLACE (id + CASE id % 3 WHEN 0 THEN {_APART} ELSE 0 END AS id) FROM companies)"
+
+
+def _parted(df: DataFrame, key: str, every: int) -> DataFrame:
+    """All rows; those whose key is a multiple of ``every`` meet nobody."""
+    moved = F.when(F.col(key) % every == 0, F.col(key) + _APART).otherwise(F.col(key))
+    return df.withColumn(key, moved)
 
 
 @register(cte("jobs", "companies") + f""", {_FEW}
     SELECT j.id, c.name AS company_name, c.slug AS company_slug FROM jobs j JOIN few c ON c.id = j.company_id""")
 def jobs_with_company(t: Tables) -> DataFrame:
-    few = t.companies.filter("id % 3 <> 0")
+    few = _parted(t.companies, "id", 3)
     return lookup.jobs_with_company(t.jobs, few).select("id", "company_name", "company_slug")
 
 
@@ -992,7 +1000,7 @@ def jobs_with_company(t: Tables) -> DataFrame:
     SELECT j.id, coalesce(c.name, 'Unknown') AS company_name, coalesce(c.slug, '') AS company_slug
     FROM jobs j LEFT JOIN few c ON c.id = j.company_id""")
 def jobs_with_company_outer(t: Tables) -> DataFrame:
-    few = t.companies.filter("id % 3 <> 0")
+    few = _parted(t.companies, "id", 3)
     return lookup.jobs_with_company(t.jobs, few, outer=True).select(
         "id", "company_name", "company_slug"
     )
@@ -1011,19 +1019,16 @@ def attempts_with_company(t: Tables) -> DataFrame:
     )
 
 
-_CACHE = """cache AS (SELECT DISTINCT sha256(lower(trim(title))) AS fingerprint,
-    'vi: ' || lower(trim(title)) AS translation FROM jobs WHERE id % 50 < 20)"""
+_CACHE = """cache AS (SELECT DISTINCT sha256(lower(trim(t))) AS fingerprint, 'vi: ' || lower(trim(t)) AS translation
+    FROM (SELECT title || CASE WHEN id % 50 < 20 THEN '' ELSE ' (old)' END AS t FROM jobs))"""
 
 
 def _cache(t: Tables) -> DataFrame:
-    return (
-        t.jobs.filter("id % 50 < 20")
-        .select(
-            text.title_fingerprint(F.col("title")).alias("fingerprint"),
-            F.concat(F.lit("vi: "), F.lower(F.trim("title"))).alias("translation"),
-        )
-        .distinct()
-    )
+    title = F.concat("title", F.when(F.col("id") % 50 < 20, "").otherwise(" (old)"))
+    return t.jobs.select(
+        text.title_fingerprint(title).alias("fingerprint"),
+        F.concat(F.lit("vi: "), F.lower(F.trim(title))).alias("translation"),
+    ).distinct()
 
 
 @register(cte("jobs") + f""", {_CACHE}
@@ -1068,16 +1073,16 @@ def companies_by_slugs(t: Tables) -> DataFrame:
 
 @register("""
     SELECT o_orderkey AS id, 'primary' AS origin FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT o_orderkey, 'fallback' FROM orders WHERE o_orderstatus = 'O'""")
+    UNION ALL SELECT o_orderkey, 'fallback' FROM orders WHERE o_orderstatus <> 'F'""")
 def with_fallback(t: Tables) -> DataFrame:
-    def part(status: str, origin: str) -> DataFrame:
-        return t.orders.filter(F.col("o_orderstatus") == status).select(
+    def part(rows: str, origin: str) -> DataFrame:
+        return t.orders.filter(rows).select(
             F.col("o_orderkey").alias("id"), F.lit(origin).alias("origin")
         )
 
     failed = t.orders.groupBy("o_orderpriority").agg(F.lit("failed").alias("status"))
     fine = t.orders.groupBy("o_orderpriority").agg(F.lit("success").alias("status"))
-    rows, _ = lookup.with_fallback(part("F", "primary"), failed, part("O", "fallback"), fine)
+    rows, _ = lookup.with_fallback(part("o_orderstatus = 'F'", "primary"), failed, part("o_orderstatus <> 'F'", "fallback"), fine)
     return rows
 
 
@@ -1112,7 +1117,9 @@ def dashboard_stats(t: Tables) -> DataFrame:
     return rollups.dashboard_stats(t.jobs, t.companies, t.runs, t.attempts)
 
 
-_SHORT_ATTEMPTS = "few AS (SELECT * FROM attempts WHERE run_id % 5 <> 0)"
+_SHORT_ATTEMPTS = (
+    f"few AS (SELECT * REPLACE (run_id + CASE run_id % 5 WHEN 0 THEN {_APART} ELSE 0 END AS run_id) FROM attempts)"
+)
 _TOTALS = """
     SELECT r.id, r.status,
            round((epoch_us(r.finished_at) - epoch_us(r.started_at)) / 1000000.0, 6) AS duration_seconds,
@@ -1124,7 +1131,7 @@ _TOTALS = """
 
 
 def _totals(t: Tables) -> DataFrame:
-    return rollups.run_totals(t.runs, t.attempts.filter("run_id % 5 <> 0")).select(
+    return rollups.run_totals(t.runs, _parted(t.attempts, "run_id", 5)).select(
         "id", "status", "duration_seconds", "jobs_found", "new_jobs", "closed_jobs", "failed"
     )
 
@@ -1152,9 +1159,10 @@ _COMPANY_STATS = """
 
 
 @register(cte("companies", "jobs", "attempts")
-          + ", few AS (SELECT * FROM jobs WHERE company_id % 7 <> 0)" + _COMPANY_STATS)
+          + f", few AS (SELECT * REPLACE (company_id + CASE company_id % 7 WHEN 0 THEN {_APART} ELSE 0 END AS company_id)"
+          " FROM jobs)" + _COMPANY_STATS)
 def company_stats(t: Tables) -> DataFrame:
-    stats = rollups.company_stats(t.companies, t.jobs.filter("company_id % 7 <> 0"), t.attempts)
+    stats = rollups.company_stats(t.companies, _parted(t.jobs, "company_id", 7), t.attempts)
     return stats.select("id", "name", "total_jobs", "open_jobs", "closed_jobs", "last_run_at")
 
 
