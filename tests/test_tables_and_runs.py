@@ -112,6 +112,19 @@ def test_snapshot_replaces_whole_table_and_keeps_the_old_one_readable(spark, tmp
     assert spark.read.parquet(new).count() == 2 and spark.read.parquet(old).count() == 3
 
 
+def test_writers_notice_each_other_and_old_snapshots_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = sinks.write_snapshot(spark.range(1), path)
+    second = sinks.write_snapshot(spark.range(2), path, base=first)
+    with pytest.raises(sinks.TableChanged):
+        sinks.write_snapshot(spark.range(3), path, base=first)
+    assert sinks.current_snapshot(spark, path) == second
+    last = sinks.write_snapshot(spark.range(4), path, base=second)
+    sinks.remove_old_snapshots(spark, path, 1)
+    assert [p.name for p in tmp_path.glob("t/snapshot-*")] == [last.rsplit("/", 1)[1]]
+    assert spark.read.parquet(last).count() == 4
+
+
 def test_failed_write_leaves_the_current_snapshot(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_snapshot(spark.range(3), path)

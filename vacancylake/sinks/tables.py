@@ -46,31 +46,68 @@ def current_tag(spark: SparkSession, path: str) -> str | None:
     return lines[1] if len(lines) > 1 else None
 
 
+class TableChanged(RuntimeError):
+    """Another writer published in between; the rows must be made anew."""
+
+
 def write_snapshot(
-    df: DataFrame, path: str, tag: str = "", partition_by: list[str] | None = None
+    df: DataFrame,
+    path: str,
+    tag: str = "",
+    partition_by: list[str] | None = None,
+    base: str | None = None,
+    keep: int | None = None,
 ) -> str:
     """Replace a table as a whole: readers see the old rows or the new ones.
 
     The rows go to a folder of their own; then a one-line pointer is renamed
     into place. The frame may read the table it replaces, because the old
     snapshot stays untouched. Returns the new snapshot's folder.
+
+    ``base`` is the snapshot that the rows were made from, by default the current
+    one; if the table shows another when they are written, TableChanged is raised
+    and the table left alone. ``keep`` removes all but the newest so many snapshots.
     """
     spark = df.sparkSession
+    base = base or current_snapshot(spark, path)
     name = f"snapshot-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{name}")
 
+    if current_snapshot(spark, path) != base:
+        raise TableChanged(path)
     context, package, conf = _hadoop(spark, path)
     staged = package.Path(path, f".{name}.pointer")
     stream = staged.getFileSystem(conf).create(staged, True)
     stream.write(bytearray(f"{name}\n{tag}\n".encode()))
     stream.close()
     context.rename(staged, package.Path(path, _POINTER), _overwrite(spark, package))
+    if keep is not None:
+        remove_old_snapshots(spark, path, keep)
     return f"{path}/{name}"
 
 
+def remove_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove snapshots older than the current one but for the newest ``keep - 1`` of them.
+
+    Keep as many as readers may still be reading. Newer folders are left, since a
+    writer may be about to publish them.
+    """
+    current = current_snapshot(spark, path)
+    context, package, _ = _hadoop(spark, path)
+    found = {
+        status.getPath().getName(): (status.getModificationTime(), status.getPath())
+        for status in context.util().listStatus(package.Path(path))
+        if status.isDirectory() and status.getPath().getName().startswith("snapshot-")
+    }
+    at, _ = found.pop((current or "").rsplit("/", 1)[-1], (0, None))
+    older = sorted((made, name) for name, (made, _) in found.items() if made <= at)
+    for _, name in older[: max(0, len(older) - (keep - 1))]:
+        context.delete(found[name][1], True)
+
+
 def _overwrite(spark: SparkSession, package):
     options = spark.sparkContext._gateway.new_array(package.Options.Rename, 1)
     options[0] = package.Options.Rename.OVERWRITE

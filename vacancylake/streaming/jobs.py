@@ -21,6 +21,10 @@ from vacancylake.operators.merge import upsert_jobs
 from vacancylake.sinks.tables import current_snapshot, current_tag, write_snapshot
 
 
+#: Snapshots of a streamed table that stay for readers, the current one included.
+KEPT_SNAPSHOTS = 3
+
+
 def stream_dedupe(records: DataFrame, event_time: str, watermark: str) -> DataFrame:
     """One record per key within the watermark. Which copy stays is arrival order."""
     return records.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(KEY)
@@ -34,7 +38,8 @@ def upsert_batches(
     With each snapshot goes the last batch of every stream merged so far; a batch
     replayed after a failure is recognised and skipped, while other streams may
     use the same numbers. ``stream`` names a stream for all its restarts. Times
-    come from the batch's own ``seen_at`` column.
+    come from the batch's own ``seen_at`` column. If another writer publishes
+    meanwhile, the batch fails with TableChanged and is merged anew at its restart.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -48,7 +53,7 @@ def upsert_batches(
         )
         now = batch.agg(F.max(seen_at)).scalar()
         merged = upsert_jobs(current, dedupe(batch), now).drop("op")
-        write_snapshot(merged, path, tag=json.dumps({**done, stream: batch_id}))
+        write_snapshot(merged, path, tag=json.dumps({**done, stream: batch_id}), base=location, keep=KEPT_SNAPSHOTS)
 
     return merge
 
