@@ -339,6 +339,21 @@ def test_main_text(spark):
     assert html_text.extract(df.limit(0)).collect() == []
 
 
+def test_main_text_is_searched_for_on_every_page_and_kept_whole():
+    of = lambda page: html_text.main_lines(html_text.lines_of(page))
+    p = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    first, second, tiny = prose(60, 1), prose(30, 2), ["Home", "FAQ", "Map", "News", "Me"]
+    menu = "<ul class=menu><li>a<li>b<li>c<li>d</ul>"
+    assert of(p(first) + menu + p(second)) == [first, second]
+    assert of(p(first, *tiny, second)) == [first, *tiny, second]
+    assert of(p(*tiny, first, second, *tiny)) == [*tiny[-2:], first, second]
+    short, many = [f"line {k} of five" for k in range(5)], [f"line {k} of very many" for k in range(10, 50)]
+    assert of(p(*short)) == short and of(p(*many)) == many
+    assert of(p("x") + "<article>" + p(*short) + menu + p(*short) + "</article>" + p(first)) == short + short
+    assert of("<article>" + p("T", "By", "Me", "Now", first, *tiny) + "</article>") == ["T", "By", "Me", "Now", first, *tiny]
+    assert of(f"<article>{p(first)}</article>{p(*tiny)}<article>{p(second)}</article>") == [first, second]
+
+
 # 10
 
 

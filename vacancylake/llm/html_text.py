@@ -1,12 +1,13 @@
 """Main text of pages by line-block distribution.
 
 Markup is stripped so that every block element is one line; lines of elements
-that are never article text (menus, footers, adverts, forms, comments) lose
-their length. Text lengths are summed over a sliding window of lines. The text
-lies between a surge, where the sums rise from nothing over a threshold, and the
-dive, where they fall back to nothing; of several such stretches the one
-with most text wins. Where a page marks its article, lines outside the mark have
-no length either, and every line inside it belongs to the stretch.
+that are never article text (menus, footers, adverts, forms, comments) are left
+out before anything is summed. Text lengths are summed over a sliding window of
+lines. The text lies between a surge, where the sums rise over a threshold that
+the page's own sums lower, and the dive, where next to nothing follows. Stretches
+are one text if less lies between them than in either; the one with most text
+wins. Where a page marks its articles, lines outside the marks have no length,
+and a stretch reaches to both ends of every mark it touches.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from pyspark.sql import DataFrame
 from vacancylake.llm.shared import map_batches, prepare
 
 WINDOW = 3
-#: Characters in a window that make a surge.
+#: Characters in a window that make a surge; at most half the page's fullest window.
 SURGE = 80
-#: Empty lines that end a stretch.
+#: Lines that end a stretch if together they hold less than a quarter of a surge.
 DIVE = 3
 
 #: Elements by what they mean for the text. Fixed values.
@@ -70,11 +71,11 @@ def _judge(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return bool(attributes and _HIDDEN.search(attributes)), mark
 
 
-def lines_of(page: str) -> list[tuple[str, bool, bool]]:
-    """Lines of a page in order: (text, is not article text, lies in a marked article)."""
+def lines_of(page: str) -> list[tuple[str, bool, int]]:
+    """Lines of a page in order: (text, is not article text, number of the outermost mark it lies in or 0)."""
     lines, parts = [], []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, dropped, inside a mark, own line broken
-    dropped = inside = False
+    stack: list[tuple[str, bool, int, bool]] = []  # name, dropped, inside which mark, own line broken
+    dropped, inside, marks = False, 0, 0
 
     def flush() -> None:
         if parts:
@@ -86,7 +87,7 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
     def pop_to(depth: int) -> None:
         nonlocal dropped, inside
         del stack[depth:]
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
 
     at = 0
     for m in _TAG.finditer(page):
@@ -116,38 +117,51 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
         if tag in VOID:
             continue
         if block or tag in DROPPED or tag == "span":
-            bad, mark = _judge(tag, m[4], inside)
+            bad, mark = _judge(tag, m[4], bool(inside))
             if bad and not dropped or mark and not inside:
                 flush()
-            stack.append((tag, dropped or bad, inside or mark, block))
+            marks += mark and not inside
+            stack.append((tag, dropped or bad, inside or mark * marks, block))
             dropped, inside = stack[-1][1], stack[-1][2]
     parts.append(page[at:])
     flush()
     return lines
 
 
-def main_lines(lines: list[tuple[str, bool, bool]]) -> list[str]:
-    """The stretch of lines between the surge and the dive that holds most text."""
-    marked = any(inside and not bad for _, bad, inside in lines)
-    use = [not bad and (inside or not marked) for _, bad, inside in lines]
-    if marked:
-        return [text for (text, _, _), keep in zip(lines, use, strict=True) if keep]
-    size = np.array([len(text) if keep else 0 for (text, _, _), keep in zip(lines, use, strict=True)])
+def main_lines(lines: list[tuple[str, bool, int]]) -> list[str]:
+    """The lines between the surge and the dive that hold most text."""
+    lines = [(text, mark) for text, bad, mark in lines if not bad]
+    marked = any(mark for _, mark in lines)
+    size = np.array([len(text) if mark or not marked else 0 for text, mark in lines], np.int64)
     if not size.any():
         return []
     total = np.convolve(size, np.ones(WINDOW, int))[WINDOW - 1 :]  # of each line and those after it
-    best, at = (0, 0, 0), 0
+    after = np.convolve(size, np.ones(DIVE, int))[DIVE:]  # of the lines after each
+    surge = min(SURGE, int(total.max()) / 2)
+    edges: dict[int, tuple[int, int]] = {}
+    for k, (_, mark) in enumerate(lines):
+        if mark:
+            edges[mark] = edges.get(mark, (k, k))[0], k + 1
+    stretches, at = [], 0
     while at < len(size):
-        if total[at] < min(SURGE, size.sum()) or not size[at]:
+        if total[at] < surge or not size[at]:
             at += 1
             continue
-        end = at
-        while end < len(size) and size[end : end + DIVE].any():
-            end += 1
-        best = max(best, (int(size[at:end].sum()), -at, end))
-        at = end + 1
-    amount, begin, end = best
-    return [text for (text, _, _), keep in list(zip(lines, use, strict=True))[-begin:end] if keep] if amount else []
+        begin, end = edges.get(lines[at][1], (at, at + 1))
+        while end < len(size) and (4 * after[end - 1] >= surge or end + DIVE > len(size)):
+            end = edges.get(lines[end][1], (end, end + 1))[1]
+        stretches.append((begin, end))
+        at = end
+    held = np.concatenate([[0], np.cumsum(size)])
+    joined = stretches[:1]
+    for begin, end in stretches[1:]:
+        first, last = joined[-1]
+        if held[begin] - held[last] < min(held[last] - held[first], held[end] - held[begin]):
+            joined[-1] = first, end
+        else:
+            joined.append((begin, end))
+    begin, end = max(joined, key=lambda s: (held[s[1]] - held[s[0]], -s[0]))
+    return [lines[k][0] for k in range(begin, end) if size[k]]
 
 
 def extract(pages: DataFrame) -> DataFrame:
