@@ -325,6 +325,20 @@ def test_url_rules_and_propagation(spark):
     assert url_trust.judge(df.limit(0)).collect() == []
 
 
+def test_distrust_counts_however_thin_it_is_spread(spark):
+    hops, pages = 6, [(0, "http://h0.com/de/", "")]
+    for hop in range(hops):  # h<k+1> and 40 others link to h<k>
+        sources = [f"h{hop + 1}"] + [f"h{hop}s{k}" for k in range(40)]
+        pages += [(len(pages) + k, f"http://{s}.net/", f"<a href='//h{hop}.{'net' if hop else 'com'}/'>")
+                  for k, s in enumerate(sources)]
+    pages += [(1000, "http://alone.net/", ""), (1001, "http://good.com/fr/", "<a href='//even.net/'>")]
+    pages += [(1002, "http://even.net/", "<a href='//h0.com/'>")]
+    got = {r.host: r for r in url_trust.judge(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    deep = got[f"h{hops}.net"]
+    assert deep.trust == 0 and 0 < deep.distrust < 1e-9 and deep.verdict == "block"
+    assert got["alone.net"].verdict == got["even.net"].verdict == "allow"
+
+
 def test_main_text(spark):
     body = prose(60, 1)
     pages = [

@@ -20,7 +20,9 @@ _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"(?i)\b(?:href|src)\s*=\s*[\"']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#\"'\s<>]+)"
 DAMPING = 0.85
 ROUNDS = 8
-#: Scores closer than this count as equal, and equal scores allow.
+#: Scores this share apart count as equal, and equal scores allow. A share, since masses shrink as hosts are added.
+TIE = 1e-9
+#: The checking SQL's margin, absolute: there scores under it count as none.
 MARGIN = 1e-9
 
 
@@ -120,7 +122,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     seeds = seeds.groupBy("kind", "host").agg(F.count(F.lit(1)).cast("double").alias("mass"))
     scores = propagate(host_edges(parsed.select("host", "html")), seeds)
     joined = ruled.join(scores, "host", "left")
-    method = F.when(F.col("distrust") > F.col("trust") + MARGIN, "block").otherwise("allow")
+    method = F.when(F.col("distrust") > F.col("trust") * (1 + TIE), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "trust", "distrust")
 
 
