@@ -260,6 +260,25 @@ def test_decontamination_finds_every_match_within_the_budget(spark):
     assert none.collect() == []
 
 
+def test_short_items_and_items_clipped_at_a_text_start_are_found(spark):
+    long = prose(20, 400)
+    items = [(1, "Two plus two?"), (2, "日本の首都"), (3, "yes"), (4, "yes"), (5, long), (6, "!?"), (7, "who wrote hamlets")]
+    rows = [
+        (0, long[3:] + " " + prose(10, 1)), (1, "So: TWO, plus\n two"), (2, "two plus twofold"), (3, "問:日本の首都はどこ"), (4, "eyes yesterday yesé"),
+        (5, "“Yes” or yes"), (6, "yes"), (7, prose(5, 2)), (8, None), (9, "Who wrote hamletsx"), (10, "xx who wrots hamlets"), (11, "two"), (12, "plus two"),
+    ]
+    leaks = {(0, 5), (1, 1), (3, 2), (5, 3), (5, 4), (6, 3), (6, 4), (9, 7), (10, 7)}
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    df = frame(spark, rows).coalesce(1)
+    assert len(decontaminate.normalize(pa.array([items[-1][1]]))[0]) == 17  # one edit at the given rate
+    got = decontaminate.find_leaks(df, table).collect()
+    assert order((r.doc_id, r.item_id) for r in got) == order(leaks)
+    places = {(r.doc_id, r.item_id): (r.start, r.end, r.distance) for r in got}
+    assert places[1, 1] == (3, 15, 0) and places[0, 5][2] == 3
+    kept = {r.doc_id for r in decontaminate.drop_leaks(df, table).collect()}
+    assert kept == {i for i, _ in rows} - {i for i, _ in leaks}
+
+
 # 4
 
 
