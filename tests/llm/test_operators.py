@@ -182,6 +182,21 @@ def test_licenses_equal_a_plain_scan(spark):
     assert all(0 <= r.score <= 1 for r in got) and licenses.scan(frame(spark, [])).collect() == []
 
 
+def test_a_licence_at_the_head_of_a_text_needs_no_lead_in(spark):
+    index = licenses.build_index(1000, dict.fromkeys(licenses.vocabulary(), 10))
+    heads = {"GNU General Public License version 3": "gpl-3", "GNU General Public License, version 2": "gpl-2",
+             "GNU Lesser General Public License version 3": "lgpl-3"}
+    rows = [(0, "this work is licensed under the"), (1, "")]
+    rows += [(10 * k + j, lead + head + tail) for k, head in enumerate(heads, 1)
+             for j, (lead, tail) in enumerate([("", ""), ("", " " + prose(30, k)), ("one two three four five six ", "")])]
+    rows += [(50, "this work is licensed under the gnu"), (51, "general public license version 3")]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows).coalesce(1), index).collect()}
+    for k, label in enumerate(heads.values(), 1):
+        assert [got[10 * k + j].labels for j in range(3)] == [label] * 3
+        assert got[10 * k].score == got[10 * k + 1].score == got[10 * k + 2].score > 0
+    assert {got[i].labels for i in (0, 1, 50, 51)} == {""}
+
+
 # 8
 
 

@@ -144,8 +144,11 @@ def _places(h: np.ndarray, last: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     return at
 
 
-def _candidates(index: Index, h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template, first word, share of the rare weight) of every place that is agreed on."""
+def _candidates(index: Index, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(template, text, first word, share of the rare weight) of every place that is agreed on.
+
+    The first word may lie before its text, whose head then lacks the template's lead-in.
+    """
     spot = np.minimum(np.searchsorted(index.hashes, h), len(index.hashes) - 1)
     at = np.flatnonzero(index.hashes[spot] == h)
     spot = spot[at]
@@ -153,13 +156,15 @@ def _candidates(index: Index, h: np.ndarray, begin: np.ndarray) -> tuple[np.ndar
     ends = np.cumsum(many)
     post = np.repeat(index.begins[spot] - (ends - many), many) + np.arange(ends[-1] if len(ends) else 0)
     word = np.repeat(at, many)
-    start = word - index.position[post]
-    same_text = start >= begin[word]
-    template, start, gain = index.template[post][same_text], start[same_text], np.repeat(index.idf[spot], many)[same_text]
-    vote, back = np.unique(template * (len(h) + 1) + start, return_inverse=True)
-    share = np.bincount(back, gain, minlength=len(vote)) / index.weight[vote // (len(h) + 1)]
+    reach = int(index.length.max())  # places before each text, so that no two texts share one
+    place = word - index.position[post] + (doc[word] + 1) * reach
+    span = len(h) + (int(doc[-1]) + 2) * reach if len(doc) else 1
+    vote, one, back = np.unique(index.template[post] * span + place, return_index=True, return_inverse=True)
+    share = np.bincount(back, np.repeat(index.idf[spot], many), minlength=len(vote)) / index.weight[vote // span]
     agreed = share >= AGREE
-    return vote[agreed] // (len(h) + 1), vote[agreed] % (len(h) + 1), np.minimum(share[agreed], 1.0)
+    text = doc[word[one[agreed]]]
+    start = vote[agreed] % span - (text + 1) * reach
+    return vote[agreed] // span, text, start, np.minimum(share[agreed], 1.0)
 
 
 def scan(documents: DataFrame, index: Index | None = None) -> DataFrame:
@@ -192,13 +197,12 @@ def scan(documents: DataFrame, index: Index | None = None) -> DataFrame:
                     base[d].add(label)
             labels = [set(b) for b in base]
             found = {}
-            for t, at, share in zip(*_candidates(index, h, first), strict=True):
-                window = h[at : min(at + index.length[t] + 2, last[at])]
+            for t, d, at, share in zip(*(c.tolist() for c in _candidates(index, h, doc)), strict=True):
+                window = h[max(at, words.bounds[d]) : min(at + index.length[t] + 2, words.bounds[d + 1])]
                 inside = np.full(len(window), len(window))
                 if all(len(window) and len(_places(window, inside, p)) for p in index.phrases[t]):
-                    d = int(doc[at])
                     labels[d].add(TEMPLATES[t].label)
-                    found[d] = max(found.get(d, 0.0), float(share))
+                    found[d] = max(found.get(d, 0.0), share)
             for d, share in found.items():
                 score[d] = max(score[d], share)
             some = n_base > 0
