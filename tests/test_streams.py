@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancylake.operators import detectors, drift, identity
+from vacancylake.plans import queries
 from vacancylake.session import ensure_checkpoint_dir
 from vacancylake.sources import tables
 from vacancylake.streaming import jobs as streams
@@ -155,3 +156,7 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     folder = ensure_checkpoint_dir(spark)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or configured in folder
+
+
+def test_timeout_counts_is_a_registered_query_with_its_sql():
+    assert "stream_timeout_counts" in queries.QUERIES and "stream_timeout_counts" in queries.SQL
