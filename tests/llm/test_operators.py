@@ -123,9 +123,59 @@ def test_join_of_nothing_and_keep_one(spark):
     assert ids == [-1, 0, 5, 6, 8, 10, 11, 12, 13, 14, 15, 16]
 
 
+def test_join_of_unrelated_documents(spark):
+    rows = [(i, prose(40, 100 + i)) for i in range(20)]
+    assert order(tuple(r) for r in ngram_join.join(frame(spark, rows)).collect()) == order(brute_components(rows))
+    assert [tuple(r) for r in ngram_join.join(frame(spark, rows[:1])).collect()] == brute_components(rows[:1])
+    assert ngram_join.keep_one(frame(spark, rows)).count() == 20
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_full_buckets_keep_every_shared_shingle(monkeypatch, shared):
+    monkeypatch.setattr(ngram_join, "HELD", 5)  # reached often, with and without a frequent shingle
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    tokens = {slab: [100 * slab + k for k in range(4)] + ([7, 8] if shared else []) + ([9] if slab < 2 else []) for slab in range(6)}
+    batch = pa.RecordBatch.from_pylist([
+        {"bucket": 0, "slab": slab, "sets": np.arange(len(t), dtype="<u4").tobytes(), "runs": np.ones(len(t), "<u4").tobytes(),
+         "low": ngram_join.pack(np.array(t, np.uint64), 5)} for slab, t in tokens.items()])
+    found = Counter()
+    for out in ngram_join._shared(iter([batch])):
+        found.update(np.frombuffer(out.column(2)[0].as_py(), "<u8").tolist())
+    assert found == ({7: 6, 8: 6, 9: 2} if shared else {9: 2})
+
+
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark):
+    near = prose(60, 1).split()
+    edits = [" ".join(near[:k] + ["edit"] + near[k + 1 :]) for k in (3, 40)]
+    rows = [(0, " ".join(near)), (1, edits[0]), (1, edits[1]), (1, prose(60, 2)), (2, "  "), (2, "  ")]
+    df = spark.createDataFrame([(i, t, {"k": i}) for i, t in rows], "doc_id bigint, text string, row_digest map<string, bigint>")
+    kept = ngram_join.keep_one(df).collect()
+    assert order((r.doc_id, r.text) for r in kept) == order([rows[0], rows[3], rows[4], rows[5]])
+    assert all(r.row_digest == {"k": r.doc_id} for r in kept)
+
+
 # 5 and 7
 
 
+def test_bpe_of_awkward_texts_equals_the_library(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    r = random.Random(3)
+    signs = ["a", "b", " ", " ", "  ", "\n", "\n\n", "\t", "\u2003", "\u3000", "\xa0", "\x85", "é", "日本", ".", "'s", "'", "1",
+             "23", "<|", "<|endoftext|>", "<", "|>", "\u1680", "🙂", "\u200b", "\u205f", "\x1c"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randint(0, 40))) for _ in range(3000)]
+    texts += ["", None, " ", "".join(r.choice("abcdefghij") for _ in range(5000))]
+    want = [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)  # is trimmed and cleared on the way
+    for coder in (bpe.ByteBpe(bpe.vocabulary_path()), token_files.LibraryBpe(bpe.vocabulary_path())):
+        for first in range(0, len(texts), 300):
+            ids, sizes = coder.encode(pa.array(texts[first : first + 300]))
+            ends = np.cumsum(sizes)
+            assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes)] == want[first : first + 300]
+            assert coder.known.size <= 20_000
+
+
 def test_bpe_and_token_files_equal_the_library(spark):
     from tokenizers import Tokenizer
 

@@ -21,7 +21,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancylake.llm import words as W
@@ -94,8 +94,11 @@ def _binary(rows: np.ndarray) -> list[bytes]:
     return [data[i : i + width] for i in range(0, len(data), width)]
 
 
-def shingle_sets(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, name) of every row; null and empty texts have no name."""
+def shingle_sets(documents: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, n_shingles, name) and the carried string columns of every row.
+
+    Null and empty texts have no name.
+    """
     prepare(documents.sparkSession)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -103,10 +106,12 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
             x, bounds = shingles_of(batch.column(1).slice(lo, hi - lo))
             n = np.diff(bounds)
             names = pa.array(_binary(_name_bytes(names_of(x, bounds))), pa.binary(), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), names],
-                                             names=["doc_id", "n_shingles", "name"])
+            rest = [batch.column(k).slice(lo, hi - lo) for k in range(2, 2 + len(carried))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n), names, *rest],
+                                             names=["doc_id", "n_shingles", "name", *carried])
 
-    return map_batches(documents.select("doc_id", "text"), run, "doc_id bigint, n_shingles bigint, name binary")
+    schema = ", ".join(["doc_id bigint, n_shingles bigint, name binary", *(f"{c} string" for c in carried)])
+    return map_batches(documents.select("doc_id", "text", *carried), run, schema)
 
 
 _POSTINGS = "bucket int, slab bigint, sets binary, runs binary, low binary"
@@ -158,6 +163,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     frequent = np.zeros(0, np.uint64)
 
     def send(slab: np.ndarray, member: np.ndarray, token: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(slab):
+            return
         order = np.argsort(slab, kind="stable")
         slab, member, token, n = slab[order], member[order], token[order], n[order]
         begins = np.flatnonzero(np.diff(slab, prepend=-1))
@@ -395,27 +402,41 @@ def join(documents: DataFrame) -> DataFrame:
     """
     prepare(documents.sparkSession)
     docs = materialize(shingle_sets(documents))
-    roots = link_sets(documents)
-    least = docs.filter("name is not null").groupBy("name").agg(F.min("doc_id").alias("low"))
-    rooted = least.join(roots.select(F.col("node").alias("name"), "root"), "name", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "name"))
+    rooted = _rooted(docs, link_sets(documents), F.min("doc_id"))
     labels = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     rooted = rooted.join(labels, "root").select("name", "component_id")
     out = docs.join(rooted, "name", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _rooted(docs: DataFrame, roots: DataFrame, low: Column) -> DataFrame:
+    """(name, low, root) of every set, ``low`` aggregated over its documents."""
+    least = docs.filter("name is not null").groupBy("name").agg(low.alias("low"))
+    rooted = least.join(roots.select(F.col("node").alias("name"), "root"), "name", "left")
+    return rooted.withColumn("root", F.coalesce("root", "name"))
+
+
 def keep_one(documents: DataFrame) -> DataFrame:
-    """One row, all columns, of each component: the one with the smallest doc_id.
+    """One row, all columns, of each component.
 
-    Rows with one doc_id are one document, of which the least row stays. A null
-    doc_id stands behind all others; null ids with one text are one document.
+    The row with the smallest doc_id stays; null ids stand behind all others, and
+    among equal ids the row of the least digest of all columns stays. Rows that
+    share an id but no link are separate documents. Rows without a word (null,
+    empty, blank texts) link with nothing, and all of them stay.
     """
-    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64("text"), F.lit(1 << 62))
-    row = F.struct(*[F.col(c) for c in documents.columns])
-    named = documents.select(F.coalesce("doc_id", stand_in).alias("doc_id"), "text", row.alias("row"))
-    kept = join(named).filter("doc_id = component_id").select("doc_id").distinct()
-    return named.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row")).select("row.*")
+    row = F.md5(F.to_json(F.struct(*[F.col(c) for c in documents.columns])).cast("binary"))
+    digest = "row_digest"
+    while digest in documents.columns:
+        digest += "_"
+    named = documents.withColumn(digest, row)
+    docs = materialize(shingle_sets(named, digest))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(digest).alias(digest))
+    rooted = _rooted(docs, link_sets(documents), F.min(order))
+    first = rooted.groupBy("root").agg(F.min("low").alias("low")).select(f"low.{digest}")
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # rows of one digest are the same in every column
+    kept = named.filter(worded).join(first, digest, "left_semi").dropDuplicates([digest])
+    return kept.unionByName(named.filter(~worded)).drop(digest)
 
 
 #: The same join in DuckDB, by all pairs that share a shingle.
