@@ -1,20 +1,23 @@
 """Byte-level BPE by numpy merge rounds over many words at once.
 
-The symbols of all new words lie in one flat array. Each round forms the keys of
-adjacent symbols, finds their ranks by binary search over the sorted pair keys of
-the merge table, takes every word's lowest rank and merges its occurrences from
-the left. Words that have no pair left are set aside. Words met before come from
-a bounded cache, so a text costs a split and one lookup per word.
+A column of texts is one flat byte array, cut where no word of the tokenizer's
+pattern can span the cut. Equal chunks are found by hashing, compared byte by
+byte, and looked up in a cache of arrays bounded in bytes, so no Python object is
+made per word. The symbols of all new words lie in one flat array. Each round
+forms the keys of adjacent symbols, finds their ranks by binary search over the
+sorted pair keys of the merge table, takes every word's lowest rank and merges its
+occurrences from the left. Words that have no pair left are set aside. Words of
+very many symbols, which would need as many rounds, are merged by a heap.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,14 @@ from vacancylake.llm import words as W
 from vacancylake.llm.shared import map_batches, prepare
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS = 800_000
+#: Bytes a worker keeps of chunks met before: their hashes, spellings and ids.
+CACHE_BYTES = 16 << 20
+#: Bytes of text encoded at a time; a longer text is taken alone.
+SLAB = 2 << 20
+#: Longest chunk, in bytes, that is kept.
+KEPT_CHUNK = 64
+#: Symbols from which a word is merged by a heap instead of in rounds.
+LONG_WORD = 512
 
 #: Unicode's White_Space characters. Fixed values.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -33,8 +43,14 @@ _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECES = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_WHITE}\p{{L}}\p{{N}}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+"
 )
-#: The same pattern's white space, other characters left together.
-_CHUNKS = re.compile(rf" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
+#: Lead bytes of white space beyond ASCII, and what may follow each. Fixed values.
+_WIDE = {
+    0xC2: [(0x85,), (0xA0,)],
+    0xE1: [(0x9A, 0x80)],
+    0xE2: [*((0x80, b) for b in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), (0x81, 0x9F)],
+    0xE3: [(0x80, 0x80)],
+}
+
 
 def vocabulary_path() -> str:
     import public_tokenizers
@@ -49,17 +65,83 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Numbers(dict):
-    """Numbers for keys in order of arrival; new keys are also listed."""
+#: ASCII letters, digits and other signs apart from white space; 0 where a byte alone does not tell.
+_KIND = np.zeros(256, np.uint8)
+_KIND[:128] = 3
+_KIND[:128][W.BLANKS[:128]] = 0
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+
+
+def white_bytes(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of a UTF-8 text belong to white space."""
+    white = W.BLANKS[raw]
+    for lead, tails in _WIDE.items():
+        at = np.flatnonzero(raw == lead)
+        for tail in tails:
+            hit = at[at + len(tail) < len(raw)]
+            for k, byte in enumerate(tail, 1):
+                hit = hit[raw[hit + k] == byte]
+            for k in range(len(tail) + 1):
+                white[hit + k] = True
+    return white
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
 
-    def __missing__(self, key: str) -> int:
-        self.new.append(key)
-        self[key] = number = len(self)
-        return number
+class _Known:
+    """Chunks met before, sorted by hash, with their bytes and ids in flat arrays."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.place = np.zeros((4, 0), np.int32)  # begin and size in bytes, begin and size in ids
+        self.used = np.zeros(0, bool)
+        self.bytes, self.ids = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+
+    @property
+    def size(self) -> int:
+        return sum(x.nbytes for x in (self.hashes, self.place, self.used, self.bytes, self.ids))
+
+    def find(self, h: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Entry of each chunk, or -1."""
+        if not len(self.hashes):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        hit = np.flatnonzero((self.hashes[at] == h) & (self.place[1, at] == sizes))
+        hit = np.delete(hit, W.differing(raw, starts[hit], self.bytes, self.place[0, at[hit]].astype(np.int64), sizes[hit]))
+        found = np.full(len(h), -1)
+        found[hit] = at[hit]
+        self.used[at[hit]] = True
+        return found
+
+    def add(self, h: np.ndarray, raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ids: np.ndarray, n: np.ndarray) -> None:
+        """Keep chunks of ascending hashes, those whose hash is taken aside."""
+        at = np.searchsorted(self.hashes, h)
+        if len(self.hashes):
+            free = self.hashes[np.minimum(at, len(self.hashes) - 1)] != h
+            begins = np.cumsum(n) - n
+            h, at, starts, sizes, begins, n = (x[free] for x in (h, at, starts, sizes, begins, n))
+            ids = ids[W.places(begins, n)]
+        place = np.stack([len(self.bytes) + np.cumsum(sizes) - sizes, sizes, len(self.ids) + np.cumsum(n) - n, n])
+        self.hashes = np.insert(self.hashes, at, h)
+        self.place = np.insert(self.place, at, place.astype(np.int32), axis=1)
+        self.used = np.insert(self.used, at, False)
+        self.bytes = np.concatenate([self.bytes, raw[W.places(starts, sizes)]])
+        self.ids = np.concatenate([self.ids, ids])
+        if self.size > self.limit:
+            self.trim()
+
+    def trim(self) -> None:
+        """Drop what was not met since the last trim, or everything if that frees too little."""
+        begin, size, first, n = self.place[:, self.used].astype(np.int64)
+        hashes, raw, ids = self.hashes[self.used], self.bytes[W.places(begin, size)], self.ids[W.places(first, n)]
+        self.clear()
+        if 2 * (raw.nbytes + ids.nbytes + 25 * len(hashes)) <= self.limit:
+            self.hashes, self.bytes, self.ids = hashes, raw, ids
+            self.place = np.stack([np.cumsum(size) - size, size, np.cumsum(n) - n, n]).astype(np.int32)
+            self.used = np.zeros(len(hashes), bool)
 
 
 class ByteBpe:
@@ -69,14 +151,15 @@ class ByteBpe:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         names, vocab = byte_names(), spec["model"]["vocab"]
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.on_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+        marks = [re.escape(t) for t in sorted(self.special, key=len, reverse=True)]
+        self.on_special = re.compile(b"|".join(marks) or rb"(?!)")
         size = max([*vocab.values(), *self.special.values()]) + 1
         spelled = [b""] * size
         for token, i in vocab.items():
             spelled[i] = bytes(names[c] for c in token)
         for token, i in self.special.items():
-            spelled[i] = token.encode()
+            spelled[i] = token
         self.lengths = np.array([len(b) for b in spelled])
         self.begins = np.concatenate([[0], np.cumsum(self.lengths)])
         self.spelling = np.frombuffer(b"".join(spelled), np.uint8)
@@ -88,16 +171,16 @@ class ByteBpe:
         made = np.array([vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order, made
-        self.clear()
-
-    def clear(self) -> None:
-        self.known = _Numbers()
-        self.pool = np.zeros(0, np.int32)
-        self.at = np.zeros(1, np.int64)
+        self.known = _Known(CACHE_BYTES)
 
     def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, and how many each has."""
         lengths = np.array([len(p) for p in pieces], np.int64)
+        for k in np.flatnonzero(lengths > LONG_WORD).tolist():
+            before, n_before = self.merge(pieces[:k])
+            after, n_after = self.merge(pieces[k + 1 :])
+            ids = self.merge_long(pieces[k])
+            return np.concatenate([before, ids, after]), np.concatenate([n_before, [len(ids)], n_after])
         symbols = self.single[np.frombuffer(b"".join(pieces), np.uint8)]
         owner = np.repeat(np.arange(len(pieces)), lengths)  # an empty piece owns nothing
         done_symbols, done_owner = [], []
@@ -127,57 +210,134 @@ class ByteBpe:
         order = np.argsort(owner, kind="stable")
         return symbols[order].astype(np.int32), np.bincount(owner, minlength=len(pieces))
 
-    def learn(self) -> None:
-        """Work out the ids of the chunks that were new."""
-        pieces, counts = [], []
-        for chunk in self.known.new:
-            found = [chunk] if chunk in self.special else _PIECES.findall(chunk)
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """Ids of one long word: pairs leave a heap by rank, then place."""
+        symbols = self.single[np.frombuffer(piece, np.uint8)].tolist()
+        following = [*range(1, len(symbols)), -1]
+        before = [*range(-1, len(symbols) - 1)]
+        made: dict[tuple[int, int], tuple[int, int] | None] = {}
+
+        def rank_of(pair: tuple[int, int]) -> tuple[int, int] | None:
+            if pair not in made:
+                key = pair[0] << 32 | pair[1]
+                spot = min(int(np.searchsorted(self.keys, key)), len(self.keys) - 1)
+                made[pair] = (int(self.ranks[spot]), int(self.made[self.ranks[spot]])) if self.keys[spot] == key else None
+            return made[pair]
+
+        heap: list[tuple[int, int, tuple[int, int]]] = []
+
+        def offer(left: int) -> None:
+            if left >= 0 and following[left] >= 0:
+                pair = symbols[left], symbols[following[left]]
+                if rank_of(pair) is not None:
+                    heapq.heappush(heap, (rank_of(pair)[0], left, pair))
+
+        for k in range(len(symbols) - 1):
+            offer(k)
+        while heap:
+            _, left, pair = heapq.heappop(heap)
+            right = following[left]
+            if right < 0 or (symbols[left], symbols[right]) != pair:
+                continue  # merged with another neighbour since
+            symbols[left], symbols[right] = rank_of(pair)[1], -1
+            following[left] = following[right]
+            if following[left] >= 0:
+                before[following[left]] = left
+            following[right] = -1
+            offer(before[left])
+            offer(left)
+        return np.array([x for x in symbols if x >= 0], np.int32)
+
+    def learn(self, chunks: list[bytes], several: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new chunks one after another, and how many each has.
+
+        ``several`` tells which chunks may hold more than one piece or be a special token.
+        """
+        pieces, counts, marks = [], [], []
+        for chunk, more in zip(chunks, several, strict=True):
+            if not more:
+                pieces.append(chunk)
+                counts.append(1)
+                continue
+            if chunk in self.special:
+                marks.append((len(pieces), self.special[chunk]))
+                found = [b""]
+            else:
+                found = [p.encode() for p in _PIECES.findall(chunk.decode())]
             pieces += found
             counts.append(len(found))
-        spelled = [b"" if p in self.special else p.encode() for p in pieces]
-        ids, sizes = self.merge(spelled)
-        ends = np.cumsum(sizes)
-        for k in [k for k, p in enumerate(pieces) if p in self.special]:
-            ids = np.insert(ids, ends[k], self.special[pieces[k]])
-            ends[k:] += 1
-        ends = np.concatenate([[0], ends])[np.cumsum(counts, dtype=np.int64)]
-        self.at = np.concatenate([self.at, self.at[-1] + ends])
-        self.pool = np.concatenate([self.pool, ids])
-        self.known.new.clear()
-
-    def chunks(self, text: str) -> list[str]:
-        """``text`` cut where no word of the pattern spans the cut."""
-        if not self.special or "<|" not in text:
-            return _CHUNKS.findall(text)
-        out, at = [], 0
-        for m in self.on_special.finditer(text):
-            out += _CHUNKS.findall(text[at : m.start()])
-            out.append(m[0])
-            at = m.end()
-        return out + _CHUNKS.findall(text[at:])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and how many each has."""
-        if len(self.known) > CACHE_WORDS:
-            self.clear()
-        cut = [self.chunks(t) for t in texts]
-        total = sum(map(len, cut))
-        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, total)
-        if self.known.new:
-            self.learn()
-        sizes = self.at[index + 1] - self.at[index]
-        ends = np.cumsum(sizes)
-        ids = self.pool[np.repeat(self.at[index] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        last = np.cumsum([len(chunks) for chunks in cut], dtype=np.int64)
-        ends = np.concatenate([[0], ends])[last]
+        ids, sizes = self.merge(pieces)
+        if marks:
+            where, special = np.array(marks, np.int64).T
+            ids = np.insert(ids, np.cumsum(sizes)[where], special)
+            sizes[where] += 1
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts, dtype=np.int64)]
         return ids, np.diff(ends, prepend=0)
 
+    def cut(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of the chunks.
+
+        White space always begins a piece of the pattern, its last one before a word
+        begins another, and the word a third unless that one is a space. So do letters,
+        digits and signs after each other, but for what follows an apostrophe. Special
+        tokens stand alone.
+        """
+        white, marks = white_bytes(raw), []
+        if self.special and np.any((raw[:-1] == 60) & (raw[1:] == 124)):
+            text = raw.tobytes()
+            for first, last in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                marks += [m.span() for m in self.on_special.finditer(text, first, last)]
+        for first, last in marks:  # white space before them is left whole, as at a text's end
+            white[first:last] = True
+        turn = np.zeros(len(raw) + 1, bool)
+        turn[: len(raw) - 1] = white[:-1] & ~white[1:]
+        turn[offsets[1:] - 1] = False
+        turn = np.flatnonzero(turn)  # last bytes of white space before a word
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[turn - np.where(raw[turn] < 128, 0, np.where(raw[turn - 1] == 0xC2, 1, 2))] = True
+        begins[turn[raw[turn] != 32] + 1] = True
+        kind = _KIND[raw]
+        begins[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & (raw[:-1] != 39)
+        begins[1:-1] |= white[1:] & ~white[:-1]
+        begins[offsets] = True
+        for first, last in marks:
+            begins[first:last] = False
+            begins[[first, last]] = True
+        return np.flatnonzero(begins[: len(raw)])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has; a null text has none."""
+        raw, offsets = W.flat_bytes(texts)
+        if not len(raw):
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        starts = self.cut(raw, offsets)
+        sizes = np.diff(np.append(starts, len(raw)))
+        h, own, index = W.distinct(raw, starts, sizes)
+        starts_of, sizes_of = starts[own], sizes[own]
+        entry = np.append(self.known.find(h, raw, starts_of[: len(h)], sizes_of[: len(h)]), np.full(len(own) - len(h), -1))
+        new = np.flatnonzero(entry < 0)
+        text = raw.tobytes()
+        spans = zip(starts_of[new].tolist(), (starts_of[new] + sizes_of[new]).tolist(), strict=True)
+        hard = np.concatenate([[0], np.cumsum((raw >= 128) | (raw == 39) | (raw == 124))])
+        hard = hard[starts_of[new] + sizes_of[new]] > hard[starts_of[new]]
+        ids, n = self.learn([text[a:b] for a, b in spans], hard.tolist())
+        old = np.flatnonzero(entry >= 0)
+        begin, count = self.known.place[2:, entry[old]].astype(np.int64)
+        pool = np.concatenate([self.known.ids[W.places(begin, count)], ids])
+        number, size = np.empty(len(own), np.int64), np.empty(len(own), np.int64)
+        size[old], size[new] = count, n
+        number[old] = np.cumsum(count) - count
+        number[new] = count.sum() + np.cumsum(n) - n
+        keep = (new < len(h)) & (sizes_of[new] <= KEPT_CHUNK)
+        met = new[keep]
+        self.known.add(h[met], raw, starts_of[met], sizes_of[met], ids[W.places(number[met], n[keep]) - count.sum()], n[keep])
+        size = size[index]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, offsets)]
+        return pool[W.places(number[index], size)], np.diff(ends)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a run of ids."""
-        sizes = self.lengths[ids]
-        ends = np.cumsum(sizes)
-        where = np.repeat(self.begins[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return self.spelling[where].tobytes()
+        return self.spelling[W.places(self.begins[ids], self.lengths[ids])].tobytes()
 
 
 @cache
@@ -197,8 +357,8 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
-        for lo, hi in W.slabs(batch.column(1)):
-            ids, sizes = bpe.encode([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
+        for lo, hi in W.slabs(batch.column(1), SLAB):
+            ids, sizes = bpe.encode(batch.column(1).slice(lo, hi - lo))
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["doc_id", "ids"])
@@ -230,18 +390,21 @@ def round_trip(documents: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
-        for lo, hi in W.slabs(batch.column(1)):
-            texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
+        for lo, hi in W.slabs(batch.column(1), SLAB):
+            texts = batch.column(1).slice(lo, hi - lo)
             ids, sizes = bpe.encode(texts)
             ends = np.cumsum(sizes)
             raw, spelled = ids.astype("<u4").tobytes(), bpe.decode(ids)
             bytes_to = np.concatenate([[0], np.cumsum(bpe.lengths[ids])])
             rows = [], [], []
-            for text, begin, end in zip(texts, ends - sizes, ends, strict=True):
-                back = spelled[bytes_to[begin] : bytes_to[end]].decode("utf-8", "replace")
+            for text, begin, end in zip(texts.to_pylist(), ends - sizes, ends, strict=True):
+                back = spelled[bytes_to[begin] : bytes_to[end]]
+                intact = back == (text or "").encode()
+                if not intact:
+                    back = back.decode("utf-8", "replace").encode()
                 rows[0].append(_sha(raw[4 * begin : 4 * end]))
-                rows[1].append(_sha(back.encode()))
-                rows[2].append(back == text)
+                rows[1].append(_sha(back))
+                rows[2].append(intact)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), pa.array(sizes), *map(pa.array, rows)],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "intact"],

@@ -12,8 +12,11 @@ from vacancylake.llm import (
     decontaminate,
     html_text,
     kneser_ney,
+    lexical,
     licenses,
     ngram_join,
+    quality_rules,
+    spelling,
     token_files,
     toxicity,
     url_trust,
@@ -88,3 +91,18 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register(lexical.RANK_SQL)
+def op11_lexical_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
+@register(quality_rules.RULES_SQL)
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rate_documents(table(spark, sf_dir, "documents"))

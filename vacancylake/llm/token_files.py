@@ -16,6 +16,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancylake.llm import words as W
-from vacancylake.llm.bpe import ByteBpe, vocabulary_path
+from vacancylake.llm.bpe import SLAB, ByteBpe, vocabulary_path
 from vacancylake.llm.shared import map_batches, prepare, shared_path
 
 END_ID = 0
@@ -53,11 +54,11 @@ class LibraryBpe(ByteBpe):
         self.library.no_truncation()
         self.library.no_padding()
 
-    def learn(self) -> None:
-        found = [e.ids for e in self.library.encode_batch_fast(self.known.new, add_special_tokens=False)]
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in found], dtype=np.int64)])
-        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.int32)])
-        self.known.new.clear()
+    def learn(self, chunks: list[bytes], several: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        texts = [c.decode() for c in chunks]
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.array([len(x) for x in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
 
 
 @cache
@@ -79,7 +80,7 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def encode_ids(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+def encode_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts with the end id after each, and how many each has."""
     ids, sizes = library(path).encode(texts)
     return np.insert(ids, np.cumsum(sizes), END_ID), sizes + 1
@@ -91,7 +92,7 @@ def train_dictionary(documents: DataFrame, path: str) -> bytes:
     picked = [r.text for r in rows.limit(SAMPLE_ROWS).collect()]
     if not picked:
         return b""
-    ids, sizes = encode_ids(picked, path)
+    ids, sizes = encode_ids(pa.array(picked), path)
     ends = np.cumsum(sizes)
     raw = ids.astype("<u4").tobytes()
     try:
@@ -151,8 +152,8 @@ def write(documents: DataFrame, folder: str | None = None, path: str | None = No
     def compress(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         known = _dictionary(folder, digest)
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_content_size=True, write_dict_id=False)
-        for lo, hi in W.slabs(batch.column(1)):
-            ids, sizes = encode_ids([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()], path)
+        for lo, hi in W.slabs(batch.column(1), SLAB):
+            ids, sizes = encode_ids(batch.column(1).slice(lo, hi - lo), path)
             raw, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(sizes)
             frames = [press.compress(raw[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
             names = batch.column(0).slice(lo, hi - lo)

@@ -66,27 +66,61 @@ def slabs(texts: pa.Array | pa.ChunkedArray, limit: int = _SLAB) -> Iterator[tup
         first = last
 
 
-def split(texts: pa.Array, between: np.ndarray = BLANKS) -> Words:
-    """Words of every text; a null text has none."""
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts one after another, and their bounds; a null text has none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     body = texts.buffers()[2]
     raw = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]] if body is not None and body.size else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
-    inside = ~between[raw]
+    return raw, offsets - offsets[0]
+
+
+def split(texts: pa.Array, between: np.ndarray = BLANKS) -> Words:
+    """Words of every text; a null text has none."""
+    raw, offsets = flat_bytes(texts)
+    starts, ends = runs(~between[raw], offsets)
+    return Words(LOWER[raw], offsets, starts, ends, np.searchsorted(starts, offsets))
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of marked bytes, none across two texts."""
     before = np.empty_like(inside)
     before[1:] = inside[:-1]
     after = np.empty_like(inside)
     after[:-1] = inside[1:]
-    if len(raw):
+    if len(inside):
         before[0] = after[-1] = False
         edges = offsets[1:-1]
-        edges = edges[(edges > 0) & (edges < len(raw))]
+        edges = edges[(edges > 0) & (edges < len(inside))]
         before[edges] = False
         after[edges - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
-    return Words(LOWER[raw], offsets, starts, ends, np.searchsorted(starts, offsets))
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of all elements of the spans, one span after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def differing(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers of the spans whose bytes are not the same in both arrays."""
+    wrong = np.flatnonzero(a[places(a_starts, sizes)] != b[places(b_starts, sizes)])
+    return np.unique(np.searchsorted(np.cumsum(sizes), wrong, "right"))
+
+
+def distinct(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different spans among those given: hashes, numbers of their first places, and the index of each span.
+
+    Spans are grouped by hash and compared byte by byte. Those that share a hash
+    with a span of other bytes come last, beyond the hashes, each by itself.
+    """
+    h, first, index = np.unique(hash_spans(data, starts, starts + sizes), return_index=True, return_inverse=True)
+    same = sizes == sizes[first][index]
+    odd, even = np.flatnonzero(~same), np.flatnonzero(same)
+    odd = np.append(odd, even[differing(data, starts[even], data, starts[first][index[even]], sizes[even])])
+    index[odd] = len(first) + np.arange(len(odd))
+    return h, np.append(first, odd), index
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
