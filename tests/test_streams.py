@@ -130,13 +130,13 @@ def test_upsert_is_idempotent_per_batch(spark, feed, tmp_path):
     assert table.count() == identity.seen_urls(batch).count()
     before = sorted(map(str, table.collect()))
     # the last batch delivered once more is recognised and skipped
-    streams.upsert_batches(spark, path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
+    streams.upsert_batches(path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
     again = tables.read_table(spark, str(tmp_path), "jobs")
     assert sorted(map(str, again.collect())) == before
     # another stream may use the same batch numbers
     other = full(batch).withColumn("canonical_url", F.lit("https://x/other"))
-    streams.upsert_batches(spark, path, "seen_at", "other")(other, 0)
-    streams.upsert_batches(spark, path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
+    streams.upsert_batches(path, "seen_at", "other")(other, 0)
+    streams.upsert_batches(path, "seen_at", str(tmp_path / "p"))(full(batch), 2)
     assert tables.read_table(spark, str(tmp_path), "jobs").count() == len(before) + 1
 
 

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from vacancylake import schemas
 from vacancylake.operators import lookup, quality
 from vacancylake.plans.monitoring import monitor
 from vacancylake.plans.snapshot import run_snapshot, store_run
-from vacancylake.sinks import exports, tables as sinks
+from vacancylake.sinks import exports, listings, tables as sinks
 from vacancylake.sources import specs, tables
 
 JOB_FIELDS = [f.name for f in schemas.JOBS]
@@ -125,6 +126,115 @@ def test_writers_notice_each_other_and_old_snapshots_go(spark, tmp_path):
     assert spark.read.parquet(last).count() == 4
 
 
+def test_of_several_first_publishers_one_succeeds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_snapshot(spark.range(1), path, base="")
+    with pytest.raises(sinks.TableChanged):
+        sinks.write_snapshot(spark.range(2), path, base="")
+    version = sinks.current_version(spark, path)
+    for writer in (1, 2):  # both start from the same version, at the same time
+        if writer == 1:
+            sinks.publish(spark, path, version, "snapshot-a", "a")
+        else:
+            with pytest.raises(sinks.TableChanged):
+                sinks.publish(spark, path, version, "snapshot-b", "b")
+    assert [(v.number, v.tag) for v in sinks.versions(spark, path)] == [(1, ""), (2, "a")]
+
+
+def test_a_stored_run_is_not_stored_over_a_newer_one(spark, tmp_path):
+    root, day = str(tmp_path), ts("2026-07-01 10:00:00")
+    none, base = spark.createDataFrame([], schemas.JOBS), ""
+    runs = {}
+    for run, numbers in ((7, [1, 2]), (8, [1, 2, 3])):
+        jobs = tables.read_table(spark, root, "jobs") if run == 8 else none
+        runs[run] = snapshot(spark, jobs, run, run, numbers, [10], base=base)
+        store_run(runs[run], root, run, day, day)
+        base = sinks.current_snapshot(spark, f"{root}/jobs")
+    before = sorted(map(str, tables.read_table(spark, root, "jobs").collect()))
+    store_run(runs[7], root, 7, day, day)
+    assert sorted(map(str, tables.read_table(spark, root, "jobs").collect())) == before
+    assert [v.tag for v in sinks.versions(spark, f"{root}/jobs")] == ["7", "8"]
+    late = snapshot(spark, none, 9, 9, [1], [10], base="")  # made from the table as it was at first
+    with pytest.raises(sinks.TableChanged):
+        store_run(late, root, 9, day, day)
+    assert not (tmp_path / "attempts" / "run_id=9").exists()
+    assert sorted(map(str, tables.read_table(spark, root, "jobs").collect())) == before
+
+
+def records(spark, rows):
+    """(company_id, canonical_url, title) as clean records."""
+    full = [(c, u, t, None, "Remote", u, None, "open", "1", None, None, 1, k) for k, (c, u, t) in enumerate(rows)]
+    return spark.createDataFrame(full, (
+        "company_id bigint, canonical_url string, title string, title_vi string, location string, url string, date_posted timestamp, "
+        "status string, source_job_id string, salary_raw string, raw_data string, page_no bigint, pos bigint"))
+
+
+def files_of(path):
+    return {p.relative_to(path): (p.stat().st_mtime_ns, p.stat().st_size) for p in path.glob("rows/bucket=*/*.parquet")}
+
+
+def test_a_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
+    path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
+    first = records(spark, [(1, f"https://x/{k}", "a") for k in range(60)] + [(1, "https://x/3", "a copy")])
+    assert listings.merge_listings(first, path, day, "w", 0, buckets=8) == list(range(8))
+    before = files_of(tmp_path / "jobs")
+    touched = listings.merge_listings(records(spark, [(1, "https://x/3", "b")]), path, ts("2026-07-02 10:00:00"), "w", 1)
+    after = files_of(tmp_path / "jobs")
+    changed = {p.parts[1] for p in before.keys() ^ after.keys() | {p for p in before if p in after and before[p] != after[p]}}
+    assert len(touched) == 1 and changed == {f"bucket={touched[0]}"}
+    rows = tables.read_table(spark, str(tmp_path), "jobs")
+    assert rows.columns == schemas.JOBS.names
+    got = {r.canonical_url: r for r in rows.collect()}
+    assert len(got) == rows.count() == 60 and {u for u, r in got.items() if r.title == "b"} == {"https://x/3"}
+    assert got["https://x/3"].first_seen_at.day == 1 and got["https://x/3"].last_seen_at.day == 2
+    # whole plan: only the touched bucket's folder is scanned
+    plan = listings.read_buckets(spark, path, touched)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", plan)
+    # delivered again, and nothing at all
+    assert listings.merge_listings(records(spark, [(1, "https://x/3", "c")]), path, day, "w", 1) == []
+    assert listings.merge_listings(records(spark, []), path, day, "w", 2) == []
+    assert files_of(tmp_path / "jobs") == after and listings.read_buckets(spark, path, []).count() == 0
+
+
+def test_a_merge_cut_off_is_finished_by_its_writer(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
+    listings.merge_listings(records(spark, [(1, "a", "old"), (None, "n", "old")]), path, day, "w", 0, buckets=4)
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(listings, "finish_merge", fail)
+        with pytest.raises(OSError):
+            listings.merge_listings(records(spark, [(1, "a", "new"), (1, "b", "new")]), path, day, "w", 1)
+    with pytest.raises(sinks.TableChanged):
+        listings.merge_listings(records(spark, [(1, "c", "x")]), path, day, "other", 0)
+    # the same batch again: its staged rows are put in place, not merged a second time
+    assert listings.merge_listings(records(spark, [(1, "a", "twice")]), path, day, "w", 1) == []
+    titles = {r.canonical_url: r.title for r in tables.read_table(spark, str(tmp_path), "jobs").collect()}
+    assert titles == {"a": "new", "b": "new", "n": "old"}
+    listings.merge_listings(records(spark, [(1, "c", "x")]), path, day, "other", 0)
+    assert listings.unfinished(spark, path) is None and not list(tmp_path.glob("jobs/_staged/*"))
+
+
+def test_of_two_merges_from_one_version_one_is_refused(spark, tmp_path, monkeypatch):
+    path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
+    listings.merge_listings(records(spark, [(1, "a", "old")]), path, day, "w", 0, buckets=4)
+    upsert = listings.upsert_jobs
+
+    def meanwhile(*args):  # another writer merges while this one works its rows out
+        monkeypatch.setattr(listings, "upsert_jobs", upsert)
+        listings.merge_listings(records(spark, [(1, "a", "theirs")]), path, day, "other", 0)
+        return upsert(*args)
+
+    monkeypatch.setattr(listings, "upsert_jobs", meanwhile)
+    with pytest.raises(sinks.TableChanged):
+        listings.merge_listings(records(spark, [(1, "a", "ours")]), path, day, "w", 1)
+    assert tables.read_table(spark, str(tmp_path), "jobs").first().title == "theirs"
+    listings.merge_listings(records(spark, [(1, "a", "ours")]), path, day, "w", 1)
+    assert tables.read_table(spark, str(tmp_path), "jobs").first().title == "ours"
+
+
 def test_failed_write_leaves_the_current_snapshot(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_snapshot(spark.range(3), path)

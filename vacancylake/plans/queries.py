@@ -1650,17 +1650,23 @@ def _event_stream(t: Tables, derived: str) -> DataFrame:
     return t.spark.sql(DERIVED[derived].replace("CAST(ts AS TIMESTAMP)", "ts"), events=timed)
 
 
-def _detected(t: Tables, derived: str, start) -> DataFrame:
-    """Findings of a detecting stream that reads all events in three batches, in time order."""
-    work = f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
+def _fed(t: Tables, derived: str, start) -> str:
+    """Run a stream over all events, which arrive in three parts in time order, a batch each."""
+    work = _work(t)
     at = F.unix_micros(F.col("ts").cast("timestamp"))
-    low, high = t.events.agg(F.percentile_approx(at, [0.33, 0.67])).first()[0] or (0, 0)
-    for third in (at <= low, (at > low) & (at <= high), (at > high) | at.isNull()):
-        t.events.filter(third).coalesce(1).write.mode("append").parquet(f"{work}/events")
-    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
-    timed = source.withColumn("ts", F.col("ts").cast("timestamp"))
-    start(t.spark.sql(DERIVED[derived], events=timed), f"{work}/out", f"{work}/progress").awaitTermination()
-    return streams.findings(t.spark, f"{work}/out")
+    low, high = t.events.agg(F.min(at), F.max(at)).first()
+    cuts = [low + (high - low) * k // 3 for k in (1, 2)] if low is not None else [0, 0]
+    for part in (at <= cuts[0], (at > cuts[0]) & (at <= cuts[1]), (at > cuts[1]) | at.isNull()):
+        t.events.filter(part).write.mode("append").parquet(f"{work}/events")
+        source = t.spark.readStream.schema(t.events.schema).parquet(f"{work}/events")
+        timed = source.withColumn("ts", F.col("ts").cast("timestamp"))
+        start(t.spark.sql(DERIVED[derived], events=timed), f"{work}/out", f"{work}/progress").awaitTermination()
+    return f"{work}/out"
+
+
+def _detected(t: Tables, derived: str, start) -> DataFrame:
+    """Findings of a detecting stream that reads all events in three batches."""
+    return streams.findings(t.spark, _fed(t, derived, start))
 
 
 def _drain(t: Tables, stream: DataFrame) -> DataFrame:
@@ -1687,30 +1693,38 @@ def stream_dedupe(t: Tables) -> DataFrame:
     )
 
 
-@register(cte("timeouts") + """
-    SELECT source AS canonical_url, arg_min(id, (ts, id)) AS first_event FROM timeouts GROUP BY source""")
+# each batch merges as of its newest record; the last one to show a source decides its row
+@register(cte("timeouts") + """, span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) AS width FROM events),
+    dealt AS (SELECT t.*, coalesce((epoch_us(t.ts) > lo + width // 3)::INT + (epoch_us(t.ts) > lo + width * 2 // 3)::INT, 2) AS batch
+              FROM timeouts t, span),
+    batches AS (SELECT batch, max(ts) AS newest FROM dealt GROUP BY batch),
+    firsts AS (SELECT source, batch, arg_min(id, (ts, id)) AS id FROM dealt GROUP BY source, batch)
+    SELECT source AS canonical_url, arg_max(id, batch) AS first_event, min(newest) AS first_seen_at, max(newest) AS last_seen_at
+    FROM firsts JOIN batches USING (batch) GROUP BY source""")
 def stream_upsert(t: Tables) -> DataFrame:
     text_null = F.lit(None).cast("string")
-    records = _event_stream(t, "timeouts").select(
-        F.lit(1).cast("bigint").alias("company_id"),
-        F.concat(F.lit("seen by "), "source").alias("title"),
-        text_null.alias("title_vi"),
-        F.lit("Remote").alias("location"),
-        F.col("source").alias("url"),
-        F.col("source").alias("canonical_url"),
-        F.col("ts").alias("date_posted"),
-        F.lit("open").alias("status"),
-        F.col("id").cast("string").alias("source_job_id"),
-        text_null.alias("salary_raw"),
-        text_null.alias("raw_data"),
-        F.unix_micros("ts").alias("page_no"),
-        F.col("id").alias("pos"),
-        F.col("ts").alias("seen_at"),
-    )
-    work = f"{ensure_checkpoint_dir(t.spark)}/{uuid.uuid4().hex}"
-    streams.stream_upsert(records, f"{work}/jobs", f"{work}/progress").awaitTermination()
-    return tables.read_table(t.spark, work, "jobs").select(
-        "canonical_url", F.col("source_job_id").cast("bigint").alias("first_event")
+
+    def start(timeouts: DataFrame, path: str, checkpoint: str):
+        records = timeouts.select(
+            F.lit(1).cast("bigint").alias("company_id"),
+            F.concat(F.lit("seen by "), "source").alias("title"),
+            text_null.alias("title_vi"),
+            F.lit("Remote").alias("location"),
+            F.col("source").alias("url"),
+            F.col("source").alias("canonical_url"),
+            F.col("ts").alias("date_posted"),
+            F.lit("open").alias("status"),
+            F.col("id").cast("string").alias("source_job_id"),
+            text_null.alias("salary_raw"),
+            text_null.alias("raw_data"),
+            F.unix_micros("ts").alias("page_no"),
+            F.col("id").alias("pos"),
+            F.col("ts").alias("seen_at"),
+        )
+        return streams.stream_upsert(records, f"{path}/jobs", checkpoint, buckets=8)
+
+    return tables.read_table(t.spark, _fed(t, "timeouts", start), "jobs").select(
+        "canonical_url", F.col("source_job_id").cast("bigint").alias("first_event"), "first_seen_at", "last_seen_at"
     )
 
 
@@ -1781,9 +1795,13 @@ def _middle_page(t: Tables):
     return t.orders.agg(F.floor(F.max(F.floor(F.col("o_orderkey") / 100)) / 2) + 1).scalar()
 
 
-def _snapshot_run(t: Tables, truncated: bool = False, failing: bool = False) -> SnapshotResult:
+def _snapshot_run(
+    t: Tables, truncated: bool = False, failing: bool = False, over: str | None = None, run_id: int = 5
+) -> SnapshotResult:
     """A run over one source whose pages hold every order.
 
+    ``over``: start from the listings stored there, instead of made-up older ones.
+
     ``truncated``: the source states more listings than its pages hold;
     ``failing``: its middle page was refused.
     """
@@ -1820,8 +1838,12 @@ def _snapshot_run(t: Tables, truncated: bool = False, failing: bool = False) ->
             "status": F.when(even, F.col("status")).otherwise("open"),
         }
     )
-    started = F.lit("2024-06-01 10:00:00").cast("timestamp")
-    return run_snapshot(pages_read, log, stored, known, specs.default_catalog(), 5, started, now())
+    base = None
+    if over is not None:
+        stored, base = tables.read_based(t.spark, over, "jobs")
+    started, at = (F.lit(f"2024-06-{run_id - 4:02d} {hour}:00:00").cast("timestamp") for hour in (10, 12))
+    at = now() if over is None else at
+    return run_snapshot(pages_read, log, stored, known, specs.default_catalog(), run_id, started, at, base=base)
 
 
 @register("""
@@ -1905,6 +1927,23 @@ def stored_run_jobs(t: Tables) -> DataFrame:
     return tables.read_table(t.spark, _stored_run(t), "jobs").select("canonical_url", "status", "missing_count")
 
 
+@register("""
+    SELECT 'https://jobs.example.com/' || CAST(o_orderkey AS STRING) AS canonical_url, 'open' AS status,
+           CAST(0 AS BIGINT) AS missing_count
+    FROM orders
+    UNION ALL
+    SELECT 'https://jobs.example.com/old-' || CAST(o_orderkey AS STRING), 'closed', greatest(o_orderkey % 3 + 1, 2)
+    FROM orders WHERE o_orderkey % 2 = 1""")
+def stored_runs_in_turn(t: Tables) -> DataFrame:
+    """Two runs, the second over what the first stored; storing the first again changes nothing."""
+    root, started = _work(t), F.lit("2024-06-01 10:00:00").cast("timestamp")
+    first = _snapshot_run(t)
+    store_run(first, root, 5, started, now())
+    store_run(_snapshot_run(t, over=root, run_id=6), root, 6, started, now())
+    store_run(first, root, 5, started, now())
+    return tables.read_table(t.spark, root, "jobs").select("canonical_url", "status", "missing_count")
+
+
 @register("""
     SELECT CAST(5 AS BIGINT) AS run_id, CAST(1 AS BIGINT) AS company_id, 'success' AS status, 'success' AS run_status,
            count(*) AS jobs_found, count(*) FILTER (o_orderkey % 2 = 1) AS new_jobs,

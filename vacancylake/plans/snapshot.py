@@ -32,6 +32,8 @@ class SnapshotResult(NamedTuple):
     skipped: DataFrame
     rejected: DataFrame
     dropped: DataFrame
+    #: Snapshot of the listings table the run started from; empty: none yet, None: not told.
+    base: str | None = None
 
 
 def raw_listings(pages: DataFrame, catalog: SourceCatalog) -> DataFrame:
@@ -65,6 +67,7 @@ def run_snapshot(
     now: Column,
     threshold: int = 2,
     mode: str = "threshold",
+    base: str | None = None,
 ) -> SnapshotResult:
     """Merge one run's pages into the listings table.
 
@@ -77,6 +80,9 @@ def run_snapshot(
     complete only if it also ended by itself: where the source states its number
     of listings, so many were found; else a page source stopped before the
     catalog's page limit. An incomplete crawl closes nothing.
+
+    ``base`` names the snapshot that ``jobs`` were read at (``tables.read_based``);
+    the run is stored only over that one.
     """
     spark = pages.sparkSession
     readable = readable_pages(pages, fetch_log)
@@ -149,7 +155,7 @@ def run_snapshot(
             "warnings",
         )
     )
-    return SnapshotResult(merged, attempts, overall_status(attempts), skipped, rejected, dropped)
+    return SnapshotResult(merged, attempts, overall_status(attempts), skipped, rejected, dropped, base)
 
 
 def store_run(
@@ -159,9 +165,15 @@ def store_run(
 
     Everything but the listings lies in a folder of the run, so storing a run again
     replaces its rows. The published listings carry the run's id; a run that has
-    published is not published again.
+    published, be it the newest or not, is not published again. A run whose base is
+    no longer current raises TableChanged before anything is written, and if another
+    writer publishes meanwhile, before the listings are.
     """
     spark = result.jobs.sparkSession
+    published = {v.tag for v in sinks.versions(spark, f"{root}/jobs")}
+    current = sinks.current_snapshot(spark, f"{root}/jobs") or ""
+    if str(run_id) not in published and result.base not in (None, current):
+        raise sinks.TableChanged(f"{root}/jobs")
     reasons = {"validate": (result.skipped, "skip_reasons"), "transform": (result.rejected, "reject_reasons")}
     rejects = {stage: rows.withColumnRenamed(column, "reasons") for stage, (rows, column) in reasons.items()}
     rejects["dedupe"] = result.dropped.withColumn("reasons", F.array(F.lit("duplicate")))
@@ -182,5 +194,6 @@ def store_run(
         F.lit(triggered_by).alias("triggered_by"),
     )
     shaped(run, schemas.RUNS, "id").write.mode("overwrite").parquet(f"{root}/runs/id={run_id}")
-    if sinks.current_tag(spark, f"{root}/jobs") != str(run_id):
-        sinks.write_snapshot(shaped(result.jobs, schemas.JOBS, ""), f"{root}/jobs", tag=str(run_id))
+    if str(run_id) not in published:
+        base = current if result.base is None else result.base
+        sinks.write_snapshot(shaped(result.jobs, schemas.JOBS, ""), f"{root}/jobs", tag=str(run_id), base=base)

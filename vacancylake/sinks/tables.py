@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-_POINTER = "_CURRENT"
+#: Published versions, a small file each, named by their number.
+_VERSIONS = "_versions"
+
+
+class Version(NamedTuple):
+    number: int
+    folder: str
+    tag: str
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -21,29 +30,69 @@ def _hadoop(spark: SparkSession, path: str):
     return context, fs_package, conf
 
 
-def _read_pointer(spark: SparkSession, path: str) -> list[str]:
+def _names(spark: SparkSession, path: str) -> list[str]:
     context, package, _ = _hadoop(spark, path)
-    pointer = package.Path(path, _POINTER)
-    if not context.util().exists(pointer):
+    folder = package.Path(path)
+    if not context.util().exists(folder):
         return []
+    return sorted(status.getPath().getName() for status in context.util().listStatus(folder))
+
+
+def _version(spark: SparkSession, path: str, name: str) -> Version:
+    context, package, _ = _hadoop(spark, path)
     java = spark._jvm.java.io
-    reader = java.BufferedReader(java.InputStreamReader(context.open(pointer), "UTF-8"))
+    reader = java.BufferedReader(java.InputStreamReader(context.open(package.Path(f"{path}/{_VERSIONS}/{name}")), "UTF-8"))
     try:
-        return list(iter(reader.readLine, None))
+        folder, tag = reader.readLine(), reader.readLine()
     finally:
         reader.close()
+    return Version(int(name), f"{path}/{folder}", tag or "")
+
+
+def versions(spark: SparkSession, path: str) -> list[Version]:
+    """All versions published so far, oldest first; their folders may have been removed."""
+    return [_version(spark, path, name) for name in _names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The newest published version."""
+    names = [name for name in _names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
+    return _version(spark, path, names[-1]) if names else None
 
 
 def current_snapshot(spark: SparkSession, path: str) -> str | None:
     """Folder of the table's current snapshot, or None if none was published."""
-    lines = _read_pointer(spark, path)
-    return f"{path}/{lines[0]}" if lines else None
+    version = current_version(spark, path)
+    return version.folder if version else None
 
 
 def current_tag(spark: SparkSession, path: str) -> str | None:
     """The tag the current snapshot was published with."""
-    lines = _read_pointer(spark, path)
-    return lines[1] if len(lines) > 1 else None
+    version = current_version(spark, path)
+    return version.tag if version else None
+
+
+def publish(spark: SparkSession, path: str, base: Version | None, folder: str, tag: str) -> Version:
+    """Let a folder of the table follow the version ``base`` (None: be the first).
+
+    The version's file is moved to its number without overwriting, so of several
+    writers that start from one base only one succeeds; TableChanged tells the others.
+    """
+    number = (base.number if base else 0) + 1
+    context, package, conf = _hadoop(spark, path)
+    target = package.Path(f"{path}/{_VERSIONS}/{number:012d}")
+    staged = package.Path(f"{path}/{_VERSIONS}/.{uuid.uuid4().hex}")
+    stream = staged.getFileSystem(conf).create(staged, True)
+    stream.write(bytearray(f"{folder}\n{tag}\n".encode()))
+    stream.close()
+    try:
+        context.rename(staged, target, spark.sparkContext._gateway.new_array(package.Options.Rename, 0))
+    except Py4JJavaError as error:
+        context.delete(staged, False)
+        if not context.util().exists(target):
+            raise
+        raise TableChanged(path) from error
+    return Version(number, f"{path}/{folder}", tag)
 
 
 class TableChanged(RuntimeError):
@@ -60,30 +109,25 @@ def write_snapshot(
 ) -> str:
     """Replace a table as a whole: readers see the old rows or the new ones.
 
-    The rows go to a folder of their own; then a one-line pointer is renamed
-    into place. The frame may read the table it replaces, because the old
-    snapshot stays untouched. Returns the new snapshot's folder.
+    The rows go to a folder of their own, which is then published as the next
+    version. The frame may read the table it replaces, because the old snapshot
+    stays untouched. Returns the new snapshot's folder.
 
-    ``base`` is the snapshot that the rows were made from, by default the current
-    one; if the table shows another when they are written, TableChanged is raised
-    and the table left alone. ``keep`` removes all but the newest so many snapshots.
+    ``base`` is the snapshot that the rows were made from, empty if there was none
+    yet; without it the one that is current now. If the table shows another by the
+    time of publishing, TableChanged is raised and the table left alone. ``keep``
+    removes all but the newest so many snapshots.
     """
     spark = df.sparkSession
-    base = base or current_snapshot(spark, path)
+    version = current_version(spark, path)
+    if base is not None and base != (version.folder if version else ""):
+        raise TableChanged(path)
     name = f"snapshot-{uuid.uuid4().hex}"
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{name}")
-
-    if current_snapshot(spark, path) != base:
-        raise TableChanged(path)
-    context, package, conf = _hadoop(spark, path)
-    staged = package.Path(path, f".{name}.pointer")
-    stream = staged.getFileSystem(conf).create(staged, True)
-    stream.write(bytearray(f"{name}\n{tag}\n".encode()))
-    stream.close()
-    context.rename(staged, package.Path(path, _POINTER), _overwrite(spark, package))
+    publish(spark, path, version, name, tag)
     if keep is not None:
         remove_old_snapshots(spark, path, keep)
     return f"{path}/{name}"
@@ -108,12 +152,6 @@ def remove_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
         context.delete(found[name][1], True)
 
 
-def _overwrite(spark: SparkSession, package):
-    options = spark.sparkContext._gateway.new_array(package.Options.Rename, 1)
-    options[0] = package.Options.Rename.OVERWRITE
-    return options
-
-
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Let a finished folder take the place of ``path``; the old one goes last."""
     context, package, _ = _hadoop(spark, path)

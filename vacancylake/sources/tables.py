@@ -15,10 +15,17 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     Published tables are read at their current snapshot; plain Parquet folders
     are read as they are. Filters and column choices reach the scan.
     """
+    return read_based(spark, root, name)[0]
+
+
+def read_based(spark: SparkSession, root: str, name: str) -> tuple[DataFrame, str]:
+    """The table, and the snapshot it was read at: empty if none was published."""
     if name not in schemas.TABLES:
         raise KeyError(f"unknown table: {name}")
     path = f"{root.rstrip('/')}/{name}"
-    return spark.read.schema(schemas.TABLES[name]).parquet(current_snapshot(spark, path) or path)
+    base = current_snapshot(spark, path) or ""
+    schema = schemas.TABLES[name]
+    return spark.read.schema(schema).parquet(base or path).select(*schema.names), base
 
 
 def find_by(df: DataFrame, **values: object) -> DataFrame:

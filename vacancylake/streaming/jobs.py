@@ -7,22 +7,15 @@ what earlier batches left in shared storage.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vacancylake import schemas
 from vacancylake.operators.detectors import anomalous_counts
 from vacancylake.operators.drift import drift_events
-from vacancylake.operators.identity import KEY, dedupe
-from vacancylake.operators.merge import upsert_jobs
-from vacancylake.sinks.tables import current_snapshot, current_tag, write_snapshot
-
-
-#: Snapshots of a streamed table that stay for readers, the current one included.
-KEPT_SNAPSHOTS = 3
+from vacancylake.operators.identity import KEY
+from vacancylake.sinks.listings import BUCKETS, merge_listings
 
 
 def stream_dedupe(records: DataFrame, event_time: str, watermark: str) -> DataFrame:
@@ -31,36 +24,29 @@ def stream_dedupe(records: DataFrame, event_time: str, watermark: str) -> DataFr
 
 
 def upsert_batches(
-    spark: SparkSession, path: str, seen_at: str, stream: str
+    path: str, seen_at: str, stream: str, buckets: int = BUCKETS
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function merging each batch into the table at ``path``.
-
-    With each snapshot goes the last batch of every stream merged so far; a batch
-    replayed after a failure is recognised and skipped, while other streams may
-    use the same numbers. ``stream`` names a stream for all its restarts. Times
-    come from the batch's own ``seen_at`` column. If another writer publishes
-    meanwhile, the batch fails with TableChanged and is merged anew at its restart.
+    """A ``foreachBatch`` function merging each batch into the bucketed table at ``path``.
+
+    Only buckets with keys of the batch are read and rewritten. The table notes the
+    last batch of every stream; a batch replayed after a failure is recognised and
+    skipped or finished, while other streams may use the same numbers. ``stream``
+    names a stream for all its restarts. Times come from the batch's own ``seen_at``
+    column. If another writer publishes meanwhile, the batch fails with TableChanged
+    and is merged anew at its restart.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = json.loads(current_tag(spark, path) or "{}")
-        if done.get(stream, -1) >= batch_id:
-            return
-        location = current_snapshot(spark, path)
-        reader = spark.read.schema(schemas.JOBS)
-        current = (
-            reader.parquet(location) if location else spark.createDataFrame([], schemas.JOBS)
-        )
-        now = batch.agg(F.max(seen_at)).scalar()
-        merged = upsert_jobs(current, dedupe(batch), now).drop("op")
-        write_snapshot(merged, path, tag=json.dumps({**done, stream: batch_id}), base=location, keep=KEPT_SNAPSHOTS)
+        merge_listings(batch, path, F.max(seen_at), stream, batch_id, buckets)
 
     return merge
 
 
-def stream_upsert(records: DataFrame, path: str, checkpoint: str, seen_at: str = "seen_at"):
+def stream_upsert(
+    records: DataFrame, path: str, checkpoint: str, seen_at: str = "seen_at", buckets: int = BUCKETS
+):
     """Start merging a stream of records into a listings table; its checkpoint names the stream."""
-    merge = upsert_batches(records.sparkSession, path, seen_at, checkpoint)
+    merge = upsert_batches(path, seen_at, checkpoint, buckets)
     return _start(records, merge, checkpoint)
 
 
