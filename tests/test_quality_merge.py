@@ -91,6 +91,25 @@ def test_hot_key_with_exact_copies_keeps_every_row(spark):
     assert union == Counter(rows)
 
 
+def test_hot_keys_are_found_and_only_they_are_repeated(spark):
+    facts = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") + 100).alias("k"),
+        F.lit("same").alias("v"),
+    ).repartition(6)
+    dim = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    hashes = dict(facts.select(F.xxhash64("k"), "k").distinct().collect())
+    assert sorted((hashes[h] for h in spread.hot_keys(facts, ["k"], 8)), key=str) == [7, None]
+    got = spread.attach(facts, dim, ["k"], "left", limit=-1, salts=5)
+    same = lambda df: sorted(map(str, df.collect()))
+    assert same(got) == same(facts.join(F.broadcast(dim), "k", "left"))
+    # equal rows of a hot key, null ones too, are divided; a cold key's dimension row appears once
+    hot = F.xxhash64("k").isin(spread.hot_keys(facts, ["k"], 8))
+    salt = F.pmod(F.xxhash64(spread.row_salt(facts, 1 << 30), F.spark_partition_id()), F.lit(5))
+    salts = facts.filter(hot).groupBy("k").agg(F.count_distinct(salt).alias("n")).collect()
+    assert len(salts) == 2 and all(r.n > 1 for r in salts)
+    assert spread.hot_keys(facts.filter("false"), ["k"]) == []
+
+
 @pytest.mark.parametrize("limit", [spread.BROADCAST_LIMIT, -1])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
 def test_attach_gives_plain_join_results(spark, how, limit):
