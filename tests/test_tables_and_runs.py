@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancylake import schemas
-from vacancylake.operators import lookup, quality
+from vacancylake.operators import lookup, quality, rollups
 from vacancylake.plans.monitoring import monitor
 from vacancylake.plans.snapshot import run_snapshot, store_run
 from vacancylake.sinks import exports, listings, tables as sinks
@@ -196,6 +196,19 @@ def test_a_merge_rewrites_only_the_buckets_it_touches(spark, tmp_path):
     assert files_of(tmp_path / "jobs") == after and listings.read_buckets(spark, path, []).count() == 0
 
 
+def test_counts_follow_the_merges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listings, "FOLDED", 3)
+    path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
+    assert listings.stored_counts(spark, path).collect() == []
+    for number in range(5):
+        batch = records(spark, [(k % 3, f"https://x/{k}", "t") for k in range(number, 4 * number + 2)] + [(None, f"n{number}", "t")])
+        status = F.when(F.col("pos") % (number + 2) == 0, "closed").otherwise("open")
+        listings.merge_listings(batch.withColumn("status", status), path, day, "w", number, buckets=4)
+        recount = rollups.status_counts(tables.read_table(spark, str(tmp_path), "jobs"))
+        assert sorted(map(str, listings.stored_counts(spark, path).collect())) == sorted(map(str, recount.collect()))
+    assert [json.loads(v.tag)["folded"] for v in sinks.versions(spark, path)] == [True, False, True, False, False]
+
+
 def test_a_merge_cut_off_is_finished_by_its_writer(spark, tmp_path, monkeypatch):
     path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
     listings.merge_listings(records(spark, [(1, "a", "old"), (None, "n", "old")]), path, day, "w", 0, buckets=4)

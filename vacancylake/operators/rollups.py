@@ -80,12 +80,37 @@ def run_success_pct(totals: DataFrame) -> DataFrame:
     )
 
 
+def status_counts(jobs: DataFrame) -> DataFrame:
+    """(company_id, status, n): listings per company and status."""
+    return jobs.groupBy("company_id", "status").agg(F.count("*").alias("n"))
+
+
+def status_moves(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What leads from the counts of ``before`` to those of ``after``; only rows that differ."""
+    lost = status_counts(before).withColumn("n", -F.col("n"))
+    return sum_counts(lost.unionByName(status_counts(after)))
+
+
+def sum_counts(counts: DataFrame) -> DataFrame:
+    """Counts and moves added up; what cancels out is left out."""
+    return counts.groupBy("company_id", "status").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
 def company_stats(companies: DataFrame, jobs: DataFrame, attempts: DataFrame) -> DataFrame:
     """Companies with listing counts and the time of their last attempt."""
-    counts = jobs.groupBy("company_id").agg(
-        F.count("*").alias("total_jobs"),
-        F.count_if(F.col("status") == "open").alias("open_jobs"),
-        F.count_if(F.col("status") == "closed").alias("closed_jobs"),
+    return company_stats_of(companies, status_counts(jobs), attempts)
+
+
+def company_stats_of(companies: DataFrame, counted: DataFrame, attempts: DataFrame) -> DataFrame:
+    """:func:`company_stats` from counts per company and status, stored or fresh."""
+
+    def n(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    counts = counted.groupBy("company_id").agg(
+        F.sum("n").alias("total_jobs"),
+        n(F.col("status") == "open").alias("open_jobs"),
+        n(F.col("status") == "closed").alias("closed_jobs"),
     )
     last = attempts.groupBy("company_id").agg(F.max("started_at").alias("last_run_at"))
     measures = ["total_jobs", "open_jobs", "closed_jobs"]

@@ -33,6 +33,7 @@ from vacancylake.plans.snapshot import SnapshotResult, run_snapshot, store_run
 from vacancylake.session import ensure_checkpoint_dir, materialize
 from vacancylake.sinks import exports
 from vacancylake.sinks import tables as sinks
+from vacancylake.sinks.listings import merge_listings, stored_counts
 from vacancylake.sources import ats, companies, html, pages, specs, tables
 from vacancylake.streaming import jobs as streams
 
@@ -2025,6 +2026,35 @@ def published_table(t: Tables) -> DataFrame:
     return rows.filter("status = 'open' and company_id < 20").select("id", "company_id", "status", "date_posted")
 
 
+_MERGED = cte("jobs", "companies", "attempts") + """, merged AS (
+        SELECT company_id, CASE WHEN id % 2 = 0 THEN 'closed' ELSE status END AS status
+        FROM jobs WHERE id % 3 <> 0 OR id % 2 = 0)"""
+
+
+def _merged_jobs(t: Tables) -> str:
+    """Listings merged in three batches, of which the second closes what the first brought or not."""
+    work = f"{_work(t)}/jobs"
+    records = t.jobs.withColumns({"page_no": F.lit(1), "pos": F.col("id")})
+    batches = (records.filter("id % 3 <> 0"), records.filter("id % 2 = 0").withColumn("status", F.lit("closed")),
+               records.filter("id % 3 = 1 and id % 2 = 1"))
+    for number, batch in enumerate(batches):
+        merge_listings(batch, work, now(), "batches", number, buckets=8)
+    return work
+
+
+@register(_MERGED + """
+    SELECT c.id, c.slug, coalesce(total_jobs, 0) AS total_jobs, coalesce(open_jobs, 0) AS open_jobs,
+           coalesce(closed_jobs, 0) AS closed_jobs
+    FROM companies c LEFT JOIN (
+        SELECT company_id, count(*) AS total_jobs, count(*) FILTER (status = 'open') AS open_jobs,
+               count(*) FILTER (status = 'closed') AS closed_jobs FROM merged GROUP BY company_id) m ON m.company_id = c.id""")
+def company_stats_from_merges(t: Tables) -> DataFrame:
+    """Listing counts moved along by three merges, equal to a full recount."""
+    counts = stored_counts(t.spark, _merged_jobs(t))
+    stats = rollups.company_stats_of(t.companies, counts, t.attempts)
+    return stats.select("id", "slug", "total_jobs", "open_jobs", "closed_jobs")
+
+
 @register(cte("attempts") + " SELECT id, run_id, status FROM attempts")
 def appended_rows(t: Tables) -> DataFrame:
     root = _work(t)

@@ -12,11 +12,15 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from vacancylake import schemas
 from vacancylake.operators.identity import KEY, dedupe
 from vacancylake.operators.merge import upsert_jobs
-from vacancylake.sinks.tables import TableChanged, Version, _hadoop, current_version, publish
+from vacancylake.operators.rollups import status_moves, sum_counts
+from vacancylake.sinks.tables import TableChanged, Version, _hadoop, current_version, publish, versions
 
 #: Buckets of a new table; a table keeps the number it was made with.
 BUCKETS = 64
 _ROWS = "rows"
+#: Moves that are added up for a reader before a merge stores the sum instead.
+FOLDED = 32
+_COUNTS = "company_id bigint, status string, n bigint"
 _WITH_BUCKET = StructType([*schemas.JOBS.fields, StructField("bucket", IntegerType())])
 
 
@@ -34,6 +38,24 @@ def read_buckets(spark: SparkSession, path: str, buckets: list[int] | None = Non
     return rows.select(*schemas.JOBS.names)
 
 
+def stored_counts(spark: SparkSession, path: str, upto: Version | None = None) -> DataFrame:
+    """(company_id, status, n) of the listings, kept up to date by every merge.
+
+    Adds the moves of the newest merges to the last stored sum; the listings
+    themselves are not read.
+    """
+    kept = [v for v in versions(spark, path) if upto is None or v.number <= upto.number]
+    folders, state = [], None
+    for version in reversed(kept):
+        state = json.loads(version.tag)
+        folders.append(f"{path}/{state['counts']}")
+        if state["folded"]:
+            break
+    if not folders:
+        return spark.createDataFrame([], _COUNTS)
+    return sum_counts(spark.read.schema(_COUNTS).parquet(*folders))
+
+
 def _marker(path: str, version: Version) -> str:
     return f"{path}/_versions/.{version.number:012d}.applied"
 
@@ -74,7 +96,8 @@ def merge_listings(
     """Merge one batch of records into the table at ``path``; returns the buckets rewritten.
 
     ``now`` may aggregate over the batch, as ``max("seen_at")`` does. Only buckets in
-    which the batch has keys are read and written. The merged rows
+    which the batch has keys are read and written; from their rows before and after
+    follow the moves of :func:`stored_counts`. The merged rows
     are staged, the next version is published with the batch's place (of several
     writers that read the same version one succeeds, the others get TableChanged),
     and then Spark overwrites the buckets. A batch whose ``writer`` has already
@@ -98,18 +121,26 @@ def merge_listings(
         return []
     current = read_buckets(spark, path, touched)
     merged = upsert_jobs(current, dedupe(records), F.timestamp_micros(F.lit(facts.now))).drop("op")
-    staged = f"_staged/{uuid.uuid4().hex}"
+    name = uuid.uuid4().hex
+    staged, counts = f"_staged/{name}", f"counts/{name}"
     shaped = merged.select(*[F.col(f.name).cast(f.dataType) for f in schemas.JOBS])
     tag = {
         "buckets": state["buckets"], "writer": writer, "staged": staged, "touched": touched,
+        "counts": counts, "folded": version is None or (version.number + 1) % FOLDED == 0,
         "done": {**state["done"], writer: number},
     }
     try:
         shaped.withColumn("bucket", bucket).write.parquet(f"{path}/{staged}")
+        after = spark.read.schema(_WITH_BUCKET).parquet(f"{path}/{staged}")
+        moves = status_moves(current, after)
+        if tag["folded"] and version is not None:
+            moves = sum_counts(moves.unionByName(stored_counts(spark, path, version)))
+        moves.coalesce(1).write.parquet(f"{path}/{counts}")  # a row a company and status
         publish(spark, path, version, _ROWS, json.dumps(tag))
     except Exception as error:
         context, package, _ = _hadoop(spark, path)
-        context.delete(package.Path(f"{path}/{staged}"), True)
+        for folder in (staged, counts):
+            context.delete(package.Path(f"{path}/{folder}"), True)
         if current_version(spark, path) != version:  # files read here may be gone
             raise TableChanged(path) from error
         raise
