@@ -248,8 +248,8 @@ def plain_verdicts(rows):
     measured = [(i, lang, source, dict(zip(quality_rules.COUNTS, plain_counts(t)))) for i, t, lang, source in rows]
 
     def rate(c, rule):
-        top, bottom, units, _, _ = quality_rules.RATES[rule]
-        return units * c[top] // max(c[bottom], 1)
+        top, bottom, added, units, _, _ = quality_rules.RATES[rule]
+        return units * c[top] // max(c[bottom] + added, 1)
 
     def failed(c):
         return c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"]
@@ -268,8 +268,9 @@ def plain_verdicts(rows):
             cells.append(v >> shift << shift)
         cells.sort()
         q1, q3 = (cells[(k * len(cells) + 3) // 4 - 1] for k in (1, 3))
-        reach = 3 * max(q3 - q1, quality_rules.RATES[rule][3])
-        return (q1 - reach if quality_rules.RATES[rule][4] else -1), q3 + reach
+        *_, least, both = quality_rules.RATES[rule]
+        reach = 3 * max(q3 - q1, least)
+        return (q1 - reach if both else -1), q3 + reach
 
     out = []
     for i, lang, source, c in measured:

@@ -35,12 +35,13 @@ REACH = 3
 ENOUGH = 100
 _BITS = 6
 
-#: Measures: numerator, denominator, units of the rate, least quartile distance, judged below too.
+#: Measures: numerator, denominator and what is added to it (so that one line of three
+#: is no high rate), units of the rate, least quartile distance, judged below too.
 RATES = {
-    "symbols": ("n_symbols", "word_chars", 1_000_000, 30_000, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1_000_000, 100_000, False),
-    "repeats": ("n_repeat_words", "n_words", 1_000_000, 100_000, False),
-    "word_length": ("word_chars", "n_words", 1_000, 500, True),
+    "symbols": ("n_symbols", "word_chars", 0, 1_000_000, 30_000, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 5, 1_000_000, 100_000, False),
+    "repeats": ("n_repeat_words", "n_words", 0, 1_000_000, 100_000, False),
+    "word_length": ("word_chars", "n_words", 0, 1_000, 500, True),
 }
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
@@ -120,8 +121,8 @@ def base_failed(m: str) -> Column:
 
 
 def rate(name: str, m: str) -> Column:
-    top, bottom, units, _, _ = RATES[name]
-    return F.expr(f"{units} * {m}.{top} div greatest({m}.{bottom}, 1)")
+    top, bottom, added, units, _, _ = RATES[name]
+    return F.expr(f"{units} * {m}.{top} div greatest({m}.{bottom} + {added}, 1)")
 
 
 def cell(value: Column) -> Column:
@@ -153,7 +154,7 @@ def limits(cells: DataFrame, *group: str) -> DataFrame:
     quartile = [F.min(F.when(F.col("upto") >= F.expr(f"({k} * total + 3) div 4"), F.col("cell"))).alias(f"q{k}") for k in (1, 3)]
     quartiles = ranked.groupBy(*group, "rule").agg(F.max("total").alias("total"), *quartile)
     columns = [F.max("total").alias("docs")]
-    for name, (_, _, _, least, both) in RATES.items():
+    for name, (*_, least, both) in RATES.items():
         reach = F.greatest(F.col("q3") - F.col("q1"), F.lit(least)) * REACH
         own = F.col("rule") == name
         columns.append(F.max(F.when(own, F.col("q3") + reach)).alias(f"high_{name}"))
@@ -237,8 +238,8 @@ def keep_good(documents: DataFrame) -> DataFrame:
 
 def _sql() -> str:
     rates = " UNION ALL ".join(
-        f"SELECT r, doc_id, lang, source, '{name}' AS rule, {units}::BIGINT * {top} // greatest({bottom}, 1) AS v FROM measured"
-        for name, (top, bottom, units, _, _) in RATES.items()
+        f"SELECT r, doc_id, lang, source, '{name}' AS rule, {units}::BIGINT * {top} // greatest({bottom} + {added}, 1) AS v FROM measured"
+        for name, (top, bottom, added, units, _, _) in RATES.items()
     )
     least = "CASE rule " + " ".join(f"WHEN '{name}' THEN {least}" for name, (*_, least, _) in RATES.items()) + " END"
     both = ", ".join(f"'{name}'" for name, (*_, both) in RATES.items() if both)
