@@ -40,7 +40,7 @@ LEAST_COUNT = 3
 #: Of so many checksums one loses a letter.
 EVERY = 97
 #: Bytes of a list beyond which it is dealt out in parts.
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18
 #: Words whose questions go down the list together, and rows read before a scan.
 QUESTIONS = 20_000
 ROWS = 50_000
@@ -317,7 +317,9 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     rows = rows.withColumn("own", F.pmod(F.xxhash64("word", F.lit(7)), "parts").cast("int"))
     rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     rows = rows.withColumn("listed", F.col("part") == F.col("own"))
-    dealt = rows.repartition(*lists, "part").sortWithinPartitions(*lists, "part", F.desc("listed"), "spelled")
+    # a fixed number: small rows, but much work for each
+    tasks = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(tasks, *lists, "part").sortWithinPartitions(*lists, "part", F.desc("listed"), "spelled")
     dealt = dealt.select("b", "turned", "part", "list", "listed", "spelled", "n")
     near = dealt.mapInArrow(_near, _NEAR)
     none = vocabulary.select("word", "n", F.lit(0).cast("bigint").alias("n_near"),
