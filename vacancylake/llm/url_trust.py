@@ -22,8 +22,6 @@ DAMPING = 0.85
 ROUNDS = 8
 #: Scores this share apart count as equal, and equal scores allow. A share, since masses shrink as hosts are added.
 TIE = 1e-9
-#: The checking SQL's margin, absolute: there scores under it count as none.
-MARGIN = 1e-9
 
 
 class Rule(NamedTuple):
@@ -163,6 +161,6 @@ def judge_sql(rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS, damping: fl
     parts.append("scores AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS trust, "
                  f"coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS distrust FROM state{rounds} GROUP BY host)")
     return "WITH " + ",\n".join(parts) + (
-        "\nSELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN distrust > trust + "
-        f"{MARGIN!r} THEN 'block' ELSE 'allow' END) AS verdict FROM ruled LEFT JOIN scores USING (host)"
+        "\nSELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN distrust > trust * "
+        f"(1 + {TIE!r}) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled LEFT JOIN scores USING (host)"
     )
