@@ -150,6 +150,10 @@ def test_a_replayed_batch_finds_the_same(spark, feed, tmp_path):
     for part, number in ((F.col("ts") < cut, 0), (F.col("ts") >= cut, 1), (F.col("ts") >= cut, 1)):
         step(batch.filter(part), number)
     same(detectors.anomalous_counts(batch).select("source", "id", "type"), streams.findings(spark, path).drop("batch"))
+    for number in range(2, 6):  # what is kept does not grow with the number of batches
+        step(batch.filter("false"), number)
+    assert sorted(p.name for p in tmp_path.glob("out/tails/*")) == ["4", "5"]
+    assert spark.read.parquet(f"{path}/tails/5").count() <= 9 * batch.select("source").distinct().count()
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

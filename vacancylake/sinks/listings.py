@@ -13,7 +13,7 @@ from vacancylake import schemas
 from vacancylake.operators.identity import KEY, dedupe
 from vacancylake.operators.merge import upsert_jobs
 from vacancylake.operators.rollups import status_moves, sum_counts
-from vacancylake.sinks.tables import TableChanged, Version, _hadoop, current_version, publish, versions
+from vacancylake.sinks.tables import TableChanged, Version, _hadoop, current_version, publish, remove_folder, versions
 
 #: Buckets of a new table; a table keeps the number it was made with.
 BUCKETS = 64
@@ -84,10 +84,10 @@ def finish_merge(spark: SparkSession, path: str) -> None:
     dealt = staged.repartition(max(1, len(state["touched"])), "bucket")
     writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("bucket").parquet(f"{path}/{_ROWS}")
-    context, package, conf = _hadoop(spark, path)
+    _, package, conf = _hadoop(spark, path)
     marker = package.Path(_marker(path, version))
     marker.getFileSystem(conf).create(marker, True).close()
-    context.delete(package.Path(f"{path}/{state['staged']}"), True)
+    remove_folder(spark, f"{path}/{state['staged']}")
 
 
 def merge_listings(
@@ -138,9 +138,8 @@ def merge_listings(
         moves.coalesce(1).write.parquet(f"{path}/{counts}")  # a row a company and status
         publish(spark, path, version, _ROWS, json.dumps(tag))
     except Exception as error:
-        context, package, _ = _hadoop(spark, path)
         for folder in (staged, counts):
-            context.delete(package.Path(f"{path}/{folder}"), True)
+            remove_folder(spark, f"{path}/{folder}")
         if current_version(spark, path) != version:  # files read here may be gone
             raise TableChanged(path) from error
         raise

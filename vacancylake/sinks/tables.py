@@ -152,6 +152,13 @@ def remove_old_snapshots(spark: SparkSession, path: str, keep: int = 2) -> None:
         context.delete(found[name][1], True)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    context, package, _ = _hadoop(spark, path)
+    if context.util().exists(package.Path(path)):
+        context.delete(package.Path(path), True)
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Let a finished folder take the place of ``path``; the old one goes last."""
     context, package, _ = _hadoop(spark, path)

@@ -16,6 +16,7 @@ from vacancylake.operators.detectors import anomalous_counts
 from vacancylake.operators.drift import drift_events
 from vacancylake.operators.identity import KEY
 from vacancylake.sinks.listings import BUCKETS, merge_listings
+from vacancylake.sinks.tables import remove_folder
 
 
 def stream_dedupe(records: DataFrame, event_time: str, watermark: str) -> DataFrame:
@@ -67,7 +68,7 @@ def detect_batches(
     Each batch is judged together with the last ``depth`` rows of every key that
     the batch before left under ``path/tails``; findings go to
     ``path/found/batch=N``. A replayed batch reads the same tails and overwrites
-    its own output. ``detect`` must carry the column ``_new`` along. A late row is
+    its own output; tails two batches old are removed. ``detect`` must carry the column ``_new`` along. A late row is
     judged among the rows still kept, and changes no earlier finding. ``path``
     belongs to one checkpoint.
     """
@@ -84,6 +85,8 @@ def detect_batches(
         # the rank filter runs below the exchange: a hot key sends ``depth`` rows a task
         tails = rows.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= depth)
         tails.select(*columns).write.mode("overwrite").parquet(f"{path}/tails/{batch_id}")
+        if batch_id > 1:  # a replay of this batch reads the tails before it, none older
+            remove_folder(spark, f"{path}/tails/{batch_id - 2}")
 
     return step
 
