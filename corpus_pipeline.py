@@ -1,4 +1,8 @@
-"""Corpus pipeline: drop toxic documents, near duplicates and benchmark leaks, then encode."""
+"""Corpus pipeline: drop toxic documents, near duplicates and benchmark leaks, then encode.
+
+Every stage takes any table with the columns of documents, empty ones too, and
+keeps rows with null ids or texts unless it says otherwise.
+"""
 
 from __future__ import annotations
 
@@ -10,19 +14,23 @@ from vacancylake.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not judged toxic; null and empty texts hold no evidence and stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies; texts without a word are no copies and stay."""
     return ngram_join.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item; null and empty texts hold none."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, intact) of each document; null texts are empty."""
     return bpe.round_trip(docs)
 
 
@@ -33,7 +41,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: Fitted weights and merge rounds are no SQL; tests compare with a brute-force run.
+#: Fitted weights and merge rounds are no SQL; tests/llm/test_pipeline.py compares with a plain run.
 ORACLE_SQL = None
 
 
