@@ -452,6 +452,94 @@ def test_main_text_is_searched_for_on_every_page_and_kept_whole():
     assert of(f"<article>{p(first)}</article>{p(*tiny)}<article>{p(second)}</article>") == [first, second]
 
 
+def test_main_text_is_not_lost_to_class_names():
+    of = lambda page: html_text.main_lines(html_text.lines_of(page))
+    body, more, own = prose(60, 1), prose(40, 2), "<p>own</p>"
+    for name in ("content no-sidebar", "with-sidebar", "login-tutorial", "entry-header", "socialHistory"):
+        assert of(f"<div class='{name}'><p>{body}</p></div><p>{more}</p>") == [body, more], name
+    for name in ("sidebar", "site-footer", "relatedPosts", "main ad-slot", "comment-list", "user_comments", "discussion"):
+        assert of(f"<div class='{name}'><p>{more}</p></div><p>{body}</p>") == [body], name
+    assert of(f"<article><div class='entry-header'><h1 class=page-header>T</h1></div><section class=social-history>{own}</section>"
+              f"<div class=notice>{own}</div><div class=related>{own}</div><p>{body}</p></article>") == ["T", "own", "own", body]
+    # a bad name around nearly all text is no reason, a bad name inside it still is; comments stay out
+    assert of(f"<p>Home</p><div class=banner><p>{body}</p><div class=ads>{own}</div><p>{more}</p></div>")[-2:] == [body, more]
+    assert of(f"<p>Home</p><div id=comments><p>{body}</p><p>{more}</p></div>") == ["Home"]
+    assert of(f"<div class=related><article>{own}</article></div><p>{body}</p>") == [body]
+    # a small mark does not outweigh the page
+    assert of(f"<article>{own}</article><p>{body}</p><p>{more}</p>") == ["own", body, more]
+
+
+def test_main_text_keeps_lines_around_dropped_inline_elements():
+    of = lambda page: html_text.main_lines(html_text.lines_of(page))
+    body = prose(60, 1)
+    assert of(f"<p>Press <button>OK</button> to go on</p><p>{body}</p>") == ["Press to go on", body]
+    assert of(f"<p>a<span hidden>b<span>c</span></span>d</p><p>{body}") == ["a d", body]
+    assert of(f"<p>a <button>OK</p><p>{body}</p>") == ["a", body]
+    assert of(f"<p>a <select><option>x<li>y</select> b</p><p>{body}</p>") == ["a b", body]
+    assert of("<button>only") == []
+
+
+def test_main_text_without_marks_leaves_menu_and_rights_out():
+    of = lambda page: html_text.main_lines(html_text.lines_of(page))
+    body, more = prose(60, 1), prose(30, 2)
+    links = "<div><a href=/>Home</a></div><div><a href=/a>About</a> <a href=/b>us</a></div>"
+    assert of(links + f"<h1>T</h1><p>{body}</p><p>{more}</p><p>&copy; 2024 A. All rights reserved.</p>") == ["T", body, more]
+    assert of(f"<p>Home</p><p>About</p><h1>T</h1><p>{body}</p>{links}") == ["T", body]
+    assert of(f"<p>{body}</p>{links}<p>{more}</p>") == [body, "Home", "About us", more]
+    assert of(links) == ["Home", "About us"]
+
+
+def test_main_text_of_marked_pages_against_plain_search(spark):
+    """Whole pages, marked or not, against the definition read off line by line."""
+    r = random.Random(8)
+
+    def plain(lines):
+        lines = [line for line in lines if not line.dropped]
+        sizes = [len(line.text) for line in lines]
+        inside = sum(n for n, line in zip(sizes, lines, strict=True) if line.mark)
+        if inside and 4 * inside >= sum(sizes) - inside:
+            sizes = [n if line.mark else 0 for n, line in zip(sizes, lines, strict=True)]
+            reach = {m: [k for k, line in enumerate(lines) if line.mark == m] for m in {line.mark for line in lines} - {0}}
+        else:
+            reach = {}
+        spans = [reach.get(line.mark, [k]) for k, line in enumerate(lines)]
+        total = [sum(sizes[k : k + 3]) for k in range(len(sizes))]
+        surge = min(80, max(total, default=0) // 2 if max(total, default=0) % 2 == 0 else max(total) / 2)
+        found, k = [], 0
+        while k < len(sizes):
+            if not sizes[k] or total[k] < surge:
+                k += 1
+                continue
+            begin, end = spans[k][0], spans[k][-1] + 1
+            while end < len(sizes) and (end + 3 > len(sizes) or 4 * sum(sizes[end : end + 3]) >= surge):
+                end = spans[end][-1] + 1
+            found.append([begin, end])
+            k = end
+        joined = found[:1]
+        for begin, end in found[1:]:
+            a, b = joined[-1]
+            if sum(sizes[b:begin]) < min(sum(sizes[a:b]), sum(sizes[begin:end])):
+                joined[-1][1] = end
+            else:
+                joined.append([begin, end])
+        best = max(joined, key=lambda s: sum(sizes[s[0] : s[1]]), default=[0, 0])
+        return [line.text for n, line in list(zip(sizes, lines, strict=True))[best[0] : best[1]] if n]
+
+    pages = []
+    for k in range(200):
+        blocks = [f"<p>{prose(r.choice((1, 2, 4, 30, 60)), 50 * k + j)}x</p>" for j in range(r.randint(1, 14))]
+        for _ in range(r.randint(0, 2)):
+            a = r.randrange(len(blocks))
+            b = r.randrange(a, len(blocks))
+            blocks[a], blocks[b] = "<article>" + blocks[a], blocks[b] + "</article>"
+        blocks.insert(r.randrange(len(blocks) + 1), "<ul class=menu><li>a<li>b<li>c</ul>")
+        pages.append((None if k == 5 else k // 2, "u", "".join(blocks)))
+    pages += [pages[0], (999, "u", f"<p>{prose(200_000, 7)}</p>")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    expected = sorted("\n\n".join(plain(html_text.lines_of(page))) for *_, page in pages)
+    assert sorted(row.text for row in html_text.extract(df).collect()) == expected
+
+
 # 10
 
 
