@@ -100,6 +100,48 @@ def test_timeout_pattern_against_brute_force(spark, max_group_rows):
     assert got == brute_timeouts(rows, 300, 3)
 
 
+def brute_stretches(rows, window, limit):
+    found = {}
+    for at in {at for _, at in rows}:
+        inside = [(s, other) for s, other in rows if at - window < other <= at]
+        arrivals = sum(other == at for _, other in inside)
+        if len(inside) >= limit > len(inside) - arrivals:
+            first = min(i for i, (_, other) in enumerate(rows) if other == at)
+            found[first] = (len(inside), {s for s, _ in inside if s is not None})
+    return found
+
+
+@pytest.mark.parametrize("max_group_rows", [ordered.MAX_GROUP_ROWS, 20])
+@pytest.mark.parametrize("limit", [1, 3, 6])
+def test_timeout_stretches_against_brute_force(spark, max_group_rows, limit):
+    """A hot bucket, ties, windows over the borders of buckets, null sources and times."""
+    rng = random.Random(limit)
+    rows = [(f"s{rng.randrange(5)}", rng.randrange(300)) for _ in range(60)]
+    rows += [(rng.choice(["a", "b", "c", "d", None]), rng.randrange(60) * 100) for _ in range(60)]
+    rows += [(f"s{rng.randrange(9)}", rng.randrange(20_000)) for _ in range(120)]
+    events = timeouts_of(spark, rows).union(spark.createDataFrame([("x", None, -1)], "source string, ts timestamp, id bigint"))
+    expected = brute_stretches(rows, 300, limit)
+    got = detectors.timeout_stretches(events, 300, limit, max_group_rows).collect()
+    assert {r.event_id: (r.timeout_count, r.n_sources) for r in got} == {i: (n, len(s)) for i, (n, s) in expected.items()}
+    assert len(got) == len(expected) > 0
+    named = detectors.stretch_sources(events, 300, limit, max_group_rows).collect()
+    assert sorted((r.event_id, r.source) for r in named) == sorted((i, s) for i, (_, names) in expected.items() for s in names)
+    assert detectors.stretch_sources(events.limit(0), 300, limit).collect() == []
+
+
+def test_hundred_thousand_sources_in_one_window(spark):
+    """Rows out stay linear in the events, and no list of sources is made."""
+    n = 100_000
+    events = spark.range(n).select(
+        F.concat(F.lit("s"), F.col("id")).alias("source"),
+        F.timestamp_micros(F.col("id") * 1000 + 1_700_000_000_000_000).alias("ts"), "id",
+    )
+    assert [tuple(r)[1:] for r in detectors.timeout_stretches(events).collect()] == [(2, 3, 3)]
+    assert {r.source for r in detectors.stretch_sources(events).collect()} == {"s0", "s1", "s2"}
+    last = detectors.timeout_sweep(events).orderBy(F.desc("ts")).first()
+    assert (last.timeout_count, last.n_sources, last.n_instants) == (n, n, n)
+
+
 def hot_counts(spark, n=600):
     """One source owns two thirds of the rows."""
     rng = random.Random(5)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from vacancylake.operators.ordered import MAX_GROUP_ROWS, lookback, running_sum
+from vacancylake.operators.ordered import MAX_GROUP_ROWS, lookback, running_sum, running_sums
 from vacancylake.operators.spread import attach
+from vacancylake.session import materialize
 
 _ORDER = ["ts", "id"]
 
@@ -209,6 +210,131 @@ def detect_timeout_pattern(
     )
 
 
+def timeout_sweep(
+    timeouts: DataFrame, window_s: int = 300, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Every instant (ts) with timeouts: what its trailing window holds, without listing it.
+
+    Adds to (ts, event_id: the least id): ``arrivals`` at the instant itself, and
+    of the window ``timeout_count``, ``n_sources`` (distinct, nulls are none) and
+    ``n_instants``, besides ``bucket``, the number ``place`` of the instant in its
+    bucket of the window's length and ``places_before``, those of the bucket before.
+
+    A source's timeouts of one bucket put it into every window from its first one
+    to the bucket's end, and on into the next bucket until its last one is too old.
+    So a source is two spans a bucket at most, whatever its number of timeouts, and
+    all counts are sums of steps that an ordered sweep of each bucket adds up.
+    """
+    span = window_s * 1_000_000
+    at = F.unix_micros("ts")
+    home = timeouts.filter("ts is not null").select("id", "source", at.alias("at"), F.floor(at / span).alias("bucket"))
+    instants = home.groupBy("bucket", "at").agg(F.count(F.lit(1)).alias("arrivals"), F.min("id").alias("event_id"))
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def steps(rows: DataFrame, bucket: Column, when: Column, **given: Column) -> DataFrame:
+        names = ("arrivals", "counted", "sources", "instants", "places", "places_before")
+        return rows.select(
+            bucket.alias("bucket"), when.cast("bigint").alias("at"),
+            *[given.get(name, zero).cast("bigint").alias(name) for name in names],
+            given.get("event_id", F.lit(None)).cast("bigint").alias("event_id"),
+        )
+
+    n, bucket, here = F.col("arrivals"), F.col("bucket"), F.col("at")
+    following = bucket + 1
+    arriving = steps(instants, bucket, here, arrivals=n, counted=n, instants=one, places=one, event_id=F.col("event_id"))
+    leaving = steps(instants, following, here + span, counted=-n, instants=-one)
+    per_bucket = instants.groupBy("bucket").agg(F.sum("arrivals").alias("arrivals"), F.count(F.lit(1)).alias("n"))
+    opening = steps(per_bucket, following, following * span, counted=n, instants=F.col("n"), places_before=F.col("n"))
+
+    spans = home.filter("source is not null").groupBy("bucket", "source").agg(
+        F.min("at").alias("first"), F.max("at").alias("last")
+    )
+    both = (
+        spans.select("bucket", "source", "first", F.lit(None).cast("bigint").alias("gone"))
+        .union(spans.select(following, "source", F.lit(None).cast("bigint"), F.col("last") + span))
+        .groupBy("bucket", "source").agg(F.max("first").alias("first"), F.max("gone").alias("gone"))
+    )
+    first, gone = F.col("first"), F.col("gone")
+    step = lambda when, value: F.struct(when.alias("when"), F.lit(value).cast("bigint").alias("value"))
+    apart = gone.isNotNull() & (first.isNull() | (first > gone))
+    edges = F.array_compact(F.array(
+        F.when(gone.isNotNull(), step(bucket * span, 1)),
+        F.when(apart, step(gone, -1)),
+        F.when(first.isNotNull() & (gone.isNull() | apart), step(first, 1)),
+    ))
+    present = both.select("bucket", F.explode(edges).alias("edge"))
+    moving = steps(present, bucket, F.col("edge.when"), sources=F.col("edge.value"))
+
+    summed = ("arrivals", "counted", "sources", "instants", "places", "places_before")
+    swept = arriving.unionByName(leaving).unionByName(opening).unionByName(moving).groupBy("bucket", "at").agg(
+        *[F.sum(name).alias(name) for name in summed], F.min("event_id").alias("event_id")
+    )
+    totals = {
+        "timeout_count": F.col("counted"), "n_sources": F.col("sources"), "n_instants": F.col("instants"),
+        "place": F.col("places"), "before": F.col("places_before"),
+    }
+    counted = running_sums(swept, ["bucket"], "at", totals, max_group_rows).filter("arrivals > 0")
+    return counted.select(
+        F.timestamp_micros("at").alias("ts"), "event_id", "arrivals", *list(totals)[:3], "bucket", "place",
+        F.col("before").alias("places_before"),
+    )
+
+
+def _starts(swept: DataFrame, max_timeouts: int) -> DataFrame:
+    before = F.col("timeout_count") - F.col("arrivals")
+    return swept.filter((F.col("timeout_count") >= max_timeouts) & (before < max_timeouts))
+
+
+def timeout_stretches(
+    timeouts: DataFrame, window_s: int = 300, max_timeouts: int = 3, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """One row for each stretch of time over the limit: what its first instant shows.
+
+    (detected_at, event_id, timeout_count, n_sources). A stretch begins when the
+    trailing window comes to hold ``max_timeouts`` timeouts (ts, id, source) and
+    ends when it holds fewer, be it only between two timeouts. Timeouts without a
+    time count nowhere, those without a source name none.
+    """
+    starts = _starts(timeout_sweep(timeouts, window_s, max_group_rows), max_timeouts)
+    return starts.select(F.col("ts").alias("detected_at"), "event_id", "timeout_count", "n_sources")
+
+
+def stretch_sources(
+    timeouts: DataFrame, window_s: int = 300, max_timeouts: int = 3, max_group_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """The sources in the first window of each stretch, one row each: (detected_at, event_id, source).
+
+    A stretch's first window holds fewer than ``max_timeouts`` timeouts besides those
+    of its first instant, so there are no more rows than timeouts times the limit. They are found by
+    place: a window is so many instants back from its own, each an equality join.
+    """
+    span = window_s * 1_000_000
+    swept = materialize(timeout_sweep(timeouts, window_s, max_group_rows))
+    starts = _starts(swept, max_timeouts)
+    back = starts.select(
+        F.col("ts").alias("detected_at"), "event_id", "bucket", "places_before",
+        F.explode(F.sequence(F.col("place") - F.col("n_instants") + 1, F.col("place"))).alias("place"),
+    )
+    earlier = F.col("place") < 1
+    wanted = back.select(
+        "detected_at", "event_id",
+        F.when(earlier, F.col("bucket") - 1).otherwise(F.col("bucket")).alias("bucket"),
+        F.when(earlier, F.col("place") + F.col("places_before")).otherwise(F.col("place")).alias("place"),
+    )
+    at = F.unix_micros("ts")
+    named = timeouts.filter("ts is not null and source is not null").select(
+        "ts", F.floor(at / span).alias("bucket"), "source"
+    ).distinct()
+    instants = swept.select("bucket", "place", "ts")
+    return (
+        wanted.join(instants, ["bucket", "place"])
+        .select("detected_at", "event_id", "bucket", "ts")
+        .join(named, ["bucket", "ts"])
+        .select("detected_at", "event_id", "source")
+        .distinct()
+    )
+
+
 def run_alert_rules(
     runs: DataFrame,
     attempts: DataFrame,

@@ -93,11 +93,23 @@ def running_sum(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Cumulative sum per key; rows with equal ``order`` all see each other."""
-    rows = df.withColumn("_value", value)
+    return running_sums(df, keys, order, {name: value}, max_group_rows)
+
+
+def running_sums(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    values: dict[str, Column],
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Several cumulative sums per key in one sweep; rows with equal ``order`` all see each other."""
+    rows = df.withColumns({f"_value_{name}": value for name, value in values.items()})
+    own = [f"_value_{name}" for name in values]
     largest, total = group_sizes(rows, keys)
     if largest <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(order)
-        return rows.withColumn(name, F.sum("_value").over(window)).drop("_value")
+        return rows.withColumns({name: F.sum(f"_value_{name}").over(window) for name in values}).drop(*own)
 
     # Equal order values share a range partition, so no tie crosses a chunk.
     chunked = ordered_chunks(rows, keys, [order], _chunk_count(total, max_group_rows))
@@ -105,16 +117,16 @@ def running_sum(
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     subtotals = (
         chunked.groupBy(*chunk_keys)
-        .agg(F.sum("_value").alias("_subtotal"))
-        .withColumn("_before", F.coalesce(F.sum("_subtotal").over(earlier), F.lit(0)))
-        .drop("_subtotal")
+        .agg(*[F.sum(f"_value_{name}").alias(f"_subtotal_{name}") for name in values])
+        .withColumns({f"_before_{name}": F.coalesce(F.sum(f"_subtotal_{name}").over(earlier), F.lit(0)) for name in values})
+        .drop(*[f"_subtotal_{name}" for name in values])
     )
     window = Window.partitionBy(*chunk_keys).orderBy(order)
-    local = chunked.withColumn("_local", F.sum("_value").over(window))
+    local = chunked.withColumns({f"_local_{name}": F.sum(f"_value_{name}").over(window) for name in values})
     # Chunk numbers rise with the order, so subtotals join on (key, chunk): at
     # most one row per key plus one per partition.
     return (
         null_safe_join(local, subtotals, chunk_keys)
-        .withColumn(name, F.col("_local") + F.col("_before"))
-        .drop("_value", "_local", "_before", "_chunk")
+        .withColumns({name: F.col(f"_local_{name}") + F.col(f"_before_{name}") for name in values})
+        .drop(*own, *[f"_{part}_{name}" for name in values for part in ("local", "before")], "_chunk")
     )

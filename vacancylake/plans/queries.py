@@ -1414,6 +1414,27 @@ def detect_timeout_pattern(t: Tables) -> DataFrame:
     return found.select("event_id", "detected_at", "timeout_count", "source")
 
 
+_STRETCHES = cte("timeouts") + """, seen AS (
+    SELECT t.ts, min(t.id) AS event_id, count(*) AS arrivals FROM timeouts t GROUP BY t.ts),
+    stretches AS (
+    SELECT s.ts, s.event_id, count(*) AS timeout_count, count(DISTINCT e.source) AS n_sources
+    FROM seen s JOIN timeouts e ON e.ts > s.ts - INTERVAL '7200' SECOND AND e.ts <= s.ts
+    GROUP BY s.ts, s.event_id, s.arrivals HAVING count(*) >= 3 AND count(*) - s.arrivals < 3)"""
+
+
+@register(_STRETCHES + " SELECT ts AS detected_at, event_id, timeout_count, n_sources FROM stretches")
+def timeout_stretches(t: Tables) -> DataFrame:
+    return detectors.timeout_stretches(t.timeouts, window_s=7200)
+
+
+@register(_STRETCHES + """
+    SELECT DISTINCT s.ts AS detected_at, s.event_id, e.source
+    FROM stretches s JOIN timeouts e ON e.ts > s.ts - INTERVAL '7200' SECOND AND e.ts <= s.ts
+    WHERE e.source IS NOT NULL""")
+def timeout_stretch_sources(t: Tables) -> DataFrame:
+    return detectors.stretch_sources(t.timeouts, window_s=7200)
+
+
 _DRIFT = cte("snapshots") + """, w AS (
     SELECT *, list(match_count) OVER (PARTITION BY selector ORDER BY ts, id
                                       ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS h,
