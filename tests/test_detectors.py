@@ -199,13 +199,47 @@ def test_pacing_against_brute_force(spark, max_group_rows):
 @pytest.mark.parametrize("page,expected", [(1, 1), (4, 4), (10, 10), (99, 10), (0, 1)])
 def test_pages(spark, top_k_limit, page, expected):
     df = spark.createDataFrame([(i, None if i % 9 == 0 else i // 4) for i in range(95)], "id int, rank int")
-    order = [F.desc_nulls_last("rank"), F.asc("id")]
-    whole = [r.id for r in df.orderBy(*order).collect()]
+    order = [ranking.By("rank", descending=True, nulls_last=True), ranking.By("id")]
+    whole = [r.id for r in df.orderBy(F.desc_nulls_last("rank"), F.asc("id")).collect()]
     rows = ranking.paginate(df, page, 10, order, top_k_limit).collect()
     assert [r.id for r in rows] == whole[(expected - 1) * 10 : expected * 10]
     assert {(r.page, r.total_count, r.total_pages) for r in rows} == {(expected, 95, 10)}
 
 
+KEYS = ["", "a", "a\0", "a" * 7, "a" * 8, "a" * 30 + "x", "a" * 30 + "y", "a" * 30, "\u00e9", "\U0001f600", "\uffff", "Z", None]
+
+
+@pytest.mark.parametrize(
+    "key,descending,nulls_last", [("t", False, False), ("t", True, True), ("d", True, False), ("n", True, True), ("b", False, True), ("f", False, False)]
+)
+def test_deep_pages_over_every_kind_of_key(spark, key, descending, nulls_last):
+    """Ties of a third of all rows, pages across borders of nulls and of tied values."""
+    rng = random.Random(9)
+    rows = [
+        (i, "hot" if i % 3 == 0 else rng.choice(KEYS), rng.choice([None, START, START + timedelta(microseconds=1)]),
+         rng.choice([None, -(2**63), 2**63 - 1, 0, 0, 5]), rng.choice([True, False, None]), rng.choice([None, 0.5, -1.5, float("nan")]))
+        for i in range(120)
+    ]
+    df = spark.createDataFrame(rows, "id bigint, t string, d timestamp, n bigint, b boolean, f double").coalesce(1).cache()
+    order = [ranking.By(key, descending, nulls_last), ranking.By("id", descending=True)]
+    whole = [r.id for r in df.orderBy(*[by.column() for by in order]).collect()]
+    for page in (5, 11):
+        got = [r.id for r in ranking.paginate(df, page, 10, order, top_k_limit=20).collect()]
+        assert got == whole[(page - 1) * 10 : page * 10], page
+    df.unpersist()
+
+
+def test_a_deep_page_sorts_a_narrow_range_only(spark):
+    n, limit = 200_000, 20
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"))
+    order = [ranking.By("k"), ranking.By("id", descending=True)]
+    pieces = ranking.select_range(ranking._Piece(df, n, 150_000, limit), order, 1000)
+    assert sum(p.limit for p in pieces) == limit and all(p.rows.count() <= 2000 for p in pieces)
+    whole = [tuple(r) for r in df.orderBy("k", F.desc("id")).offset(150_000).limit(limit).collect()]
+    assert [tuple(r)[:2] for r in ranking.paginate(df, 7501, limit, order, 1000).collect()] == whole
+    assert ranking.paginate(df.limit(0), 3, 10, order, 1).collect() == []
+
+
 def test_alert_severity_is_ranked_by_order(spark):
     rows = [(s, False, "zero_jobs", "a") for s in quality.SEVERITIES] + [("critical", True, "zero_jobs", "a")]
     df = spark.createDataFrame(rows, "severity string, acknowledged boolean, alert_type string, source string")

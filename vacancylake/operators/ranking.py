@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from vacancylake.session import materialize
+from pyspark.sql import types as T
 
 # Rows per page of each list.
 PAGE_SIZES = {"jobs": 25, "companies": 20, "runs": 20}
@@ -13,6 +15,13 @@ PAGE_SIZES = {"jobs": 25, "companies": 20, "runs": 20}
 #: Rows a top-k may bring to the driver's merge of per-task results.
 TOP_K_LIMIT = 100_000
 
+#: Accuracy of the quantile sketch: ranks are off by at most this part of the rows.
+SKETCH_ACCURACY = 10_000
+
+#: Bytes of a string that one step of a selection compares. With the three bits of
+#: their number they stay below the 53 bits that the sketch, which counts in doubles, keeps.
+STEP_BYTES = 6
+
 
 def latest_run(runs: DataFrame) -> DataFrame:
     best = F.max_by(F.struct(*runs.columns), F.struct("started_at", "id"))
@@ -85,29 +94,82 @@ def export_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy("company_name", "title", "canonical_url")
 
 
+class By(NamedTuple):
+    """One key of an order: a column, its direction and where its nulls stand."""
+
+    name: str
+    descending: bool = False
+    nulls_last: bool = False
+
+    def column(self) -> Column:
+        place = "last" if self.nulls_last else "first"
+        return getattr(F, f"{'desc' if self.descending else 'asc'}_nulls_{place}")(self.name)
+
+    def steps(self, kind: T.DataType) -> list[Column] | None:
+        """Numbers that rise with the key, the first ones deciding; None if the type has none.
+
+        For strings they are the first of a series without end (:meth:`piece`).
+        """
+        value = F.col(self.name)
+        null = F.isnull(value).cast("bigint")
+        if isinstance(kind, T.IntegralType):
+            number = value.cast("bigint")
+        elif isinstance(kind, T.BooleanType):
+            number = value.cast("int").cast("bigint")
+        elif isinstance(kind, T.DateType):
+            number = F.unix_date(value).cast("bigint")
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            number = F.unix_micros(value.cast("timestamp"))
+        elif kind == T.StringType():
+            number = None
+        else:
+            return None
+        halves = [] if number is None else [F.shiftright(number, 32), number.bitwiseAND(0xFFFFFFFF)]
+        return [null if self.nulls_last else -null, *map(self._turned, halves)]
+
+    def piece(self, k: int) -> Column:
+        """A number for the k-th six bytes of a string, which orders them as the string does."""
+        part = F.substring(F.encode(self.name, "utf-8"), STEP_BYTES * k + 1, STEP_BYTES)
+        code = F.conv(F.rpad(F.hex(part), 2 * STEP_BYTES, "0"), 16, 10).cast("bigint")
+        return self._turned(code * 8 + F.octet_length(part))  # the length tells padding from zero bytes
+
+    def _turned(self, number: Column) -> Column:
+        # the complement turns the order round and cannot overflow
+        return F.coalesce(F.bitwise_not(number) if self.descending else number, F.lit(0))
+
+
+class _Piece(NamedTuple):
+    """Rows of which a part of the page is taken, by position among them."""
+
+    rows: DataFrame
+    count: int
+    start: int
+    limit: int
+
+
 def paginate(
     df: DataFrame,
     page: int,
     limit: int,
-    order: list[Column],
+    order: list[By],
     top_k_limit: int = TOP_K_LIMIT,
 ) -> DataFrame:
     """One page in a total order, with page, limit, total_count and total_pages.
 
-    ``order`` must end in a unique column. The page is clamped to the last one.
-    Early pages are a distributed top-k. A page deeper than ``top_k_limit`` is
-    found by position: rows are sorted into consecutive partitions and numbered
-    from the partitions' sizes, so nothing but the page itself is gathered.
+    ``order`` must end in a unique key. The page is clamped to the last one. Early
+    pages are a distributed top-k. For a page deeper than ``top_k_limit`` the rows
+    around it are selected first (:func:`select_range`), so that neither the table
+    is sorted nor written. Keys are integers, booleans, dates, timestamps or
+    strings; a deep page over another type sorts the rows equal in the keys before it.
     """
     total = df.count()
     pages = max(1, -(-total // limit))
     page = min(max(page, 1), pages)
     start = (page - 1) * limit
-    if start + limit <= top_k_limit:
-        rows = df.orderBy(*order).offset(start).limit(limit)
-    else:
-        chunks = max(2, -(-total // top_k_limit))
-        rows = _page_by_position(df, start, limit, order, chunks)
+    pieces = select_range(_Piece(df, total, start, min(limit, total - start)), order, top_k_limit)
+    columns = [key.column() for key in order]
+    taken = [piece.rows.orderBy(*columns).offset(piece.start).limit(piece.limit) for piece in pieces]
+    rows = reduce(DataFrame.union, taken).orderBy(*columns) if len(taken) > 1 else taken[0]
     return rows.select(
         "*",
         F.lit(page).alias("page"),
@@ -117,29 +179,56 @@ def paginate(
     )
 
 
-def _page_by_position(
-    df: DataFrame, start: int, limit: int, order: list[Column], chunks: int
-) -> DataFrame:
-    ranged = df.repartitionByRange(chunks, *order)
-    chunked = materialize(ranged.withColumn("_chunk", F.spark_partition_id()))
-    sizes = chunked.groupBy("_chunk").count().withColumn(
-        "_before",
-        F.coalesce(
-            F.sum("count").over(
-                Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    )
-    # Only the partitions the page touches are ranked.
-    touched = sizes.filter(
-        (F.col("_before") < start + limit) & (F.col("_before") + F.col("count") > start)
-    )
-    local = Window.partitionBy("_chunk").orderBy(*order)
-    return (
-        chunked.join(F.broadcast(touched), "_chunk")
-        .withColumn("_position", F.col("_before") + F.row_number().over(local))
-        .filter((F.col("_position") > start) & (F.col("_position") <= start + limit))
-        .orderBy("_position")
-        .drop("_chunk", "count", "_before", "_position")
-    )
+def select_range(wanted: _Piece, order: list[By], top_k_limit: int) -> list[_Piece]:
+    """Narrow row ranges that together hold the wanted positions, in order.
+
+    A quantile sketch of the deciding number, one pass over its column, tells
+    between which values the page lies; a recount makes sure of it, and only rows
+    between them go on. Where they cannot be narrowed, the rows split at the page's
+    first value into those before, equal and behind, of which the equal ones go on
+    to the next number. What remains are ranges whose wanted part is among their
+    first ``top_k_limit`` rows, or rows equal in every number.
+    """
+    kinds = {field.name: field.dataType for field in wanted.rows.schema.fields}
+    found: list[_Piece] = []
+    # what is still to be narrowed, last first: rows, key, and the number of the step within it
+    open_: list[tuple[_Piece, int, int]] = [(wanted, 0, 0)]
+    while open_:
+        piece, key, step = open_.pop()
+        rows, count, start, limit = piece
+        if start + limit <= top_k_limit or key == len(order):
+            found.append(piece)
+            continue
+        by = order[key]
+        steps = by.steps(kinds[by.name])
+        text = kinds[by.name] == T.StringType()
+        if steps is None:
+            found.append(piece)
+            continue
+        if step >= len(steps) and not text:
+            open_.append((piece, key + 1, 0))
+            continue
+        number = steps[step] if step < len(steps) else by.piece(step - len(steps))
+        length = F.max(F.octet_length(by.name)) if text else F.lit(0)
+        margin = 2 / SKETCH_ACCURACY
+        ranks = [max(0.0, start / count - margin), start / count, min(1.0, (start + limit) / count + margin)]
+        least, most, (low, pivot, high), longest = rows.agg(
+            F.min(number), F.max(number), F.percentile_approx(number, ranks, SKETCH_ACCURACY), length
+        ).first()
+        if least == most:
+            ended = text and step >= len(steps) and (longest or 0) <= STEP_BYTES * (step - len(steps) + 1)
+            open_.append((piece, key + 1, 0) if ended else (piece, key, step + 1))
+            continue
+        before, inside, less, equal = rows.agg(
+            F.count_if(number < low), F.count_if(number.between(low, high)),
+            F.count_if(number < pivot), F.count_if(number == pivot),
+        ).first()
+        if inside < count and before <= start and start + limit <= before + inside:
+            open_.append((_Piece(rows.filter(number.between(low, high)), inside, start - before, limit), key, step))
+            continue
+        ranges = [(number < pivot, 0, less, step), (number == pivot, less, equal, step + 1), (number > pivot, less + equal, count - less - equal, step)]
+        for keep, begin, size, following in reversed(ranges):
+            first, last = max(start, begin), min(start + limit, begin + size)
+            if first < last:
+                open_.append((_Piece(rows.filter(keep), size, first - begin, last - first), key, following))
+    return found or [wanted]

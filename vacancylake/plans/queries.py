@@ -1589,22 +1589,30 @@ def _page_sql(page: int, limit: int) -> str:
     FROM jobs ORDER BY date_posted DESC NULLS LAST, id LIMIT {limit} OFFSET {(page - 1) * limit}"""
 
 
-def _newest(t: Tables) -> list:
-    return [F.desc_nulls_last("date_posted"), F.asc("id")]
+#: Newest listings first, those without a date last.
+_NEWEST = [ranking.By("date_posted", descending=True, nulls_last=True), ranking.By("id")]
 
 
 @register(_page_sql(3, 25))
 def paginate(t: Tables) -> DataFrame:
-    rows = ranking.paginate(t.jobs, 3, 25, _newest(t))
+    rows = ranking.paginate(t.jobs, 3, 25, _NEWEST)
     return rows.select("id", "date_posted", "page", "page_limit", "total_count", "total_pages")
 
 
 @register(_page_sql(40, 25))
 def paginate_deep(t: Tables) -> DataFrame:
-    rows = ranking.paginate(t.jobs, 40, 25, _newest(t), top_k_limit=100)
+    rows = ranking.paginate(t.jobs, 40, 25, _NEWEST, top_k_limit=100)
     return rows.select("id", "date_posted", "page", "page_limit", "total_count", "total_pages")
 
 
+@register(cte("jobs") + """
+    SELECT id, title, CAST(7 AS BIGINT) AS page, (SELECT count(*) FROM jobs) AS total_count
+    FROM jobs ORDER BY title DESC NULLS LAST, id LIMIT 40 OFFSET 240""")
+def paginate_by_title(t: Tables) -> DataFrame:
+    by_title = [ranking.By("title", descending=True, nulls_last=True), ranking.By("id")]
+    return ranking.paginate(t.jobs, 7, 40, by_title, top_k_limit=100).select("id", "title", "page", "total_count")
+
+
 @register(cte("jobs") + " SELECT id, date_posted FROM jobs ORDER BY date_posted DESC NULLS LAST, id")
 def newest_jobs_first(t: Tables) -> DataFrame:
     return ranking.newest_jobs_first(t.jobs).select("id", "date_posted")
