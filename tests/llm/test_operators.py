@@ -543,6 +543,15 @@ def test_main_text_of_marked_pages_against_plain_search(spark):
 # 10
 
 
+def test_the_least_text_of_an_id_is_learnt_from(spark):
+    rows = [(1, "b"), (1, None), (1, "a"), (1, "c"), (2, "x"), (2, "x"), (None, "n"), (3, None)]
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 1), (None, 1)], "doc_id bigint, toxic int")
+    for order in (rows, rows[::-1]):
+        documents = spark.createDataFrame(order, "doc_id bigint, text string").repartition(3)
+        got = sorted(tuple(r) for r in toxicity.training_rows(documents, labels).select("doc_id", "text", "toxic").collect())
+        assert got == [(1, "a", 1), (2, "x", 0)]
+
+
 def test_toxic_sentences_are_learnt_from_document_labels(spark):
     r = random.Random(4)
     bad = ["scumbag", "moronic", "filthyrat"]

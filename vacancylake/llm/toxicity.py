@@ -159,7 +159,8 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """A bounded, repeatable sample of labelled rows that may be learnt from.
 
     Rows whose crc32(doc_id) mod 5 is 0, null labels and null ids are left out; a
-    document labelled twice counts as toxic if any row says so.
+    document labelled twice counts as toxic if any row says so. Of several texts of
+    one id the least in string order is learnt from.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (remainder("doc_id", 5) != 0))
     known = known.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -169,7 +170,7 @@ def training_rows(documents: DataFrame, labels: DataFrame) -> DataFrame:
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN ids, whatever the size of the tables
     ids = F.broadcast(picked[0].unionByName(picked[1]))
     texts = documents.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS)
-    return texts.join(ids, "doc_id").select("doc_id", "text", "toxic").dropDuplicates(["doc_id"])
+    return texts.join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Model:
@@ -233,7 +234,7 @@ def offending_sentences(documents: DataFrame, model: Model, threshold: float = T
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: (doc_id, held_out, score, predicted).
 
-    Repeated rows are scored each; a null doc_id is never held out.
+    Repeated rows are scored each, null and empty texts 0; a null doc_id is never held out.
     """
     scored = score(documents, train(documents, labels))
     return scored.select(
