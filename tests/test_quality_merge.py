@@ -91,6 +91,29 @@ def test_hot_key_with_exact_copies_keeps_every_row(spark):
     assert union == Counter(rows)
 
 
+@pytest.mark.parametrize("limit", [1 << 24, -1])
+def test_duplicates_move_no_wide_payload(spark, limit):
+    """Null keys are one key; equal positions and exact copies with nested payloads count each."""
+    rows = [(None, None, 1, 0, "t", {"a": "x"}, ["p" * 500])] * 3
+    rows += [(None, None, 1, i % 2, f"t{i}", {"a": str(i)}, None) for i in range(4)]
+    rows += [(1, None, None, None, "n", None, []), (1, "", None, None, "m", None, []), (1, "", 2, 0, None, None, [])]
+    rows += [(2, f"u{i}", 1, i, f"t{i}", {"a": None}, ["p" * 500]) for i in range(50)]
+    df = spark.createDataFrame(
+        rows, "company_id bigint, canonical_url string, page_no int, pos int, title string, tags struct<a:string>, body array<string>"
+    ).repartition(5)
+    plain = lambda d: d.withColumns({"tags": F.to_json("tags"), "body": F.to_json("body")})
+    dropped = identity.duplicates(df, limit=limit)
+    assert Counter(r.reason for r in dropped.collect())["Duplicate of m"] == 1
+    kept = [tuple(r) for r in plain(identity.dedupe(df).select(*df.columns)).collect()]
+    lost = [tuple(r) for r in plain(dropped.drop("reason")).collect()]
+    assert Counter(kept + lost) == Counter(tuple(r) for r in plain(df).collect())
+    assert len(lost) == 7
+    if limit > 0:  # only the kept rows' exact copies are grouped
+        plan = dropped._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert identity.duplicates(df.filter("false")).count() == 0
+
+
 def test_hot_keys_are_found_and_only_they_are_repeated(spark):
     facts = spark.range(4000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id") + 100).alias("k"),
