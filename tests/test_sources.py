@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from vacancylake import schemas
 from vacancylake.operators import extraction, lookup
+from vacancylake.sinks import tables as sinks
 from vacancylake.sources import ats, companies, html, markup, pages, specs
 
 CARDS = """<html><body><main>
@@ -343,3 +345,48 @@ def test_union_skips_frames_of_the_wrong_shape(spark):
     bad = spark.createDataFrame([(1,)], "x int")
     union, skipped = lookup.union_sources({"a": good, "b": bad})
     assert skipped == ["b"] and union.first().source == "a"
+
+
+def _page_rows(spark, n, start=0):
+    rows = [(f"s{i % 2}", i, f"https://x/{i}", 200, "text/html", "b" * i, None) for i in range(start, start + n)]
+    return spark.createDataFrame(rows, schemas.PAGES)
+
+
+@pytest.mark.parametrize("layout", ["parquet", "orc"])
+def test_unreadable_files_are_named(spark, tmp_path, layout):
+    root = tmp_path / layout
+    for number, (n, start) in enumerate([(5, 0), (7, 5), (0, 0)]):
+        _page_rows(spark, n, start).coalesce(1).write.format(layout).save(str(tmp_path / f"w{number}"))
+    root.mkdir()
+    parts = [next((tmp_path / f"w{number}").glob(f"part*.{layout}")) for number in (0, 1, 2)]
+    (root / f"good.{layout}").write_bytes(parts[0].read_bytes())
+    (root / f"cut.{layout}").write_bytes(parts[1].read_bytes()[:-40])
+    (root / f"nothing.{layout}").write_bytes(parts[2].read_bytes())
+    wrong = _page_rows(spark, 3).withColumn("status_code", F.lit("soon"))
+    wrong.coalesce(1).write.format(layout).save(str(tmp_path / "w3"))
+    (root / f"wrong.{layout}").write_bytes(next((tmp_path / "w3").glob(f"part*.{layout}")).read_bytes())
+    read = pages.read_checked_pages(spark, str(root), layout)
+    assert sorted(r.page_no for r in read.pages.filter("status_code = 200").collect()) == [0, 1, 2, 3, 4]
+    reasons = {r.file.rsplit("/", 1)[1]: r.reason for r in read.rejects.collect()}
+    assert reasons[f"cut.{layout}"] == reasons[f"nothing.{layout}"] == "No row could be read"
+    if layout == "parquet":  # the other layout's reader turns the word into null
+        assert reasons.pop("wrong.parquet") == "Only 0 of 3 rows could be read"
+    assert len(reasons) == 2
+    assert {r.file.rsplit("/", 1)[1] for r in read.files.collect()} == {f"{n}.{layout}" for n in ("good", "cut", "nothing", "wrong")}
+
+
+def test_unreadable_lines_are_named_and_kept_as_rejects(spark, tmp_path):
+    lines = ['{"source": "s", "page_no": 1, "body": "x", "status_code": 200}', '{"source": "s", "page_no": 2, "bo',
+             '{"source": "s", "page_no": 3, "status_code": "soon"}', '{"source": null, "page_no": 4}', ""]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    (tmp_path / "in" / "b.json").write_text(lines[0])
+    (tmp_path / "in" / "empty.json").write_text("")  # passed over
+    read = pages.read_checked_pages(spark, str(tmp_path / "in"), "json")
+    assert sorted((r.page_no, r.body) for r in read.pages.collect()) == [(1, "x"), (1, "x"), (4, None)]
+    assert sorted(r.record for r in read.rejects.collect()) == sorted(lines[1:3])
+    ledger = {r.file.rsplit("/", 1)[1]: (r["rows"], r.rejected) for r in read.files.collect()}
+    assert ledger == {"a.json": (4, 2), "b.json": (1, 0)}
+    sinks.write_rejects(read.rejects, str(tmp_path / "rejects"), "read", 4)
+    kept = spark.read.parquet(str(tmp_path / "rejects"))
+    assert {(r.run_id, r.stage, r.reason) for r in kept.collect()} == {(4, "read", "Row could not be read")}

@@ -150,10 +150,58 @@ def test_a_replayed_batch_finds_the_same(spark, feed, tmp_path):
     for part, number in ((F.col("ts") < cut, 0), (F.col("ts") >= cut, 1), (F.col("ts") >= cut, 1)):
         step(batch.filter(part), number)
     same(detectors.anomalous_counts(batch).select("source", "id", "type"), streams.findings(spark, path).drop("batch"))
-    for number in range(2, 6):  # what is kept does not grow with the number of batches
-        step(batch.filter("false"), number)
-    assert sorted(p.name for p in tmp_path.glob("out/tails/*")) == ["4", "5"]
-    assert spark.read.parquet(f"{path}/tails/5").count() <= 9 * batch.select("source").distinct().count()
+
+
+def test_tails_touch_only_the_buckets_of_a_batch(spark, tmp_path):
+    path = str(tmp_path / "out")
+    detect = lambda df: detectors.anomalous_counts(df).select("source", "id", "type", "_new")
+    step = streams.detect_batches(path, "source", 9, detect, buckets=16)
+    schema = "source string, ts timestamp, id bigint, job_count bigint"
+    everything = []
+
+    def feed(number, keys):
+        rows = [(k, START + timedelta(minutes=number), number * 100 + i, (number * 7 + i) % 3) for i, k in enumerate(keys)]
+        everything.extend(rows)
+        step(spark.createDataFrame(rows, schema), number)
+
+    files = lambda: {p: p.stat().st_mtime_ns for p in tmp_path.glob("out/tails/*/tail_bucket=*/*.parquet")}
+    keys = [f"k{i}" for i in range(40)]
+    feed(0, keys)
+    first = files()
+    feed(1, ["k3"])
+    second = files()
+    assert {p: at for p, at in second.items() if p in first} == first  # what rests is left alone
+    assert len({p.parent.name for p in second if p not in first}) == 1
+    sizes = []
+    for number in range(2, 14):
+        feed(number, keys[number : number + 3])
+        sizes.append(len({p.parent for p in files()}))
+    assert max(sizes) <= 16 + 6  # the newest of each bucket, and those before of the last batch
+    tails = spark.read.schema(schema).parquet(*streams.bucket_versions(spark, f"{path}/tails", set(range(16)), 99)[0])
+    assert tails.count() == sum(min(9, sum(r[0] == k for r in everything)) for k in keys)
+    batch = spark.createDataFrame(everything, schema)
+    same(detectors.anomalous_counts(batch).select("source", "id", "type"), streams.findings(spark, path).drop("batch"))
+
+
+@pytest.mark.parametrize("cuts", [(0, 80, 160), (0, 1, 239)])
+def test_first_copies_do_not_depend_on_the_batches(spark, tmp_path, cuts):
+    """A run's copies are one group; the closing record moves the watermark past them."""
+    rng = random.Random(9)
+    schema = "company_id bigint, canonical_url string, ts timestamp, page_no int, pos int, title string"
+    rows = [(rng.choice([1, None]), rng.choice(["a", "b", "c", None]), START + timedelta(seconds=40 * i),
+             rng.randrange(6), rng.randrange(3), f"t{i}") for i in range(240)]
+    end = [(9, "end", START + timedelta(days=9), 0, 0, "end")]
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    for lo, hi in zip(cuts, [*cuts[1:], 240], strict=True):
+        late = end if hi == 240 else []
+        part = rows[lo:hi]
+        rng.shuffle(part)
+        spark.createDataFrame(part + late, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        query = streams.stream_first(stream, "ts", "1 day", "1 day").writeStream.format("parquet")
+        query.option("path", out).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(schema).parquet(out)
+    same(identity.dedupe(spark.createDataFrame(rows, schema)), got)
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

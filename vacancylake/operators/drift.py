@@ -23,8 +23,8 @@ def _since_reset(snapshots: DataFrame, resets: DataFrame | None) -> DataFrame:
     )
 
 
-def _newest(snapshots: DataFrame, n: int) -> DataFrame:
-    newest = Window.partitionBy("selector").orderBy(*[F.desc(c) for c in _ORDER])
+def _newest(snapshots: DataFrame, n: int, keys: tuple[str, ...] = ("selector",)) -> DataFrame:
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in _ORDER])
     return snapshots.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= n)
 
 
@@ -37,21 +37,23 @@ def drift_events(
     latest_only: bool = False,
     resets: DataFrame | None = None,
     max_group_rows: int = MAX_GROUP_ROWS,
+    keys: tuple[str, ...] = ("selector",),
 ) -> DataFrame:
     """All drift events of snapshots (selector, ts, id, match_count).
 
     Three independent checks over the last ``history`` snapshots, the current
-    one included: ``zero_matches``, ``average`` and ``sudden_drop``.
+    one included: ``zero_matches``, ``average`` and ``sudden_drop``. A history is
+    that of one value of ``keys``.
     """
     rows = _since_reset(snapshots, resets)
     if latest_only:
-        rows = _newest(rows, history)
+        rows = _newest(rows, history, keys)
 
     def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
         frame = w.rowsBetween(-(history - 1), 0)
         return df.withColumn("_h", F.collect_list("match_count").over(frame))
 
-    rows = lookback(rows, ["selector"], _ORDER, history - 1, compute, max_group_rows)
+    rows = lookback(rows, list(keys), _ORDER, history - 1, compute, max_group_rows)
     if latest_only:
         rows = rows.filter(F.col("_back") == 1)
 

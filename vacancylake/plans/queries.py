@@ -1723,6 +1723,29 @@ def stream_dedupe(t: Tables) -> DataFrame:
     )
 
 
+# a source's timeouts less than an hour apart are one group; of each that the watermark has passed, the last event
+@register(cte("timeouts") + """, marked AS (
+        SELECT *, coalesce(epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY source ORDER BY ts, id) >= 3600000000, true) AS fresh
+        FROM timeouts WHERE ts IS NOT NULL),
+    grouped AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY source ORDER BY ts, id) AS part FROM marked)
+    SELECT source, max(id) AS last_event FROM grouped GROUP BY source, part
+    HAVING max(epoch_us(ts)) + 3600000000 <= (SELECT max(epoch_us(ts)) FROM timeouts) - 3600000000""")
+def stream_first(t: Tables) -> DataFrame:
+    """Events in three batches; a group's row is not the one that arrives first."""
+
+    def start(timeouts: DataFrame, path: str, checkpoint: str):
+        keyed = timeouts.select(
+            F.lit(1).alias("company_id"), F.col("source").alias("canonical_url"), "ts", "id",
+            F.lit(1).alias("page_no"), (-F.col("id")).alias("pos"),
+        )
+        out = streams.stream_first(keyed, "ts", "1 hour", "1 hour").writeStream.format("parquet")
+        out = out.option("path", f"{path}/rows").option("checkpointLocation", checkpoint)
+        return out.trigger(availableNow=True).start()
+
+    rows = t.spark.read.schema("canonical_url string, id bigint").parquet(f"{_fed(t, 'timeouts', start)}/rows")
+    return rows.select(F.col("canonical_url").alias("source"), F.col("id").alias("last_event"))
+
+
 # each batch merges as of its newest record; the last one to show a source decides its row
 @register(cte("timeouts") + """, span AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) AS width FROM events),
     dealt AS (SELECT t.*, coalesce((epoch_us(t.ts) > lo + width // 3)::INT + (epoch_us(t.ts) > lo + width * 2 // 3)::INT, 2) AS batch
@@ -2003,6 +2026,28 @@ def monitoring_alerts(t: Tables) -> DataFrame:
     return monitor(t.attempts, t.runs, 2).alerts.select("alert_type", "severity", "source", "ts", "disable")
 
 
+@register(cte("snapshots") + """, w AS (
+        SELECT selector, 'src-' || CAST(id % 3 AS STRING) AS source, id, ts, match_count FROM snapshots),
+    h AS (SELECT *, list(match_count) OVER (PARTITION BY source, selector ORDER BY ts, id
+                                            ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS h,
+                 avg(match_count) OVER (PARTITION BY source, selector ORDER BY ts, id
+                                        ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS average,
+                 lag(match_count) OVER (PARTITION BY source, selector ORDER BY ts, id) AS previous FROM w),
+    v AS (SELECT *, abs(match_count - average) / greatest(average, 1.0) AS d,
+                 coalesce(list_position(list_transform(list_reverse(h), lambda x: x <> 0), true) - 1, len(h)) AS z
+          FROM h WHERE len(h) >= 2)
+    SELECT source, selector, ts, CASE WHEN z >= 2 THEN 'critical' ELSE 'warning' END AS severity FROM v WHERE match_count = 0
+    UNION ALL SELECT source, selector, ts, CASE WHEN d < 1 THEN 'warning' ELSE 'error' END FROM v
+    WHERE len(h) >= 3 AND average <> 0 AND d >= 0.5 AND match_count < 1
+    UNION ALL SELECT source, selector, ts, 'error' FROM v
+    WHERE (previous - match_count) / greatest(previous, 1) > 0.8 AND match_count < 1 AND previous >= 1""")
+def monitoring_drift_alerts(t: Tables) -> DataFrame:
+    """Drift alerts of the monitoring plan; each selector has a history in every source."""
+    snapshots = t.snapshots.withColumn("source", F.concat(F.lit("src-"), (F.col("id") % 3).cast("string")))
+    told = monitor(t.attempts, t.runs, 2, snapshots).alerts.filter("alert_type = 'selector_drift'")
+    return told.select("source", F.col("details")["selector"].alias("selector"), "ts", "severity")
+
+
 _BODY_PAGES = """
     SELECT 'site-' || CAST(page_id % 10 AS STRING) AS source, CAST(floor(page_id / 10) AS INT) + 1 AS page_no, url,
            200 AS status_code, 'text/html' AS content_type, html AS body, CAST(NULL AS TIMESTAMP) AS fetched_at
@@ -2026,6 +2071,27 @@ def read_pages(t: Tables) -> DataFrame:
     return out
 
 
+@register("""
+    SELECT 'site-' || CAST(page_id % 10 AS STRING) AS source, CAST(floor(page_id / 10) AS BIGINT) + 1 AS page_no,
+           CAST(length(html) AS BIGINT) AS n_chars, CAST(NULL AS STRING) AS reason
+    FROM pages WHERE page_id % 9 NOT IN (4, 7)
+    UNION ALL SELECT NULL, NULL, NULL, 'Row could not be read' FROM pages WHERE page_id % 9 IN (4, 7)""")
+def read_checked_pages(t: Tables) -> DataFrame:
+    """All pages as JSON lines, some cut in half and some with a word for a number: good rows and named rejects."""
+    root = _work(t)
+    rows = t.sql(_BODY_PAGES)
+    number = F.regexp_extract("source", r"(\d+)", 1).cast("bigint") + (F.col("page_no") - 1) * 10
+    line = F.to_json(F.struct(*rows.columns))
+    line = F.when(number % 9 == 4, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))).when(
+        number % 9 == 7, F.regexp_replace(line, '"status_code":200', '"status_code":"soon"')
+    ).otherwise(line)
+    rows.select(line.alias("value")).write.text(root)
+    read = pages.read_checked_pages(t.spark, root, "json")
+    good = read.pages.select("source", "page_no", F.length("body").alias("n_chars"), F.lit(None).cast("string").alias("reason"))
+    blank = [F.lit(None).cast(field.dataType).alias(field.name) for field in good.schema.fields[:3]]
+    return good.unionByName(read.rejects.select(*blank, "reason"))
+
+
 @register("""
     SELECT 'p' || CAST(page_id AS STRING) AS source, CAST(page_id % 7 AS BIGINT) AS page_no,
            CAST(length(html) AS BIGINT) + 1 AS n_chars  -- the writer ends each file with a line end

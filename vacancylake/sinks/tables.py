@@ -30,7 +30,8 @@ def _hadoop(spark: SparkSession, path: str):
     return context, fs_package, conf
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it is not there."""
     context, package, _ = _hadoop(spark, path)
     folder = package.Path(path)
     if not context.util().exists(folder):
@@ -51,12 +52,12 @@ def _version(spark: SparkSession, path: str, name: str) -> Version:
 
 def versions(spark: SparkSession, path: str) -> list[Version]:
     """All versions published so far, oldest first; their folders may have been removed."""
-    return [_version(spark, path, name) for name in _names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
+    return [_version(spark, path, name) for name in folder_names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
     """The newest published version."""
-    names = [name for name in _names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
+    names = [name for name in folder_names(spark, f"{path}/{_VERSIONS}") if name.isdigit()]
     return _version(spark, path, names[-1]) if names else None
 
 

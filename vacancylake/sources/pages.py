@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacancylake import schemas
+from vacancylake.session import materialize
+
 
+#: Column that takes the text of a row which could not be read.
+_CORRUPT = "_corrupt"
 
-def _read_pages(spark: SparkSession, path: str, layout: str) -> DataFrame:
+
+def _read_pages(spark: SparkSession, path: str, layout: str, **options) -> DataFrame:
     if layout not in ("parquet", "json", "orc"):
         raise ValueError(f"unsupported page layout: {layout}")
-    return spark.read.schema(schemas.PAGES).format(layout).load(path)
+    return spark.read.schema(schemas.PAGES).format(layout).options(**options).load(path)
 
 
 def read_api_pages(spark: SparkSession, path: str, layout: str = "parquet") -> DataFrame:
@@ -19,6 +27,59 @@ def read_api_pages(spark: SparkSession, path: str, layout: str = "parquet") -> D
     return _read_pages(spark, path, layout)
 
 
+class CheckedPages(NamedTuple):
+    pages: DataFrame  # rows that could be read, as :data:`schemas.PAGES`
+    rejects: DataFrame  # file, reason, record: rows and files that could not
+    files: DataFrame  # file, bytes, modified, rows, rejected: all that lay there
+
+
+def read_checked_pages(spark: SparkSession, path: str, layout: str = "parquet") -> CheckedPages:
+    """Fetched pages with what could not be read named instead of lost or fatal.
+
+    JSON lines that do not parse, or hold a value of the wrong type, are rejected
+    with their text. Of Parquet and ORC files the rows that can be decoded are kept;
+    a file that gave fewer rows than its footer states is rejected as a file, and so
+    is one that gave none, be its footer unreadable or empty. ORC itself turns a value
+    of the wrong type into null. A compressed JSON file cut short fails the read: how
+    many lines it lacks cannot be known. Files of no bytes are passed over. The rows
+    are written once to the checkpoint folder, so that the three results agree.
+    """
+    file = F.col("_metadata.file_path").alias("_file")
+    names = [field.name for field in schemas.PAGES]
+    if layout == "json":
+        wide = T.StructType([*schemas.PAGES.fields, T.StructField(_CORRUPT, T.StringType())])
+        reader = spark.read.schema(wide).option("columnNameOfCorruptRecord", _CORRUPT)
+        rows = reader.json(path, mode="PERMISSIVE").select("*", file)
+        stated = None
+    else:
+        found = _read_pages(spark, path, layout, ignoreCorruptFiles=True)
+        rows = found.select("*", F.lit(None).cast("string").alias(_CORRUPT), file)
+        # without any column a scan reads the footers alone
+        stated = found.groupBy(file).agg(F.count("*").alias("_stated"))
+    rows = materialize(rows)
+    bad = F.col(_CORRUPT).isNotNull()
+    per_file = rows.groupBy("_file").agg(F.count("*").alias("rows"), F.count_if(bad).alias("rejected"))
+    listed = spark.read.format("binaryFile").load(path).select(
+        F.col("path").alias("_file"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")
+    )
+    same_name = F.regexp_replace("_file", "^file:/+", "file:///")  # the two readers write local names differently
+    files = listed.withColumn("_file", same_name).join(per_file.withColumn("_file", same_name), "_file", "left")
+    rejects = rows.filter(bad).select(
+        same_name.alias("file"), F.lit("Row could not be read").alias("reason"), F.col(_CORRUPT).alias("record")
+    )
+    if stated is not None:
+        files = files.join(stated.withColumn("_file", same_name), "_file", "left")
+        whole = F.coalesce(F.col("rows") == F.col("_stated"), F.lit(False))
+        short = F.concat(F.lit("Only "), F.coalesce("rows", F.lit(0)), F.lit(" of "), "_stated", F.lit(" rows could be read"))
+        reason = F.coalesce(short, F.lit("No row could be read"))
+        named = files.filter(~whole).select(F.col("_file").alias("file"), reason.alias("reason"))
+        rejects = rejects.unionByName(named.withColumn("record", F.lit(None).cast("string")))
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("rows", "rejected")]
+    return CheckedPages(
+        rows.filter(~bad).select(*names), rejects, files.select(F.col("_file").alias("file"), "bytes", "modified", *counts)
+    )
+
+
 def read_page_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     """One page per file; ``pattern`` captures the source and page number from its path."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
