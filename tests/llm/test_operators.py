@@ -247,6 +247,67 @@ def test_a_licence_at_the_head_of_a_text_needs_no_lead_in(spark):
     assert {got[i].labels for i in (0, 1, 50, 51)} == {""}
 
 
+NOTICES = [
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+     "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("gpl-2", "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+     "the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("agpl-3", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+     "either version 3 of the License, or (at your option) any later version"),
+    ("bsd-2", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+     "following conditions are met: 1. Redistributions of source code must retain the notice. 2. Redistributions in binary form must reproduce it."),
+    ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+     "following conditions are met: 1. Redistributions in binary form must reproduce it. 3. Neither the name of the holder may be used."),
+    ("bsl-1", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license"),
+    ("gpl-3", "SPDX-License-Identifier: GPL-3.0-only"), ("mit", "// SPDX-License-Identifier: MIT"), ("mit", "The MIT License (MIT)\n\nCopyright (c) 2020 A"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("cc-by-nc-sa", "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("lgpl-3", "licensed under the GNU Lesser General Public License, version 3"), ("mpl-2", "the terms of the Mozilla Public License, v. 2.0."),
+    ("", "the licence of this software is free of charge, with a public version"), ("", "GNU general public works, version 3 of the free text"),
+]
+
+
+def plain_labels(text, index_of):
+    """Labels and best share of a text by a plain search over all places of all templates."""
+    split = lambda t: words_of(t, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    w, labels, best = split(text), set(), 0.0
+    has = lambda part, phrase: any(part[i : i + len(phrase)] == phrase for i in range(len(part)))
+    for t in licenses.TEMPLATES:
+        tokens = split(t.text)
+        rarest = sorted(set(tokens), key=lambda x: (-index_of[x], x))
+        weight = sum(index_of[x] * tokens.count(x) for x in rarest[: licenses.RARE_WORDS])
+        own = [x for x in rarest if x in w][: licenses.RARE_WORDS]
+        for first in range(-len(tokens), len(w)):
+            share = sum(index_of[x] for i, x in enumerate(tokens) if x in own and 0 <= first + i < len(w) and w[first + i] == x) / weight
+            window = w[max(first, 0) : max(first + len(tokens) + t.reach, 0)]
+            if share >= licenses.AGREE and all(any(has(window, p.split()) for p in m.split("|")) for m in t.mandatory):
+                if not any(has(window, p.split()) for p in t.absent):
+                    labels.add(t.label)
+                    best = max(best, min(share, 1.0))
+    return labels, best
+
+
+def test_licence_labels_equal_a_plain_search(spark):
+    texts = [text for _, text in NOTICES] + ["Preface. " * 9 + text + " and more" for _, text in NOTICES]
+    texts += [NOTICES[0][1].replace("redistribute", "reshare"), NOTICES[1][1] + " " + NOTICES[4][1], "mit license " * 40]
+    rows = list(enumerate(texts)) + [(0, None), (1, ""), (2, texts[2])]
+    frequencies = {w: sum(w in words_of(t, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+") for _, t in rows) for w in licenses.vocabulary()}
+    idf = {w: math.log((len(rows) + 1) / (n + 1)) + 1 for w, n in frequencies.items()}
+    got = licenses.scan(frame(spark, rows)).collect()
+    want = []
+    for i, text in rows:
+        labels, best = plain_labels(text, idf)
+        words = " ".join(words_of(text, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+        base = {label for label, phrase in licenses.BASE if f" {phrase} " in f" {words} "}
+        want.append((i, ",".join(sorted(labels | base)), 1.0 if base else best))
+    for g, x in zip(order((r.doc_id, r.labels, round(r.score, 9)) for r in got), order((i, a, round(b, 9)) for i, a, b in want), strict=True):
+        assert g == x
+    named = {r.doc_id: r.labels for r in got if r.labels or r.doc_id > 2}
+    for i, (label, _) in enumerate(NOTICES):
+        assert named.get(i, "") == named.get(i + len(NOTICES), "") == label, NOTICES[i]
+
+
 # 8
 
 
