@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -245,3 +246,11 @@ def test_retry_plan(spark):
     assert {r.delay_seconds for r in capped.filter("not is_final").collect()} == {30.0}
     jittered = faults.retry_plan(log, jitter_seed=7).filter("not is_final").collect()
     assert all(0 <= r.delay_seconds <= 2 for r in jittered)
+
+
+def test_strip_trims_what_regular_expressions_call_white_space(spark):
+    space = re.compile(f"^[{text.SPACE}]+|[{text.SPACE}]+$")
+    ends = ["", "a", "!", "~", "\x7f", "é", "\x1c", " ", "\n", "\u3000", "\x85", "\x00"]
+    given = [a + middle + b for a in ends for middle in ("", "b c") for b in ends]
+    rows = spark.createDataFrame([(t,) for t in [*given, None]], "t string").select("t", text.strip(F.col("t")).alias("s"))
+    assert all(r.s == (r.t if r.t is None else space.sub("", r.t)) for r in rows.collect())

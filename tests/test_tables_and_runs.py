@@ -209,6 +209,23 @@ def test_counts_follow_the_merges(spark, tmp_path, monkeypatch):
     assert [json.loads(v.tag)["folded"] for v in sinks.versions(spark, path)] == [True, False, True, False, False]
 
 
+def test_a_bucket_is_put_in_place_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(listings, "TASK_BYTES", 500)
+    path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
+    keys = [(k % 3, f"https://x/{k}", "t") for k in range(400)] + [(None, "n", "t")]
+    listings.merge_listings(records(spark, keys), path, day, "w", 0, buckets=2)
+    assert all(len(list(folder.glob("*.parquet"))) > 1 for folder in tmp_path.glob("jobs/rows/bucket=*"))
+    found = tables.read_table(spark, str(tmp_path), "jobs").select("company_id", "canonical_url", "title").collect()
+    assert sorted(map(str, found)) == sorted(str(r) for r in records(spark, keys).select("company_id", "canonical_url", "title").collect())
+
+
+def test_pages_are_parsed_once_a_run(spark):
+    result = snapshot(spark, spark.createDataFrame([], schemas.JOBS), 1, 1, [1, 2], [10])
+    for rows in (result.skipped, result.rejected, result.dropped):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan and "MapInArrow" not in plan
+
+
 def test_a_merge_cut_off_is_finished_by_its_writer(spark, tmp_path, monkeypatch):
     path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
     listings.merge_listings(records(spark, [(1, "a", "old"), (None, "n", "old")]), path, day, "w", 0, buckets=4)

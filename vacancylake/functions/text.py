@@ -57,11 +57,14 @@ SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 def strip(col: Column) -> Column:
     """Trim white space of any kind from both ends."""
-    # looking at two characters is cheaper than matching over the whole text
+    # looking at two characters is cheaper than matching over the whole text, and comparing cheaper than matching
+    plain = (col >= "!") & (col < "\x7f") & F.right(col, F.lit(1)).between("!", "~")
     ends = F.concat(F.left(col, F.lit(1)), F.right(col, F.lit(1)))
-    return F.when(
-        ends.rlike(f"[{SPACE}]"), F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", "")
-    ).otherwise(col)
+    return (
+        F.when(plain, col)
+        .when(ends.rlike(f"[{SPACE}]"), F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", ""))
+        .otherwise(col)
+    )
 
 
 def blank_to_null(col: Column) -> Column:

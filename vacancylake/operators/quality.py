@@ -38,8 +38,8 @@ def validate_raw(rows: DataFrame) -> DataFrame:
     return trimmed.withColumn(
         "skip_reasons",
         _reasons(
-            ("missing source", blank_to_null(F.col("source")).isNull()),
-            ("empty title", blank_to_null(F.col("title")).isNull()),
+            ("missing source", F.coalesce(F.col("source") == "", F.lit(True))),
+            ("empty title", F.coalesce(F.col("title") == "", F.lit(True))),
             ("bad url", ~is_absolute(F.col("url"))),
         ),
     )

@@ -72,9 +72,10 @@ def run_snapshot(
     """Merge one run's pages into the listings table.
 
     All companies go through one plan. A source that failed is known by its row
-    in the extraction outcomes and leaves its listings untouched. The parsed
-    records and the merged listings are materialized, because several results are
-    drawn from each; the counters come from the merged rows' ``op`` and ``change``.
+    in the extraction outcomes and leaves its listings untouched. The checked raw
+    rows, the records and the merged listings are materialized, because several
+    results are drawn from each; the counters come from the merged rows' ``op`` and
+    ``change``.
 
     Listings come from the pages before a source's first failing page. A crawl is
     complete only if it also ended by itself: where the source states its number
@@ -86,7 +87,8 @@ def run_snapshot(
     """
     spark = pages.sparkSession
     readable = readable_pages(pages, fetch_log)
-    valid, skipped = split_by(validate_raw(raw_listings(readable, catalog)), "skip_reasons")
+    # stored, for a filter over parsed columns would parse each listing again for every use of one
+    valid, skipped = split_by(materialize(validate_raw(raw_listings(readable, catalog))), "skip_reasons")
     ids = companies.filter("is_active").select(
         F.col("slug").alias("source"), F.col("id").alias("company_id")
     )
