@@ -13,11 +13,14 @@ from vacancylake import schemas
 from vacancylake.operators.identity import KEY, dedupe
 from vacancylake.operators.merge import upsert_jobs
 from vacancylake.operators.rollups import status_moves, sum_counts
+from vacancylake.operators.spread import planned_bytes
 from vacancylake.sinks.tables import TableChanged, Version, _hadoop, current_version, publish, remove_folder, versions
 
 #: Buckets of a new table; a table keeps the number it was made with.
 BUCKETS = 64
 _ROWS = "rows"
+#: Stored bytes of listings that a task puts in place.
+TASK_BYTES = 16 << 20
 #: Moves that are added up for a reader before a merge stores the sum instead.
 FOLDED = 32
 _COUNTS = "company_id bigint, status string, n bigint"
@@ -69,6 +72,13 @@ def unfinished(spark: SparkSession, path: str) -> Version | None:
     return None if context.util().exists(package.Path(_marker(path, version))) else version
 
 
+def _dealt(rows: DataFrame, touched: list[int]) -> DataFrame:
+    """Each bucket's rows in tasks of their own, of about :data:`TASK_BYTES` each."""
+    parts = max(1, -(-planned_bytes(rows) // (TASK_BYTES * len(touched))))
+    cell = (F.array_position(F.lit(touched), F.col("bucket")) - 1) * parts + F.pmod(F.xxhash64(F.lit("part"), *KEY), F.lit(parts))
+    return rows.repartitionById(parts * len(touched), cell.cast("int"))
+
+
 def finish_merge(spark: SparkSession, path: str) -> None:
     """Put the staged rows of an unfinished merge in place; again, if need be.
 
@@ -81,8 +91,7 @@ def finish_merge(spark: SparkSession, path: str) -> None:
         return
     state = json.loads(version.tag)
     staged = spark.read.schema(_WITH_BUCKET).parquet(f"{path}/{state['staged']}")
-    dealt = staged.repartition(max(1, len(state["touched"])), "bucket")
-    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = _dealt(staged, state["touched"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("bucket").parquet(f"{path}/{_ROWS}")
     _, package, conf = _hadoop(spark, path)
     marker = package.Path(_marker(path, version))
@@ -135,7 +144,7 @@ def merge_listings(
         moves = status_moves(current, after)
         if tag["folded"] and version is not None:
             moves = sum_counts(moves.unionByName(stored_counts(spark, path, version)))
-        moves.coalesce(1).write.parquet(f"{path}/{counts}")  # a row a company and status
+        moves.write.parquet(f"{path}/{counts}")  # a row a company and status
         publish(spark, path, version, _ROWS, json.dumps(tag))
     except Exception as error:
         for folder in (staged, counts):
