@@ -176,6 +176,20 @@ def test_bpe_of_awkward_texts_equals_the_library(spark, monkeypatch):
             assert coder.known.size <= 20_000
 
 
+def test_plain_chunks_go_to_the_library_together(monkeypatch):
+    coder = token_files.LibraryBpe(bpe.vocabulary_path())
+    chunks = [b" some", b"word", b" 123", b" ", b" !?", b" hyperventilating", "é".encode(), b" x"]
+    want = [e.ids for e in coder.library.encode_batch([c.decode() for c in chunks], add_special_tokens=False)]
+    alone, singly = [], coder._singly
+    monkeypatch.setattr(coder, "_singly", lambda some: alone.extend(some) or singly(some))
+    for joined in (1000, 2):
+        monkeypatch.setattr(token_files, "JOINED", joined)
+        ids, sizes = coder.learn(chunks, [any(b >= 128 for b in c) for c in chunks])
+        ends = np.cumsum(sizes)
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes)] == want
+    assert alone == [b"word", b" ", "é".encode()] * 2
+
+
 def test_bpe_and_token_files_equal_the_library(spark):
     from tokenizers import Tokenizer
 

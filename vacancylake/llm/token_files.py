@@ -13,6 +13,7 @@ checked against the hash before anything is read with it.
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -37,6 +38,8 @@ SAMPLE_CHARS = 4000
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 1
 FILE_TOKENS = 64 << 20
+#: New chunks that go to the library as one text.
+JOINED = 1000
 
 _INDEX = np.dtype([("doc_id", "<i8"), ("valid", "<i8"), ("begin", "<i8"), ("size", "<i8"), ("n_tokens", "<i8")])
 _MAGIC = b"TOKFILE1"
@@ -47,6 +50,8 @@ class LibraryBpe(ByteBpe):
     """The cache of :class:`ByteBpe`, filled by the tokenizers library."""
 
     def __init__(self, path: str):
+        # a task has one core; the library's threads would only wait on it
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__(path)
@@ -55,6 +60,32 @@ class LibraryBpe(ByteBpe):
         self.library.no_padding()
 
     def learn(self, chunks: list[bytes], several: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        # a space and one run of letters, digits or signs: the pattern cuts before each, so many go in one text
+        joined = [not more and len(c) > 1 and c[0] == 32 and c[1] > 32 for c, more in zip(chunks, several, strict=True)]
+        single = [k for k, one in enumerate(joined) if not one]
+        many = [k for k, one in enumerate(joined) if one]
+        ids, sizes = self._singly([chunks[k] for k in single])
+        parts, counts, order = [ids], [sizes], single
+        for at in range(0, len(many), JOINED):
+            some = many[at : at + JOINED]
+            ids, sizes = self._together([chunks[k] for k in some])
+            parts.append(ids)
+            counts.append(sizes)
+            order = order + some
+        pool, found = np.concatenate(parts), np.concatenate(counts)
+        begins = np.cumsum(found) - found
+        back = np.argsort(np.array(order, np.int64))
+        return pool[W.places(begins[back], found[back])], found[back]
+
+    def _together(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks encoded as one text, told apart by the library's word numbers."""
+        found = self.library.encode_batch([b"".join(chunks).decode()], add_special_tokens=False)[0]  # the fast one has no word numbers
+        words = found.word_ids
+        if None in words or not words or words[-1] + 1 != len(chunks):
+            return self._singly(chunks)
+        return np.array(found.ids, np.int32), np.bincount(words, minlength=len(chunks))
+
+    def _singly(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = [c.decode() for c in chunks]
         found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         sizes = np.array([len(x) for x in found], np.int64)
