@@ -26,6 +26,7 @@ from vacancylake.operators import (
     ranking,
     reconcile,
     rollups,
+    spread,
 )
 from vacancylake.plans.driver_tables import DERIVED, Tables, cte, listing_pages, tidy
 from vacancylake.plans.monitoring import monitor
@@ -2102,7 +2103,10 @@ def read_page_files(t: Tables) -> DataFrame:
     named = t.pages.select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("s"), (F.col("page_id") % 7).alias("n"), "html"
     )
-    named.filter("length(html) > 0").write.partitionBy("s", "n").text(root)
+    named = spread.fill_cores(named.filter("length(html) > 0"), ["s"])
+    # every task moves its own files; by default the driver moves them all, one after another
+    writer = named.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.partitionBy("s", "n").text(root)
     read = pages.read_page_files(t.spark, root, r"/s=([^/]+)/n=(\d+)/")
     return read.select("source", "page_no", F.length("body").alias("n_chars"))
 
