@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -5,7 +6,9 @@ from pyspark.sql import functions as F
 
 from vacancylake import schemas
 from vacancylake.operators import extraction, lookup
+from vacancylake.sinks import page_files
 from vacancylake.sinks import tables as sinks
+from vacancylake.sinks.page_files import write_page_files
 from vacancylake.sources import ats, companies, html, markup, pages, specs
 
 CARDS = """<html><body><main>
@@ -289,6 +292,68 @@ def test_page_readers(spark, tmp_path):
     assert (got.source, got.page_no, got.body, got.content_type) == ("acme", 4, "<p>\nx", "text/html")
 
 
+def test_page_files_match_sparks_reader(spark, tmp_path, monkeypatch):
+    """Names with signs, hidden files, empty files, bytes that are no UTF-8 and, at the end, a compressed file."""
+    files = {"a b/1%2 #\u00e9.html": b"x\ny", "s=p1/n=2/part-0.txt": b"q", ".x/1.html": b"h", "_h/1.html": b"h", "_y=1/_k.txt": b"h",
+             "_y=1/_k=2.txt": b"z", "empty.html": b"", "\u00fc/bad.html": b"\xff\xfe", "a b/w+&=@.json": b"{}", "top.html": b"t"}
+    for name, body in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+
+    def read():
+        found = pages.read_page_files(spark, str(tmp_path), r"/([^/]+)/([^/]+)\.[a-z]+$")
+        rows = found.withColumn("body", F.hex(F.col("body").cast("binary"))).collect()
+        return sorted(rows, key=lambda row: row.url)
+
+    got = read()
+    assert {row.url.rsplit("/", 1)[-1] for row in got} == {
+        "1%252%20%23\u00e9.html", "part-0.txt", "_k=2.txt", "bad.html", "w+&=@.json", "top.html"}
+    with monkeypatch.context() as patch:
+        patch.setattr(pages, "_local_files", lambda *_: None)
+        assert read() == got
+    (tmp_path / "z.html.gz").write_bytes(gzip.compress(b"plain"))
+    assert [bytes.fromhex(row.body) for row in read() if row.url.endswith(".gz")] == [b"plain"]
+
+
+def test_page_files_take_few_tasks(spark, tmp_path):
+    """Writing and reading 300 files, some of them in a folder each; a task per folder or for every few files does not scale."""
+    texts = spark.range(300).selectExpr("concat('p', id) AS s", "id % 7 AS n", "concat('text ', id) AS html")
+    unnamed = spark.createDataFrame([(None, None, "a"), (None, None, "b:c")], "s string, n bigint, html string")
+    doubled = texts.union(texts.filter("n = 3")).union(unnamed)
+    context = spark.sparkContext
+    context.setJobGroup("page files", "written and read")
+    try:
+        write_page_files(doubled.repartition(3, "s"), str(tmp_path / "files"), ["s", "n"], "html")
+        for i in range(300):
+            (tmp_path / "files" / f"folder-{i}").mkdir()
+            (tmp_path / "files" / f"folder-{i}" / f"s=f{i},n=1.txt").write_text("own")
+        read = pages.read_page_files(spark, str(tmp_path / "files"), r"/s=([^/]+)[/,]n=(\d+)[/.]").collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    told = context.statusTracker()
+    stages = {stage for job in told.getJobIdsForGroup("page files") for stage in told.getJobInfo(job).stageIds}
+    assert sum(told.getStageInfo(stage).numTasks for stage in stages if told.getStageInfo(stage)) < 100
+    assert sorted((row.source, row.page_no, row.body) for row in read if row.source.startswith("p")) == sorted(
+        (f"p{i}", i % 7, f"text {i}\n" * (2 if i % 7 == 3 else 1)) for i in range(300))
+    assert {(row.source, row.page_no, row.body) for row in read if row.source.startswith("f")} == {(f"f{i}", 1, "own") for i in range(300)}
+    assert [(row.page_no, sorted(row.body.splitlines())) for row in read if not row.source] == [(None, ["a", "b:c"])]
+
+
+def test_page_files_are_named_as_by_sparks_writer(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(
+        [("a/b=%", 1, "x"), ("", 2, "y"), (None, None, None), ("\u00fc 1", -3, "z\nz")], "s string, n int, html string").coalesce(1)
+    write_page_files(rows, str(tmp_path / "own"), ["s", "n"], "html")
+    own = {p.stem: p.read_bytes() for p in (tmp_path / "own").rglob("*.txt")}
+    assert all(p.is_dir() or not p.name.startswith(".") for p in (tmp_path / "own").rglob("*"))
+    with pytest.raises(FileExistsError):
+        write_page_files(rows, str(tmp_path / "own"), ["s", "n"], "html")
+    with monkeypatch.context() as patch:  # what other stores get
+        patch.setattr(page_files, "local_folder", lambda *_: None)
+        write_page_files(rows, str(tmp_path / "spark"), ["s", "n"], "html")
+    sparks = {",".join(p.parent.relative_to(tmp_path / "spark").parts): p.read_bytes() for p in (tmp_path / "spark").rglob("part-*.txt")}
+    assert own == sparks and len(own) == 4
+
+
 def fetch(spark, rows):
     return spark.createDataFrame(
         rows, "source string, family string, page_no int, attempt int, status_code int, content_type string, error_type string, n_jobs int"

@@ -35,6 +35,7 @@ from vacancylake.session import ensure_checkpoint_dir, materialize
 from vacancylake.sinks import exports
 from vacancylake.sinks import tables as sinks
 from vacancylake.sinks.listings import merge_listings, stored_counts
+from vacancylake.sinks.page_files import write_page_files
 from vacancylake.sources import ats, companies, html, pages, specs, tables
 from vacancylake.streaming import jobs as streams
 
@@ -2104,10 +2105,8 @@ def read_page_files(t: Tables) -> DataFrame:
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("s"), (F.col("page_id") % 7).alias("n"), "html"
     )
     named = spread.fill_cores(named.filter("length(html) > 0"), ["s"])
-    # every task moves its own files; by default the driver moves them all, one after another
-    writer = named.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.partitionBy("s", "n").text(root)
-    read = pages.read_page_files(t.spark, root, r"/s=([^/]+)/n=(\d+)/")
+    write_page_files(named, root, ["s", "n"], "html")
+    read = pages.read_page_files(t.spark, root, r"/s=([^/]+)[/,]n=(\d+)[/.]")
     return read.select("source", "page_no", F.length("body").alias("n_chars"))
 
 
