@@ -49,6 +49,19 @@ def test_canonical_urls(one):
     assert one(raw, lambda c: urls.canonicalize_url(F.col(c))) == [b for _, b in URL_PAIRS]
 
 
+def test_plain_urls_need_no_rewriting(one):
+    """Where an address is taken as it is, and where it only looks plain."""
+    deep = "https://a.b/" + "x/" * 3000 + "y"
+    pairs = [
+        ("https://a.b/c.d/e-1", "https://a.b/c.d/e-1"), ("https://a.b//x//", "https://a.b//x"), (deep, deep), (deep + "/", deep),
+        ("https://a.b/x\n", "https://a.b/x"), ("https://a.b/./c/../d.", "https://a.b/d."), ("https://a.b/x;p=1", "https://a.b/x"),
+        ("https://a.b:443/x", "https://a.b/x"), ("https://a.b/x?", "https://a.b/x"), ("ht\ttps://a.b/x", "https://a.b/x"),
+        ("https:///x", None), ("https://#", None), ("1https://a.b/x", None),
+    ]
+    assert one([a for a, _ in pairs], lambda c: urls.canonicalize_url(F.col(c))) == [b for _, b in pairs]
+    assert one([a for a, _ in pairs], lambda c: urls.is_absolute(F.col(c))) == [b is not None for _, b in pairs]
+
+
 def test_canonical_url_is_idempotent(one):
     once = one([a for a, _ in URL_PAIRS], lambda c: urls.canonicalize_url(F.col(c)))
     kept = [u for u in once if u]

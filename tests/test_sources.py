@@ -221,6 +221,13 @@ def test_greenhouse_survives_odd_rows(spark):
     assert json.loads(rows[1].raw_data)["department"] is None
 
 
+def test_greenhouse_texts_are_parsed_once(spark):
+    """The place is looked up once for all that trimming does with it."""
+    rows = ats.flatten_greenhouse(json_pages(spark, ("opswat", 1, 200, "{}")))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(j#") == 2  # place and department
+
+
 def meta_rows(spark, *rows):
     return spark.createDataFrame(
         rows, "source string, style string, page_no int, current_count bigint, total bigint, page_offset bigint, failed boolean"

@@ -226,6 +226,34 @@ def test_pages_are_parsed_once_a_run(spark):
         assert "from_json" not in plan and "MapInArrow" not in plan
 
 
+def test_outcomes_are_drawn_from_the_pages_once_a_run(spark):
+    """What several results and every storing read must not look into the pages' texts again."""
+    result = snapshot(spark, spark.createDataFrame([], schemas.JOBS), 1, 1, [1, 2], [10])
+    for rows in (result.attempts, result.run_status):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "get_json_object" not in plan and "LocalRelation [source" not in plan and "LogicalRDD [source" not in plan
+    assert {(r.company_id, r.jobs_found, r.complete) for r in result.attempts.collect()} == {(1, 2, True), (2, 1, True), (3, 0, False)}
+
+
+def test_fetched_pages_are_made_once_for_runs_in_turn(spark, tmp_path, monkeypatch):
+    """Two runs over the same pages: the second reads them and their log where the first did."""
+    from vacancylake.plans import driver_tables, queries
+
+    made = []
+    pages = driver_tables.Tables.ats_pages
+    monkeypatch.setattr(driver_tables.Tables, "ats_pages", lambda t, style: made.append(style) or pages(t, style))
+    orders = spark.range(230).selectExpr(
+        "id AS o_orderkey", "id % 9 AS o_custkey", "substring('OFP', cast(id % 3 + 1 AS int), 1) AS o_orderstatus",
+        "1.0D AS o_totalprice", "timestamp'2024-01-05 00:00:00' AS o_orderdate", "'5-LOW' AS o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(3).selectExpr("id AS s_suppkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    rows = queries.stored_runs_in_turn(driver_tables.Tables(spark, str(tmp_path))).collect()
+    assert made == ["greenhouse"]
+    expected = {(f"https://jobs.example.com/{i}", "open", 0) for i in range(230)}
+    expected |= {(f"https://jobs.example.com/old-{i}", "closed", max(i % 3 + 1, 2)) for i in range(1, 230, 2)}
+    assert {tuple(row) for row in rows} == expected and len(rows) == len(expected)
+
+
 def test_a_merge_cut_off_is_finished_by_its_writer(spark, tmp_path, monkeypatch):
     path, day = str(tmp_path / "jobs"), ts("2026-07-01 10:00:00")
     listings.merge_listings(records(spark, [(1, "a", "old"), (None, "n", "old")]), path, day, "w", 0, buckets=4)

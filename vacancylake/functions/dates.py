@@ -27,6 +27,9 @@ LOOSE_LAYOUTS = [
     ("MMM d, yyyy", r"^[A-Za-z]{3} \d{1,2}, \d{4}$"),
 ]
 
+#: The extended form, which most feeds use and which needs no spelling out.
+_USUAL = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?"
+
 _OFFSET = r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)?"
 _ISO_SHAPES = "|".join(
     [
@@ -55,9 +58,7 @@ def _iso_instant(text: Column) -> Column:
             value = F.regexp_replace(value, pattern, spelling)
         return value
 
-    # Most feeds use the extended form, which needs no spelling out.
-    usual = r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?$"
-    return F.when(text.rlike(usual), text.try_cast("timestamp")).otherwise(
+    return F.when(text.rlike(f"{_USUAL}$"), text.try_cast("timestamp")).otherwise(
         let(
             spelled_out(text),
             lambda full: F.when(full.rlike(f"^({_ISO_SHAPES})$"), full.try_cast("timestamp")),
@@ -67,7 +68,8 @@ def _iso_instant(text: Column) -> Column:
 
 def parse_posted_at(col: Column) -> Column:
     """ISO-8601 text to a UTC instant; null when blank or unreadable."""
-    return let(F.upper(blank_to_null(col)), _iso_instant)
+    read = let(F.upper(blank_to_null(col)), _iso_instant)
+    return F.when(col.rlike(rf"{_USUAL}\z"), col.try_cast("timestamp")).otherwise(read)
 
 
 def posted_at_rejected(col: Column) -> Column:

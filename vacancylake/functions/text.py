@@ -55,13 +55,17 @@ REDACTED = "<REDACTED>"
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+def _plain_ends(col: Column) -> Column:
+    """Whether a text begins and ends with a visible ASCII character."""
+    # looking at two characters is cheaper than matching over the whole text, and comparing cheaper than matching
+    return (col >= "!") & (col < "\x7f") & F.right(col, F.lit(1)).between("!", "~")
+
+
 def strip(col: Column) -> Column:
     """Trim white space of any kind from both ends."""
-    # looking at two characters is cheaper than matching over the whole text, and comparing cheaper than matching
-    plain = (col >= "!") & (col < "\x7f") & F.right(col, F.lit(1)).between("!", "~")
     ends = F.concat(F.left(col, F.lit(1)), F.right(col, F.lit(1)))
     return (
-        F.when(plain, col)
+        F.when(_plain_ends(col), col)
         .when(ends.rlike(f"[{SPACE}]"), F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", ""))
         .otherwise(col)
     )
@@ -69,7 +73,8 @@ def strip(col: Column) -> Column:
 
 def blank_to_null(col: Column) -> Column:
     """Null for text that is empty once trimmed."""
-    return let(strip(col), lambda trimmed: F.when(trimmed != "", trimmed))
+    # most texts need no trimming, and naming a value costs more than looking at its ends
+    return F.when(_plain_ends(col), col).otherwise(let(strip(col), lambda trimmed: F.when(trimmed != "", trimmed)))
 
 
 def normalize_status(col: Column) -> Column:

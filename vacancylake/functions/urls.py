@@ -35,20 +35,27 @@ DEFAULT_PORTS = {"https": "443", "http": "80"}
 # Schemes whose last path segment may carry ``;parameters`` (RFC 2396).
 _PARAMETER_SCHEMES = ["http", "https", "ftp", "sftp", "rtsp", "rtspu", "sip", "sips", "shttp", "mms"]
 
+#: What most URLs look like: nothing to trim, an address with a host, and nothing to rewrite but for dot segments.
+_VISIBLE = r"^[!-~]+\z"
+_ADDRESS = r"^[A-Za-z][A-Za-z0-9+.\-]*://[!-~&&[^/?#]]"
+_PLAIN = r"^https?://[a-z0-9.\-]+(?:/(?:[A-Za-z0-9_~%+,=@:.\-/]*[A-Za-z0-9_~%+,=@:.\-]))?\z"
+
 _URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
 
 def clean_url(url: Column) -> Column:
     """Trim a URL and drop the line breaks and tabs a parser ignores."""
-    return let(
+    cleaned = let(
         F.translate(strip(url), "\t\r\n", ""),
         lambda text: F.when(text < "!", F.regexp_replace(text, r"^[\x00-\x20]+", "")).otherwise(text),
     )
+    return F.when(url.rlike(_VISIBLE), url).otherwise(cleaned)
 
 
 def is_absolute(url: Column) -> Column:
     """True when the URL has both a scheme and a host."""
-    return F.coalesce(clean_url(url).rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]"), F.lit(False))
+    found = F.coalesce(clean_url(url).rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]"), F.lit(False))
+    return F.when(url.rlike(_ADDRESS), F.lit(True)).otherwise(found)
 
 
 def remove_dot_segments(path: Column) -> Column:
@@ -162,7 +169,8 @@ def canonicalize_url(url: Column) -> Column:
 
 def canonicalize_clean_url(text: Column) -> Column:
     """The same for text that :func:`clean_url` has been applied to."""
-    return let(_split(text), _assemble)
+    plain = text.rlike(_PLAIN) & ~text.contains("/.")
+    return F.when(plain, text).otherwise(let(_split(text), _assemble))
 
 
 def resolve_url(base: Column, href: Column) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,9 @@ SEVERITIES = ["info", "warning", "error", "critical"]
 
 
 def _reasons(*checks: tuple[str, Column]) -> Column:
-    return F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in checks]))
+    named = F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in checks]))
+    # a row without faults, as most are, needs no list to be filtered
+    return F.when(reduce(or_, [failed for _, failed in checks]), named).otherwise(F.array().cast("array<string>"))
 
 
 def split_by(df: DataFrame, reasons: str) -> tuple[DataFrame, DataFrame]:

@@ -1850,12 +1850,8 @@ def _middle_page(t: Tables):
     return t.orders.agg(F.floor(F.max(F.floor(F.col("o_orderkey") / 100)) / 2) + 1).scalar()
 
 
-def _snapshot_run(
-    t: Tables, truncated: bool = False, failing: bool = False, over: str | None = None, run_id: int = 5
-) -> SnapshotResult:
-    """A run over one source whose pages hold every order.
-
-    ``over``: start from the listings stored there, instead of made-up older ones.
+def _fetched(t: Tables, truncated: bool = False, failing: bool = False) -> DataFrame:
+    """Pages of one source that hold every order, with their number of listings, as fetched and kept.
 
     ``truncated``: the source states more listings than its pages hold;
     ``failing``: its middle page was refused.
@@ -1866,11 +1862,24 @@ def _snapshot_run(
     if failing:
         refused = F.col("page_no") == _middle_page(t)
         pages_read = pages_read.withColumn("status_code", F.when(refused, 429).otherwise(F.col("status_code")))
-    pages_read = pages_read.withColumns(
-        {"url": F.lit("u"), "content_type": F.lit("application/json")}
+    return materialize(
+        pages_read.withColumns(
+            {
+                "url": F.lit("u"),
+                "content_type": F.lit("application/json"),
+                "n_jobs": F.json_array_length(F.get_json_object("body", "$.jobs")),
+            }
+        )
     )
-    pages_read = materialize(pages_read)
-    log = pages_read.select(
+
+
+def _snapshot_run(t: Tables, fetched: DataFrame, over: str | None = None, run_id: int = 5) -> SnapshotResult:
+    """A run over the fetched pages.
+
+    ``over``: start from the listings stored there, instead of made-up older ones.
+    """
+    pages_read = fetched.drop("n_jobs")
+    log = fetched.select(
         "source",
         F.lit("api").alias("family"),
         "page_no",
@@ -1878,7 +1887,7 @@ def _snapshot_run(
         "status_code",
         "content_type",
         F.lit(None).cast("string").alias("error_type"),
-        F.json_array_length(F.get_json_object("body", "$.jobs")).alias("n_jobs"),
+        "n_jobs",
     )
     seed = companies.seed_frame(t.spark).filter("slug in ('opswat', 'vancity')")
     known = seed.withColumn("id", F.when(F.col("slug") == "opswat", F.lit(1)).otherwise(2).cast("bigint"))
@@ -1912,7 +1921,7 @@ def _snapshot_run(
            o_orderpriority || ' role ' || CAST(o_orderkey % 50 AS STRING)
     FROM orders WHERE o_orderkey % 2 = 1""")
 def snapshot_listings(t: Tables) -> DataFrame:
-    return _snapshot_run(t).jobs.select("canonical_url", "status", "missing_count", "op", "title")
+    return _snapshot_run(t, _fetched(t)).jobs.select("canonical_url", "status", "missing_count", "op", "title")
 
 
 @register("""
@@ -1923,7 +1932,7 @@ def snapshot_listings(t: Tables) -> DataFrame:
            CAST(count(DISTINCT floor(o_orderkey / 100)) AS BIGINT) AS pages_fetched
     FROM orders""")
 def snapshot_attempts(t: Tables) -> DataFrame:
-    return _snapshot_run(t).attempts.select(
+    return _snapshot_run(t, _fetched(t)).attempts.select(
         "company_id", "status", "complete", "jobs_found", "new_jobs", "closed_jobs", "reopened_jobs",
         "pages_fetched",
     )
@@ -1943,7 +1952,7 @@ _STORED_STATUS = "CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed'
     FROM orders WHERE o_orderkey % 2 = 1""")
 def snapshot_truncated(t: Tables) -> DataFrame:
     """A crawl short of the stated total updates listings and closes none."""
-    run = _snapshot_run(t, truncated=True)
+    run = _snapshot_run(t, _fetched(t, truncated=True))
     complete = run.attempts.filter("company_id = 1").select("company_id", "complete")
     rows = run.jobs.join(F.broadcast(complete), "company_id")  # one row
     return rows.select("canonical_url", "status", "missing_count", "op", "complete")
@@ -1960,13 +1969,13 @@ def snapshot_truncated(t: Tables) -> DataFrame:
     FROM o WHERE o_orderkey % 2 = 1""")
 def snapshot_failed_page(t: Tables) -> DataFrame:
     """Listings from the refused page on are neither read nor closed."""
-    return _snapshot_run(t, failing=True).jobs.select("canonical_url", "status", "op")
+    return _snapshot_run(t, _fetched(t, failing=True)).jobs.select("canonical_url", "status", "op")
 
 
 def _stored_run(t: Tables) -> str:
     root = _work(t)
     started = F.lit("2024-06-01 10:00:00").cast("timestamp")
-    store_run(_snapshot_run(t), root, 5, started, now())
+    store_run(_snapshot_run(t, _fetched(t)), root, 5, started, now())
     return root
 
 
@@ -1992,9 +2001,10 @@ def stored_run_jobs(t: Tables) -> DataFrame:
 def stored_runs_in_turn(t: Tables) -> DataFrame:
     """Two runs, the second over what the first stored; storing the first again changes nothing."""
     root, started = _work(t), F.lit("2024-06-01 10:00:00").cast("timestamp")
-    first = _snapshot_run(t)
+    fetched = _fetched(t)
+    first = _snapshot_run(t, fetched)
     store_run(first, root, 5, started, now())
-    store_run(_snapshot_run(t, over=root, run_id=6), root, 6, started, now())
+    store_run(_snapshot_run(t, fetched, over=root, run_id=6), root, 6, started, now())
     store_run(first, root, 5, started, now())
     return tables.read_table(t.spark, root, "jobs").select("canonical_url", "status", "missing_count")
 

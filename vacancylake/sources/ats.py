@@ -37,7 +37,8 @@ def _whole_number(text: Column) -> Column:
 
 def flatten_greenhouse(pages: DataFrame) -> DataFrame:
     """``jobs[]`` of Greenhouse pages as raw listing rows."""
-    items = _items(pages, "jobs", _GREENHOUSE_ITEM)
+    # named in a step of its own, for trimming looks at it several times and each look would parse it again
+    items = _items(pages, "jobs", _GREENHOUSE_ITEM).withColumn("_place", F.get_json_object("j.location", "$.name"))
     department = F.col("j.department")
     return items.select(
         "source",
@@ -45,9 +46,7 @@ def flatten_greenhouse(pages: DataFrame) -> DataFrame:
         "pos",
         F.coalesce("j.id", F.lit("")).alias("source_job_id"),
         F.coalesce("j.title", F.lit("")).alias("title"),
-        F.coalesce(
-            blank_to_null(F.get_json_object("j.location", "$.name")), F.lit("Remote")
-        ).alias("location"),
+        F.coalesce(blank_to_null(F.col("_place")), F.lit("Remote")).alias("location"),
         F.coalesce("j.absolute_url", F.lit("")).alias("url"),
         F.col("j.updated_at").alias("date_posted"),
         F.to_json(
